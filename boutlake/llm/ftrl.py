@@ -159,3 +159,17 @@ class Model:
 
         kind = docs.schema["doc_id"].dataType.simpleString()
         return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+
+    def accepted(self, docs: DataFrame, threshold: float) -> DataFrame:
+        """The rows of docs, with all columns, whose text scores at least threshold."""
+        model = self
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            dense = np.zeros(1 << model.bits)
+            dense[model.at] = model.weight
+            for batch in batches:
+                texts = binary_texts(batch["text"])
+                score = np.concatenate([model.scores(dense, texts[i:j]) for i, j in slices(texts)] or [np.zeros(0)])
+                yield batch.filter(pa.array(score >= threshold))
+
+        return docs.mapInArrow(run, docs.schema)

@@ -46,25 +46,27 @@ def repeated_line_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     return merged.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
 
 
-def dedup_lines(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """docs with text cut, and the columns n_lines and n_removed (long) after its own."""
-    spans = repeated_line_spans(docs, size).withColumnsRenamed({"doc_id": "_doc", "text_key": "_key", "spans": "_spans"})
-    rows = docs.join(spans, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left")
+def dedup_lines(docs: DataFrame, size: int = SIZE, counts: bool = True) -> DataFrame:
+    """docs with text cut and, if asked for, n_lines and n_removed (long) after or in place of columns so named."""
+    spans = repeated_line_spans(docs, size).withColumnsRenamed({"doc_id": "__doc", "text_key": "__key", "spans": "__spans"})
+    rows = docs.join(spans, (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__key")), "left")
     lines = F.split("text", "\n", -1)
     # What stays lies before the first interval, between one and the next, and after the last.
-    n = F.size("_spans")
+    n = F.size("__spans")
     gaps = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
-        F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_spans"), i - 1)["end"]).alias("a"),
-        F.when(i == n, F.size(lines)).otherwise(F.get(F.col("_spans"), i)["begin"]).alias("b")))
+        F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("__spans"), i - 1)["end"]).alias("a"),
+        F.when(i == n, F.size(lines)).otherwise(F.get(F.col("__spans"), i)["begin"]).alias("b")))
     kept = F.flatten(F.transform(gaps, lambda g: F.slice(lines, g["a"] + 1, g["b"] - g["a"])))
-    gone = F.aggregate("_spans", F.lit(0), lambda s, x: s + x["end"] - x["begin"])
-    hit = F.col("_spans").isNotNull()
-    added = {
-        "text": F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text")),
-        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
-        "n_removed": F.when(hit, gone).otherwise(0).cast("long"),
-    }
-    return rows.select(*(F.col(c) if c != "text" else added["text"].alias("text") for c in docs.columns if c not in ("n_lines", "n_removed")), *(added[c].alias(c) for c in ("n_lines", "n_removed")))
+    gone = F.aggregate("__spans", F.lit(0), lambda s, x: s + x["end"] - x["begin"])
+    hit = F.col("__spans").isNotNull()
+    cut = F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text")
+    added = {}
+    if counts:
+        added = {
+            "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
+            "n_removed": F.when(hit, gone).otherwise(0).cast("long"),
+        }
+    return rows.select(*(cut if c == "text" else F.col(c) for c in docs.columns if c not in added), *(added[c].alias(c) for c in added))
 
 
 def op8_line_dedup(documents: DataFrame) -> DataFrame:

@@ -86,19 +86,18 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     A cut text is its first words joined by single spaces. Documents without words are left out.
     """
     names = docs.columns
-    picks = mix_sources(docs, **options).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("copies", "extra", "size", "source"))).alias("_picks"))
-    picks = picks.withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy("source"))
-    rows = rows.join(picks, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_key"))).withColumn("_nth", nth)
+    name = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    picks = mix_sources(docs, **options).withColumns({"__id": name(F.col("doc_id")), "__key": F.col("text_key")})
+    picks = picks.groupBy("__id", "__key").agg(F.sort_array(F.collect_list(F.struct("source", "copies", "extra", "size"))).alias("__picks"))
+    rows = docs.withColumns({"__id": name(F.col("doc_id")), "__key": F.xxhash64("text")}).join(picks, ["__id", "__key"])
+    nth = F.row_number().over(Window.partitionBy("__id", "__key").orderBy("source"))
     # Rows of one id and text are told apart by their place in order of source, the order of their picks.
-    pick = F.get(F.sort_array(F.transform("_picks", lambda x: F.struct(x["source"].alias("source"), x["copies"].alias("copies"), x["extra"].alias("extra"), x["size"].alias("size")))), F.col("_nth") - 1)
-    rows = rows.withColumn("_pick", pick)
-    whole = F.array_repeat(F.lit(-1).cast("long"), F.col("_pick.copies").cast("int"))
-    cut = F.when(F.col("_pick.extra") > 0, F.array("_pick.extra")).otherwise(F.array().cast("array<bigint>"))
-    rows = rows.where("_pick.size > 0").withColumn("_take", F.explode(F.concat(whole, cut)))
+    rows = rows.withColumn("__pick", F.get("__picks", nth - 1))
+    whole = F.array_repeat(F.lit(-1).cast("long"), F.col("__pick.copies").cast("int"))
+    cut = F.when(F.col("__pick.extra") > 0, F.array("__pick.extra")).otherwise(F.array().cast("array<bigint>"))
+    rows = rows.where("__pick.size > 0").withColumn("__take", F.explode(F.concat(whole, cut)))
     words = F.filter(F.split("text", GAP), lambda w: w != "")
-    text = F.when((F.col("_take") < 0) | (F.col("_take") == F.col("_pick.size")), F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.col("_take").cast("int")), " "))
+    text = F.when((F.col("__take") < 0) | (F.col("__take") == F.col("__pick.size")), F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.col("__take").cast("int")), " "))
     return rows.select(*(text.alias("text") if c == "text" else F.col(c) for c in names))
 
 

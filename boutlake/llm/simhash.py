@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boutlake.llm.common import binary_texts, materialize, slices
@@ -59,15 +59,15 @@ def fingerprints_of(texts: list[bytes], width: int = WORDS, seed: int = SEED) ->
 
 
 def simhash(docs: DataFrame, width: int = WORDS, seed: int = SEED) -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a long) for each row of docs."""
+    """doc_id, text_key (xxhash64 of the text), fp (the fingerprint's 64 bits as a long) for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = binary_texts(batch["text"])
             fps = np.concatenate([fingerprints_of(texts[i:j], width, seed) for i, j in slices(texts)] or [np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(fps)], ["doc_id", "text_key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def _quarters(fp: str) -> list[Column]:
@@ -121,14 +121,30 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) ->
     return pairs.mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = WORDS, seed: int = SEED, tile: int = TILE) -> DataFrame:
-    """doc_id, fp, component_id (least doc_id that links reach) for each row of docs."""
+def _classes(docs: DataFrame, radius: int, width: int, seed: int, tile: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with fingerprints; component of each fingerprint; first row of each component, by doc_id and text_key."""
     rows = materialize(simhash(docs, width, seed), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
     groups = connected_components(fingerprint_links(nodes.select("fp"), radius, tile)).withColumnRenamed("node", "fp")
     rooted = nodes.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    return rows.join(rooted.select("fp", "component").join(least, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return rows, rooted.select("fp", "component"), rooted.groupBy("component").agg(F.min("first").alias("first"))
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = WORDS, seed: int = SEED, tile: int = TILE) -> DataFrame:
+    """doc_id, fp, component_id (least doc_id that links reach) for each row of docs."""
+    rows, rooted, firsts = _classes(docs, radius, width, seed, tile)
+    by_fp = rooted.join(firsts, "component").select("fp", F.col("first.doc_id").alias("component_id"))
+    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = WORDS, seed: int = SEED, tile: int = TILE) -> DataFrame:
+    """The first row of each group, by doc_id (null last) and the text's hash, with all columns of docs."""
+    name = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    firsts = _classes(docs, radius, width, seed, tile)[2].select(name(F.col("first.doc_id")).alias("__id"), F.col("first.text_key").alias("__key"))
+    rows = docs.withColumns({"__id": name(F.col("doc_id")), "__key": F.xxhash64("text")}).join(firsts, ["__id", "__key"], "left_semi")
+    # Rows that repeat an id and text are left in the same partition by the join; one of them stays.
+    same = Window.partitionBy("__id", "__key").orderBy(*(c for c in docs.columns if c not in ("doc_id", "text")) or ("__key",))
+    return rows.withColumn("__nth", F.row_number().over(same)).where(F.col("__nth") == 1).select(*docs.columns)
 
 
 def op9_simhash_near_dedup(documents: DataFrame) -> DataFrame:
