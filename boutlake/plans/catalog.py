@@ -5,17 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import Window
 
+from boutlake.plans import bout_queries, table_queries
 
-def running_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("n", F.count("*").over(Window.partitionBy("user_id")))
+ALL = bout_queries.QUERIES | table_queries.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"running_record": running_record}
+    return {name: run for name, (run, _) in ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in ALL.items() if sql}

@@ -1,0 +1,12 @@
+"""Column types of the tables that readers produce and operators expect."""
+
+from __future__ import annotations
+
+ATHLETES = (
+    "season string, category string, wrestler_id long, name string, first_name string, last_name string, team string, team_id long, grade string, level string, "
+    "weight_class string, gender string, record_text string, wins int, losses int, matches int, win_pct decimal(5,3), name_link string, team_link string, page_url string"
+)
+BOUT_LINES = "season string, category string, page_url string, wrestler_id long, wrestler string, start_date date, end_date date, event string, weight_category string, match_order int, opponent_id long, raw_details string"
+SCHEDULE = "season string, category string, gender string, date_raw string, start_date date, end_date date, event_name string, event_kind string, team string, team_index long, team_id long, team_score long"
+RANKINGS = "week int, division string, weight int, rank int, name string, school string, line string, source_file string"
+TASKS = "task_id string, season string, category string, wrestler_id long, status string, attempt_count int, locked_by string, locked_at timestamp, updated_at timestamp"
