@@ -138,3 +138,34 @@ def judge_quality(docs: DataFrame, guard: int = GUARD, character_limit: float =
 
 def op5_quality_rules(documents: DataFrame) -> DataFrame:
     return judge_quality(documents).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_STEPS = (("[a-z]+", "t", "a"), ("[A-Z]+", "a", "b"), ("[0-9]+", "b", "c"), (r"[\x20\x09-\x0D]+", "c", "e"), (r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+", "e", "f"))
+_PART = "CASE WHEN {a} > 0 THEN {a} * log2({a} / (({a} + {b}) / 2)) ELSE 0 END"
+
+
+def _distance_sql(p: str, q: str) -> str:
+    terms = f"({_PART.format(a='z[1]', b='z[2]')} + {_PART.format(a='z[2]', b='z[1]')}) / 2"
+    return f"sqrt(greatest(0, list_sum(list_transform(list_zip({p}, {q}), lambda z: {terms}))))"
+
+
+#: For tables of at most LANGUAGES languages.
+OP5_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+{", ".join(f"s{i} AS (SELECT *, regexp_replace({x}, '{p}', '', 'g') AS {y} FROM {'d' if not i else f's{i - 1}'})" for i, (p, x, y) in enumerate(_STEPS))},
+q AS (SELECT row, doc_id, lang, t, w, length(t) - length(a) AS k1, length(a) - length(b) AS k2, length(b) - length(c) AS k3, length(c) - length(e) AS k4, length(e) - length(f) AS k5, length(f) AS k6,
+  length(t) AS n, length(e) - length(translate(e, '#*$%&|<>', '')) AS n_symbols FROM s4),
+r AS (SELECT lang, [{", ".join(f"sum(k{i})::DOUBLE / greatest(sum(n), 1)" for i in range(1, 7))}] AS classes, sum(len(w))::DOUBLE AS words FROM q GROUP BY lang),
+v AS (SELECT lang, word, count(*) AS m, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place FROM (SELECT lang, unnest(w) AS word FROM q) WHERE regexp_matches(word, '^\\p{{L}}{{1,{SHORT}}}$') GROUP BY lang, word),
+u AS (SELECT r.lang, classes, list(word ORDER BY place) FILTER (WHERE word IS NOT NULL) AS common, coalesce(list(m / greatest(words, 1) ORDER BY place) FILTER (WHERE word IS NOT NULL), []) AS shares
+  FROM r LEFT JOIN v ON v.lang = r.lang AND place <= {COMMON} GROUP BY r.lang, classes),
+x AS (SELECT row, i, count(*) OVER (PARTITION BY row, g) AS many FROM (SELECT row, i, array_to_string(w[i:i + {SPAN - 1}], ' ') AS g FROM (SELECT row, w, unnest(range(1, len(w) - {SPAN - 2})) AS i FROM q WHERE len(w) >= {SPAN}))),
+y AS (SELECT row, count(DISTINCT j) AS n_repeat_words FROM (SELECT row, i + unnest(range({SPAN})) AS j FROM x WHERE many > 1) GROUP BY row),
+o AS (SELECT q.*, coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) AS n_words, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines,
+  [{", ".join(f"k{i}::DOUBLE / greatest(n, 1)" for i in range(1, 7))}] AS own, classes, shares, list_transform(coalesce(common, []), lambda c: len(list_filter(w, lambda x: x = c))::DOUBLE / greatest(len(w), 1)) AS held
+  FROM q JOIN u USING (lang) LEFT JOIN y USING (row)),
+z AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed, {_distance_sql("own", "classes")} AS cd,
+  {_distance_sql("list_append(held, 1 - coalesce(list_sum(held), 0))", "list_append(shares, 1 - coalesce(list_sum(shares), 0))")} AS wd FROM o)
+SELECT doc_id, n_words, CAST(n - k4 AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (n_words >= {GUARD} AND (cd > {CHARACTER_LIMIT} OR wd > {WORD_LIMIT})) AS kept FROM z
+"""

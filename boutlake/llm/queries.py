@@ -33,8 +33,10 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_substring_dedup": substring_dedup.OP2_SQL,
         "op3_secret_scan": secret_scan.OP3_SQL,
         "op4_source_mixing": mixing.OP4_SQL,
+        "op5_quality_rules": quality_rules.OP5_SQL,
         "op7_embedding_near_dedup": embedding_dedup.OP7_SQL,
         "op8_line_dedup": line_dedup.OP8_SQL,
     }

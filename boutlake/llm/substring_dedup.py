@@ -213,3 +213,14 @@ def dedup_substrings(docs: DataFrame, size: int = SIZE, buckets: int | None = No
 
 def op2_substring_dedup(documents: DataFrame) -> DataFrame:
     return dedup_substrings(documents).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+x AS (SELECT row, doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM d WHERE doc_id IS NOT NULL AND len(w) >= 50)),
+m AS (SELECT row, doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM x),
+g AS (SELECT DISTINCT row, i + unnest(range(50)) AS i FROM m WHERE doc_id > least),
+k AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+r AS (SELECT k.row, count(*) AS n, count(g.i) AS gone, string_agg(word, ' ' ORDER BY k.i) FILTER (WHERE g.i IS NULL) AS kept FROM k LEFT JOIN g ON g.row = k.row AND g.i = k.i GROUP BY k.row)
+SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r ON r.row = d.row
+"""
