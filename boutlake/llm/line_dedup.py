@@ -34,7 +34,8 @@ def repeated_line_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """doc_id, text_key, spans: merged ranges (begin, end) of lines that later copies of a window cover."""
     w = (
         docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-        .select("doc_id", F.xxhash64("text").alias("text_key"), F.explode(_windows(F.split("text", "\n", -1), size)).alias("w"))
+        .select("doc_id", F.xxhash64("text").alias("text_key"), F.split("text", "\n", -1).alias("lines"))
+        .select("doc_id", "text_key", F.explode(_windows(F.col("lines"), size)).alias("w"))
         .select("doc_id", "text_key", "w.at", "w.h1", "w.h2")
     )
     place = F.struct("doc_id", "text_key", "at")
@@ -50,7 +51,8 @@ def dedup_lines(docs: DataFrame, size: int = SIZE, counts: bool = True) -> DataF
     """docs with text cut and, if asked for, n_lines and n_removed (long) after or in place of columns so named."""
     spans = repeated_line_spans(docs, size).withColumnsRenamed({"doc_id": "__doc", "text_key": "__key", "spans": "__spans"})
     rows = docs.join(spans, (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__key")), "left")
-    lines = F.split("text", "\n", -1)
+    # A column of its own: inside the functions below an expression would be split again for each interval.
+    rows, lines = rows.withColumn("__lines", F.split("text", "\n", -1)), F.col("__lines")
     # What stays lies before the first interval, between one and the next, and after the last.
     n = F.size("__spans")
     gaps = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
