@@ -149,3 +149,10 @@ def parse_record(text: Column) -> tuple[Column, Column, Column]:
     p = r"^\s*(\d{1,4})-(\d{1,4})\s*$"
     wins, losses = (F.when(text.rlike(p), F.regexp_extract(text, p, i).try_cast("int")) for i in (1, 2))
     return wins, losses, F.when(wins + losses > 0, F.round(wins / (wins + losses), 3))
+
+
+def bout_index(line: Column) -> Column:
+    """A number for a bout whatever its score: brackets that hold digits are left out, then h = 31 h + code, modulo 2 ** 32."""
+    text = F.lower(F.trim(F.regexp_replace(one_line(line), r"\s*\([^)]*\d[^)]*\)", "")))
+    codes = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("long"))
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda h, c: (h * 31 + c) % (1 << 32))

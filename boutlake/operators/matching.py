@@ -78,3 +78,38 @@ def common_prefix(a: Column, b: Column) -> Column:
     n = F.least(F.length(a), F.length(b))
     sizes = F.filter(F.sequence(F.lit(0), n), lambda i: F.substr(a, F.lit(1), i) == F.substr(b, F.lit(1), i))
     return F.when(a.isNotNull() & b.isNotNull(), F.array_max(sizes))
+
+
+def alias_pairs(teams: DataFrame, seasons: tuple[str, str]) -> DataFrame:
+    """teams (season, team) → names of the first season only and the second only that stand next to one another
+    in the order of clean names and share a first word."""
+    seen = teams.groupBy("team").agg(*(F.max(b2i(F.col("season") == s)).alias(f"in_{i}") for i, s in enumerate(seasons)))
+    w = Window.orderBy("team_clean", "team")
+    t = seen.withColumn("team_clean", clean_team(F.col("team")))
+    t = t.withColumns({f"next_{c}": F.lead(c).over(w) for c in ("team", "team_clean", "in_0", "in_1")})
+    word = lambda c: F.substring_index(c, " ", 1)
+    t = t.where((word("team_clean") == word("next_team_clean")) & (F.col("team_clean") != ""))
+    old_first = (F.col("in_1") == 0) & (F.col("next_in_0") == 0)
+    new_first = (F.col("in_0") == 0) & (F.col("next_in_1") == 0)
+    pair = F.when(old_first, F.struct(F.col("team").alias("a"), F.col("next_team").alias("b"))).when(new_first, F.struct(F.col("next_team").alias("a"), F.col("team").alias("b")))
+    return t.select(pair.alias("p")).where("p IS NOT NULL").select(F.col("p.a").alias("team_raw"), F.col("p.b").alias("team_canonical"))
+
+
+def latest_rankings(athletes: DataFrame, rankings: DataFrame) -> DataFrame:
+    """athletes (wrestler_id, name, school) with division and rank of their latest ranking.
+
+    Names meet by equality ignoring case; schools where one begins with the other. Of several weeks the
+    latest counts, then the better rank.
+    """
+    best = rankings.groupBy(F.lower("ranked_name").alias("key"), "ranked_school").agg(F.max_by(F.struct("division", "rank", "week"), F.struct("week", -F.col("rank"), "division")).alias("r"))
+    a, b = F.lower("school"), F.lower("ranked_school")
+    pairs = athletes.join(best, (F.lower("name") == F.col("key")) & (a.startswith(b) | b.startswith(a)), "left")
+    one = pairs.groupBy(*athletes.columns).agg(F.max_by("r", F.struct("r.week", -F.col("r.rank"), "ranked_school")).alias("r"))
+    return one.select(*athletes.columns, "r.division", "r.rank", F.col("r.week").alias("week"))
+
+
+def name_difference(name: Column, candidate: Column) -> Column:
+    """Where two names part: the shared start, then what each goes on with."""
+    n = common_prefix(name, candidate)
+    rest = lambda c: F.substr(c, n + 1)
+    return F.when(name == candidate, "same").otherwise(F.concat(F.substr(name, F.lit(1), n), F.lit("["), rest(name), F.lit("|"), rest(candidate), F.lit("]")))

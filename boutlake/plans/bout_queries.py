@@ -180,14 +180,14 @@ SELECT *, CASE WHEN a_wins + b_wins = 0 THEN 'undecided' WHEN a_wins = b_wins TH
 
 
 def finalist_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = enrich.final_state_bouts(bouts(spark, sf_dir)).withColumn("bracket", F.col("wrestler_id") % 14)
+    placed = enrich.final_state_bouts(bouts(spark, sf_dir)).withColumn("bracket", F.col("wrestler_id") % 2)
     return reports.finalist_pairs(placed, ["season", "bracket"])
 
 
 FINALIST_PAIRS = f"""
 WITH p AS ({PRIORITY_ARGMAX})
-SELECT season, a.wrestler_id % 14 AS bracket, a.wrestler_id AS winner_id, b.wrestler_id AS runner_up_id FROM p a JOIN p b USING (season)
-WHERE a.wrestler_id % 14 = b.wrestler_id % 14 AND a.place = '1st' AND b.place = '2nd'
+SELECT season, a.wrestler_id % 2 AS bracket, a.wrestler_id AS winner_id, b.wrestler_id AS runner_up_id FROM p a JOIN p b USING (season)
+WHERE a.wrestler_id % 2 = b.wrestler_id % 2 AND a.place = '1st' AND b.place = '2nd'
 """
 
 
@@ -254,11 +254,32 @@ s AS (SELECT *, CAST(CAST(split_part(lower(name), ' ', 1) = split_part(lower(can
 SELECT list_id, name, candidate, score FROM (SELECT *, row_number() OVER (PARTITION BY list_id ORDER BY score DESC, candidate, other) AS nth FROM s WHERE score >= 3) WHERE nth = 1
 """
 
+
+def bout_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bout_text(spark, sf_dir).select("id", parse.bout_index(F.col("raw_details")).alias("bout_index"))
+
+
+BOUT_INDEX = rf"""
+WITH {_LINES}, s AS (SELECT id, lower(trim(regexp_replace(l, '\s*\([^)]*\d[^)]*\)', '', 'g'))) AS t FROM x)
+SELECT id, CASE WHEN t IS NOT NULL THEN list_reduce(list_prepend(CAST(0 AS BIGINT), [CAST(unicode(c) AS BIGINT) for c in string_split(t, '') if c <> '']), lambda h, c: (h * 31 + c) % 4294967296) END AS bout_index FROM s
+"""
+
+
+def parse_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse.with_bout(bout_text(spark, sf_dir), strict=True).select("id", "is_bye", "is_tie")
+
+
+PARSE_STRICT = rf"""
+WITH {_LINES}
+SELECT id, CASE WHEN regexp_matches(lower(l), '\bbye\b') THEN 1 ELSE 0 END AS is_bye, CASE WHEN regexp_matches(lower(l), '\b(?:tie|draw)\b') THEN 1 ELSE 0 END AS is_tie FROM x
+"""
+
 QUERIES = {
     "running_record": (running_record, RUNNING_RECORD), "final_match_flags": (final_match_flags, FINAL_MATCH_FLAGS), "parse_round": (parse_round, PARSE_ROUND),
     "parse_result_score": (parse_result_score, PARSE_RESULT_SCORE), "parse_sides_outcome": (parse_sides_outcome, PARSE_SIDES_OUTCOME), "parse_names": (parse_names, PARSE_NAMES),
     "opponent_resolution": (opponent_resolution, OPPONENT_RESOLUTION), "winner": (winner, WINNER), "priority_argmax": (priority_argmax, PRIORITY_ARGMAX),
     "pair_head_to_head": (pair_head_to_head, PAIR_HEAD_TO_HEAD), "finalist_pairs": (finalist_pairs, FINALIST_PAIRS), "percent_rank_k": (percent_rank_k, PERCENT_RANK_K),
     "elo_ratings": (elo_ratings, None), "elo_summary": (elo_summary, None), "top_ratings": (top_ratings, None), "regr_slope": (regr_slope, REGR_SLOPE),
+    "bout_index": (bout_index, BOUT_INDEX), "parse_strict": (parse_strict, PARSE_STRICT),
     "match_order_backfill": (match_order_backfill, MATCH_ORDER_BACKFILL), "soundex_match": (soundex_match, None), "fuzzy_best_match": (fuzzy_best_match, FUZZY_BEST_MATCH),
 }

@@ -9,6 +9,7 @@ from boutlake.functions import compat, parse
 from boutlake.operators import enrich, matching, ratings, reports, tasks, upsert
 from boutlake.plans.adapters import read
 from boutlake.sources import readers
+from boutlake.streaming import refresh
 
 NOW = "TIMESTAMP '2026-01-02 00:00:00'"
 OLD = "TIMESTAMP '2026-01-01 00:00:00'"
@@ -464,6 +465,89 @@ def name_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NAME_PREFIX = "SELECT p_partkey, CAST(list_max([i for i in range(0, length(p_name) + 1) if substr(p_name, 1, i) = substr(reverse(p_name), 1, i)]) AS BIGINT) AS n FROM part"
 
+
+def custom_rank_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rank = F.when(F.col("o_orderpriority") == "1-URGENT", 0).when(F.col("o_orderpriority") == "5-LOW", 1).otherwise(2)
+    rows = F.array_sort(F.collect_list(F.struct(rank.alias("rank"), F.col("o_orderpriority").alias("x"))))
+    df = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(rows.alias("rows"))
+    return df.select("o_custkey", F.array_join(F.transform("rows", lambda r: r["x"]), ",").alias("priorities"))
+
+
+CUSTOM_RANK_CONCAT = """
+SELECT o_custkey, string_agg(o_orderpriority, ',' ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '5-LOW' THEN 1 ELSE 2 END, o_orderpriority) AS priorities FROM orders GROUP BY 1
+"""
+
+
+def alias_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    teams = read(spark, sf_dir, "part").select(F.when(F.col("p_size") <= 25, "2025").otherwise("2026").alias("season"), F.concat("p_type", F.lit(" "), "p_brand").alias("team"))
+    return matching.alias_pairs(teams.distinct(), ("2025", "2026"))
+
+
+ALIAS_PAIRS = """
+WITH s AS (SELECT p_type || ' ' || p_brand AS team, bool_or(p_size <= 25) AS x, bool_or(p_size > 25) AS y FROM part GROUP BY 1), c AS (SELECT *, trim(regexp_replace(lower(team), '[^0-9a-z ]', ' ', 'g')) AS k FROM s),
+n AS (SELECT *, lead(team) OVER w AS t2, lead(k) OVER w AS k2, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM c WINDOW w AS (ORDER BY k, team))
+SELECT CASE WHEN NOT y AND NOT x2 THEN team ELSE t2 END AS team_raw, CASE WHEN NOT y AND NOT x2 THEN t2 ELSE team END AS team_canonical FROM n
+WHERE split_part(k, ' ', 1) = split_part(k2, ' ', 1) AND k <> '' AND ((NOT y AND NOT x2) OR (NOT x AND NOT y2))
+"""
+
+
+def latest_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part")
+    athletes = part.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("wrestler_id"), F.col("p_name").alias("name"), F.substring("p_brand", 1, 7).alias("school"))
+    ranks = part.where("p_partkey % 5 = 1").select(F.upper("p_name").alias("ranked_name"), F.col("p_brand").alias("ranked_school"), F.col("p_type").alias("division"), F.col("p_size").alias("rank"), (F.col("p_partkey") % 4).alias("week"))
+    return matching.latest_rankings(athletes, ranks)
+
+
+LATEST_RANKING = """
+WITH a AS (SELECT p_partkey AS wrestler_id, p_name AS name, substr(p_brand, 1, 7) AS school FROM part WHERE p_partkey % 5 = 0),
+r AS (SELECT lower(p_name) AS k, p_brand AS rs, p_type AS division, p_size AS rank, p_partkey % 4 AS week FROM part WHERE p_partkey % 5 = 1),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, rs ORDER BY week DESC, rank, division DESC) AS n FROM r) WHERE n = 1),
+j AS (SELECT wrestler_id, name, school, division, rank, week, row_number() OVER (PARTITION BY wrestler_id ORDER BY week DESC NULLS LAST, rank, rs DESC) AS n FROM a LEFT JOIN b ON k = lower(name) AND (starts_with(lower(school), lower(rs)) OR starts_with(lower(rs), lower(school))))
+SELECT wrestler_id, name, school, division, rank, week FROM j WHERE n = 1
+"""
+
+
+def name_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select("p_partkey", matching.name_difference(F.col("p_type"), F.col("p_name")).alias("hint"))
+
+
+NAME_DIFFERENCE = """
+WITH p AS (SELECT p_partkey, p_type AS a, p_name AS b, list_max([i for i in range(0, least(length(p_type), length(p_name)) + 1) if substr(p_type, 1, i) = substr(p_name, 1, i)]) AS n FROM part)
+SELECT p_partkey, CASE WHEN a = b THEN 'same' ELSE substr(a, 1, n) || '[' || substr(a, n + 1) || '|' || substr(b, n + 1) || ']' END AS hint FROM p
+"""
+
+
+def seed_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "customer").select("c_custkey", tasks.task_id(F.lit("2026"), F.col("c_mktsegment"), F.col("c_custkey").cast("string")).alias("task_id"))
+
+
+SEED_TASKS = "SELECT c_custkey, substr(sha1(concat_ws('|', '2026', c_mktsegment, CAST(c_custkey AS VARCHAR))), 1, 12) AS task_id FROM customer"
+
+
+def optional_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = {"o_orderstatus": "F", "o_orderpriority": None}
+    tests = [F.col(c) == v for c, v in given.items() if v is not None]
+    return readers.scan(spark, f"{sf_dir}/orders.parquet", *tests, F.col("o_totalprice") >= 100000).select("o_orderkey", "o_totalprice")
+
+
+def events_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = refresh.events_per_window(df, "1 hour", "10 minutes")
+    return rows.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+EVENTS_WINDOWED = "SELECT strftime(time_bucket(INTERVAL 1 HOUR, CAST(ts AS TIMESTAMP)), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL"
+
+
+def list_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Athletes with an order yesterday, counted from the last day there is."""
+    orders = read(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
+    last = orders.agg(F.date_sub(F.max("day"), 1).alias("day"))
+    return read(spark, sf_dir, "customer").join(orders.join(F.broadcast(last), "day").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi").select("c_custkey", "c_name")
+
+
+LIST_REFRESH = "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT max(CAST(o_orderdate AS DATE)) - 1 FROM orders))"
+
 QUERIES = {
     "enrich_twice": (enrich_twice, ENRICH_TWICE), "backfill_coalesce": (backfill_coalesce, BACKFILL_COALESCE), "disjunctive_join": (disjunctive_join, DISJUNCTIVE_JOIN),
     "theta_substring_join": (theta_substring_join, THETA_SUBSTRING_JOIN), "school_fixes": (school_fixes, SCHOOL_FIXES), "anti_join_missing": (anti_join_missing, ANTI_JOIN_MISSING),
@@ -493,5 +577,9 @@ QUERIES = {
     "team_count": (team_count, "SELECT l_orderkey, l_linenumber, count(*) OVER w AS n_teams, CASE WHEN count(*) OVER w = 2 THEN 1 ELSE 0 END AS is_dual FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)"),
     "queue_transitions": (queue_transitions, QUEUE_TRANSITIONS), "queue_progress": (queue_progress, QUEUE_PROGRESS),
     "paged_export_order": (paged_export_order, "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 50 OFFSET 30"),
+    "custom_rank_concat": (custom_rank_concat, CUSTOM_RANK_CONCAT), "alias_pairs": (alias_pairs, ALIAS_PAIRS), "latest_ranking": (latest_ranking, LATEST_RANKING),
+    "name_difference": (name_difference, NAME_DIFFERENCE), "seed_tasks": (seed_tasks, SEED_TASKS),
+    "optional_filters": (optional_filters, "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 100000"),
+    "events_windowed": (events_windowed, EVENTS_WINDOWED), "list_refresh": (list_refresh, LIST_REFRESH),
     "record_text": (record_text, RECORD_TEXT), "list_names": (list_names, LIST_NAMES), "name_prefix": (name_prefix, NAME_PREFIX),
 }
