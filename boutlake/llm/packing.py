@@ -19,31 +19,32 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boutlake.llm.common import materialize
+from boutlake.llm.common import BYTE_VALUES, binary_texts, materialize, mixed, slices, spans_hashed
 
 CAPACITY = 2048
 END = 0
-NODES = 4000
-RETRIES = 24
+NODES = 1000
+RETRIES = 8
 RANKED = 50_000
 
 
 class Encoder:
-    """Token ids of texts as little-endian bytes; ids of words seen before are kept.
+    """Token ids of texts; ids of words seen before are kept.
 
     The tokenizer's own splitting always breaks before a single space that stands between two other
     characters than white space. So a text may be encoded word by word, each with the space before it;
-    texts where some space touches white space or an end are encoded whole.
+    texts where some space touches white space or an end are encoded whole. Equal words of a slice are
+    looked up once, told by two hashes and their length.
     """
 
-    LIMIT = 400_000
+    LIMIT = 600_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,35 +52,79 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes | None] = {}
+        self._clear()
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.starts, self.sizes = np.zeros(self.LIMIT, np.int64), np.zeros(self.LIMIT, np.int64)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.LIMIT:
-            self.known.clear()
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for i in range(0, len(texts), 2000):
+            out += [x.ids for x in self.tokenizer.encode_batch_fast(texts[i : i + 2000], add_special_tokens=False)]
+        return out
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Keep the ids of words after a space; words that start or end with white space, or are empty, get size -1."""
+        texts = [w.decode() for w in words]
+        good = [bool(t) and not t[0].isspace() and not t[-1].isspace() for t in texts]
+        ids = iter(self._ids([" " + t for t, ok in zip(texts, good, strict=True) if ok]))
+        rows = [next(ids) if ok else [] for ok in good]
+        at, sizes = len(self.known), np.fromiter(map(len, rows), np.int64, len(rows))
+        total = int(sizes.sum())
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + total, np.uint32)])
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(rows), np.uint32, total)
+        self.starts[at : at + len(rows)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[at : at + len(rows)] = np.where(good, sizes, -1)
+        self.used += total
+        self.known.update(zip(words, range(at, at + len(rows)), strict=True))
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids (uint32) of each UTF-8 text."""
+        joined = b" ".join(texts)
+        buffer = np.frombuffer(joined, np.uint8)
+        gaps = np.flatnonzero(buffer == 32)
+        starts, ends = np.concatenate([[0], gaps + 1]), np.append(gaps, len(buffer))
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        heads = np.searchsorted(starts, np.cumsum(lengths + 1) - lengths - 1)
+        first = np.zeros(len(starts), bool)
+        first[heads] = True
+        rest = np.flatnonzero(~first)
+        h = mixed(spans_hashed(BYTE_VALUES[buffer], starts[rest], ends[rest]))
+        _, reps, group = np.unique(h, return_index=True, return_inverse=True)
+        sums = np.concatenate([[0], np.cumsum(buffer, dtype=np.uint64)]).astype(np.uint64)
+        bag = (sums[ends[rest]] - sums[starts[rest]]) << np.uint64(32) | (ends[rest] - starts[rest]).astype(np.uint64)
+        if np.any(bag != bag[reps[group]]):  # words of one hash that differ: tell them all apart
+            return [np.array(x, np.uint32) for x in self._ids([t.decode() for t in texts])]
+        if len(self.known) + len(reps) > self.LIMIT:
+            self._clear()
+        if len(reps) > self.LIMIT:
+            return [x for t in texts for x in self.encode([t])] if len(texts) > 1 else [np.array(x, np.uint32) for x in self._ids([joined.decode()])]
+        spans = zip(starts[rest[reps]].tolist(), ends[rest[reps]].tolist(), strict=True)
+        words = [joined[a:b] for a, b in spans]
         known = self.known
-        # A first word stands without a space before it, so it has an entry of its own.
-        split = [x.split(" ") for x in texts]
-        new = {w for x in split for w in x[1:] if w not in known}
-        spaced = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
-        known.update(zip(new, repeat(None), strict=False))
-        for i in range(0, len(spaced), 2000):
-            part = spaced[i : i + 2000]
-            known.update(zip(part, self._whole([" " + w for w in part]), strict=True))
-        out: list[bytes | None] = []
-        odd = []
-        heads = self._whole([x[0] for x in split])
-        for i, (words, head) in enumerate(zip(split, heads, strict=True)):
-            rest = [known[w] for w in words[1:]]
-            if None in rest or (rest and (not words[0] or words[0][-1].isspace())):
-                odd.append(i)
-                out.append(None)
-            else:
-                out.append(head + b"".join(rest))
-        for i, ids in zip(odd, self._whole([texts[i] for i in odd]), strict=True):
-            out[i] = ids
+        if new := [w for w in words if w not in known]:
+            self._learn(new)
+        entry = np.fromiter(map(known.__getitem__, words), np.int64, len(words))[group]
+        sizes, begins = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        sizes[rest], begins[rest] = self.sizes[entry], self.starts[entry]
+        doc = np.cumsum(first) - 1
+        odd = np.zeros(len(texts), bool)
+        odd[doc[sizes < 0]] = True
+        first_words = [joined[a:b].decode() for a, b in zip(starts[heads].tolist(), ends[heads].tolist(), strict=True)]
+        many = np.diff(np.append(heads, len(starts)))
+        odd |= np.fromiter((n > 1 and (not w or w[-1].isspace()) for w, n in zip(first_words, many, strict=True)), bool, len(texts))
+        head_ids = self._ids(first_words)
+        sizes = np.maximum(sizes, 0)
+        ends_at = np.cumsum(sizes)
+        ids = self.flat[np.arange(ends_at[-1]) + np.repeat(begins - ends_at + sizes, sizes)]
+        last = ends_at[np.append(heads[1:], len(starts)) - 1]
+        out = [np.concatenate([np.array(x, np.uint32), ids[a:b]]) for x, a, b in zip(head_ids, np.concatenate([[0], last[:-1]]), last, strict=True)]
+        at = np.flatnonzero(odd).tolist()
+        for i, x in zip(at, self._ids([texts[i].decode() for i in at]), strict=True):
+            out[i] = np.array(x, np.uint32)
         return out
 
 
@@ -97,17 +142,17 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
         if tokenizer not in _ENCODERS:
             _ENCODERS[tokenizer] = Encoder(tokenizer)
         encoder = _ENCODERS[tokenizer]
-        tail = np.array([end], "<u4").tobytes()
+        tail = np.array([end], np.uint32)
         for batch in batches:
-            texts = [x or "" for x in batch["text"].to_pylist()]
+            texts = binary_texts(batch["text"])
             rows: list[tuple[int, int, int, int, int]] = []
-            for i in range(0, len(texts), 500):
-                for j, ids in enumerate(encoder.encode(texts[i : i + 500]), i):
-                    ids += tail
-                    n = len(ids) // 4
+            for i, j in slices(texts):
+                for k, ids in enumerate(encoder.encode(texts[i:j]), i):
+                    data = np.concatenate([ids, tail]).astype("<u4").tobytes()
+                    n = len(data) // 4
                     starts = [0, *range((n - 1) % capacity + 1, n, capacity)]
-                    for k, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
-                        rows.append((j, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])))
+                    for piece, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
+                        rows.append((k, piece, a, b - a, zlib.crc32(data[4 * a : 4 * b])))
             at, piece, start, length, crc = np.array(rows, np.int64).reshape(-1, 5).T
             yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(at)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
