@@ -15,7 +15,7 @@ CLASH = "doc_id long, text string, lang string, source string, n_chars long, h1
 def rows(seed=1, n=60):
     """Texts that share passages, lines and words, with odd ones between."""
     r = random.Random(seed)
-    vocabulary = [f"w{i}" for i in range(1600)] + ["Élan", "a#b", "x|", "naïve"]
+    vocabulary = [f"w{i}" for i in range(5000)] + ["Élan", "a#b", "x|", "naïve"]
     passages = [" ".join(r.choices(vocabulary, k=k)) for k in (50, 60, 75, 120)]
     lines = ["line one here", "line two there", "line three ends", "other words follow", "last of these"]
     out = []
@@ -231,11 +231,11 @@ def test_mixed_documents_with_repeated_rows(spark):
 def test_classifier_learns_and_leaves_held_out_labels_alone(spark):
     r = random.Random(9)
     bad = ["vile", "scummy"]
-    data = [(i, " ".join([*r.choices([f"w{k}" for k in range(50)], k=30), *([r.choice(bad)] if i % 4 == 0 else [])]), int(i % 4 == 0)) for i in range(1600)]
+    data = [(i, " ".join([*r.choices([f"w{k}" for k in range(50)], k=30), *([r.choice(bad)] if i % 4 == 0 else [])]), int(i % 4 == 0)) for i in range(5000)]
     docs = spark.createDataFrame([(i, t) for i, t, _ in data] + [(9000, None), (9001, "")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in data] + [(None, 1), (3, None)], "doc_id long, toxic int")
     got = {x.doc_id: x for x in toxicity.op1_toxicity(docs, labels).collect()}
-    assert len(got) == 1602 and all(0 <= x.score <= 1 for x in got.values())
+    assert len(got) == 5002 and all(0 <= x.score <= 1 for x in got.values())
     right = [got[i].predicted == y for i, _, y in data if got[i].held_out]
     assert sum(right) / len(right) > 0.97
     flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
