@@ -5,8 +5,8 @@ commonest short words. A document's distance from each is the Jensen-Shannon dis
 divergence in bits, 0 to 1). Texts too short to say are not judged by it: ``guard`` words at least.
 
 DataFrame functions throughout. Words are counted in place by array functions; only the counting of
-common words shuffles, after each task has combined its own counts. References of the ``languages``
-largest languages are broadcast (each some fifty numbers); others share the reference of all documents.
+common words shuffles, after each task has combined its own counts. Every language has a reference of its
+own (some fifty numbers), joined by lang; the planner chooses how.
 
 A null text has no words; a null language is one language; repeated rows each get a result; extra
 columns are left out. An empty table gives an empty result.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boutlake.llm.common import GAP
+from boutlake.llm.common import GAP, materialize
 
 SPAN = 8
 LEAST_WORDS = 20
@@ -25,7 +25,6 @@ REPEAT_PERCENT = 30
 COMMON = 16
 #: Only words of up to so many letters are candidates for common words.
 SHORT = 6
-LANGUAGES = 200
 GUARD = 50
 CHARACTER_LIMIT = 0.5
 WORD_LIMIT = 0.8
@@ -54,30 +53,20 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, GAP), lambda w: w != "")
 
 
-def language_references(docs: DataFrame, common: int = COMMON, languages: int = LANGUAGES) -> DataFrame:
-    """lang, known, classes (share of each), common (words), usual (share of each common word, then of all others)."""
+def language_references(docs: DataFrame, common: int = COMMON) -> DataFrame:
+    """lang, classes (share of each), common (words), usual (share of each common word, then of all others); a row for every lang."""
     key = F.coalesce(F.col("lang"), F.lit(""))
-    sizes = with_classes(docs.select(key.alias("lang"), "text")).groupBy("lang").agg(F.count("*").alias("docs"), *(F.sum(f"n_{c}").alias(c) for c in CLASSES))
-    largest = Window.orderBy(F.col("docs").desc(), "lang")
-    sizes = sizes.withColumn("of", F.when(F.row_number().over(largest) <= languages, F.col("lang")))
+    sizes = with_classes(docs.select(key.alias("lang"), "text", F.size(words_of(_text())).cast("long").alias("n")))
+    sizes = sizes.groupBy("lang").agg(F.sum("n").alias("words"), *(F.sum(f"n_{c}").alias(c) for c in CLASSES))
     short = F.filter(words_of(_text()), lambda w: w.rlike(rf"^\p{{L}}{{1,{SHORT}}}$"))
-    total = docs.select(key.alias("lang"), F.size(words_of(_text())).cast("long").alias("n")).groupBy("lang").agg(F.sum("n").alias("words"))
-    counts = docs.select(key.alias("lang"), F.explode(short).alias("word")).groupBy("lang", "word").count()
-    names = sizes.select("lang", "of")
-    # The reference of all documents serves every language beyond the largest.
-    def both(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(names), "lang").drop("lang").select("*", F.explode(F.array(F.struct(F.lit(True).alias("all")), F.struct(F.lit(False).alias("all")))).alias("w")).where("w.all OR of IS NOT NULL").withColumn("ref", F.when(F.col("w.all"), F.lit(None).cast("string")).otherwise(F.col("of"))).drop("w", "of")
-
-    ranked = both(counts).groupBy("ref", "word").agg(F.sum("count").alias("n"))
-    ranked = ranked.withColumn("r", F.row_number().over(Window.partitionBy("ref").orderBy(F.col("n").desc(), "word"))).where(F.col("r") <= common)
-    ranked = ranked.groupBy("ref").agg(F.array_sort(F.collect_list(F.struct("r", "word", "n"))).alias("top"))
-    pooled = both(sizes.drop("docs", "of").join(total, "lang")).groupBy("ref").agg(F.sum("words").alias("words"), *(F.sum(c).alias(c) for c in CLASSES))
-    pooled = pooled.join(ranked, pooled["ref"].eqNullSafe(ranked["ref"]), "left").drop(ranked["ref"])
+    counts = docs.select(key.alias("lang"), F.explode(short).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    ranked = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))).where(F.col("r") <= common)
+    ranked = ranked.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("r", "word", "n"))).alias("top"))
     chars = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0]))
     top = F.coalesce("top", F.array().cast(ranked.schema["top"].dataType))
     shares = F.transform(top, lambda x: x["n"] / F.greatest("words", F.lit(1)))
-    return pooled.select(
-        "ref", F.array(*(F.col(c) / F.greatest(chars, F.lit(1)) for c in CLASSES)).alias("classes"), F.transform(top, lambda x: x["word"]).alias("common"),
+    return sizes.join(ranked, "lang", "left").select(
+        "lang", F.array(*(F.col(c) / F.greatest(chars, F.lit(1)) for c in CLASSES)).alias("classes"), F.transform(top, lambda x: x["word"]).alias("common"),
         F.concat(shares, F.array(F.lit(1.0) - F.aggregate(shares, F.lit(0.0), lambda s, x: s + x))).alias("usual"),
     )
 
@@ -109,12 +98,10 @@ def repeated_words(words: Column, hashes: Column) -> Column:
 
 def judge_quality(docs: DataFrame, guard: int = GUARD, character_limit: float = CHARACTER_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
     """For each row of docs: doc_id, the counts, base_failed, character_distance, word_distance, kept."""
-    refs = language_references(docs)
-    names = refs.where("ref IS NOT NULL").select(F.col("ref").alias("_ref"), F.struct("classes", "common", "usual").alias("_own"))
-    every = refs.where("ref IS NULL").select(F.struct("classes", "common", "usual").alias("_all"))
+    # Written, so that the planner knows their size: it broadcasts few and deals out many by lang.
+    refs = materialize(language_references(docs).select(F.col("lang").alias("_lang"), F.struct("classes", "common", "usual").alias("_r")), "language-references")
     rows = with_classes(docs.select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("_lang")))
-    # At most `languages` references, and one of all documents.
-    rows = rows.join(F.broadcast(names), F.col("_lang") == F.col("_ref"), "left").join(F.broadcast(every), F.lit(True), "left").withColumn("_r", F.coalesce("_own", "_all"))
+    rows = rows.join(refs, "_lang", "left")
     lines = F.filter(F.split(_text(), "\n", -1), lambda x: x.rlike(_HAS_WORD))
     rows = rows.withColumn("_words", words_of(_text())).withColumn("_lines", lines)
     windows = F.when(F.size("_words") >= SPAN, F.transform(F.sequence(F.lit(1), F.size("_words") - (SPAN - 1)), lambda i: F.xxhash64(F.slice(F.col("_words"), i, SPAN))))
@@ -149,7 +136,6 @@ def _distance_sql(p: str, q: str) -> str:
     return f"sqrt(greatest(0, list_sum(list_transform(list_zip({p}, {q}), lambda z: {terms}))))"
 
 
-#: For tables of at most LANGUAGES languages.
 OP5_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 {", ".join(f"s{i} AS (SELECT *, regexp_replace({x}, '{p}', '', 'g') AS {y} FROM {'d' if not i else f's{i - 1}'})" for i, (p, x, y) in enumerate(_STEPS))},

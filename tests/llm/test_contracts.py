@@ -100,6 +100,18 @@ def test_quality_divergence_rejects_what_is_unlike_its_language(spark):
     assert all(got[i][0] for i in range(40) if not got[i][1])
 
 
+def test_quality_every_language_has_its_own_reference(spark):
+    r = random.Random(4)
+    greek = ["".join(r.choices("αβγδεζηθικλμνξοπρστυφχψω", k=5)) for _ in range(400)]
+    latin = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(400)]
+    data = [(i, " ".join(r.sample(latin, 60)), f"l{i // 2:03}") for i in range(420)] + [(1000, " ".join(r.sample(greek, 60)), "small")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    assert quality_rules.language_references(df).count() == 211
+    got = {x["doc_id"]: (x["character_distance"], x["kept"]) for x in quality_rules.judge_quality(df).collect()}
+    assert len(got) == 421 and all(kept for _, kept in got.values())
+    assert got[1000][0] < 0.01
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     import public_tokenizers
