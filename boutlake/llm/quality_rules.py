@@ -28,6 +28,8 @@ SHORT = 6
 GUARD = 50
 CHARACTER_LIMIT = 0.5
 WORD_LIMIT = 0.8
+#: Part of the word distance of a text with none of its language's common words.
+OWN_SHARE = 0.9
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 CLASSES = ("lower", "upper", "digit", "gap", "mark", "other")
 
@@ -96,8 +98,12 @@ def repeated_words(words: Column, hashes: Column) -> Column:
     return F.when(F.coalesce(n > F.size(F.array_distinct(hashes)), F.lit(False)), covered).otherwise(F.lit(0))
 
 
-def judge_quality(docs: DataFrame, guard: int = GUARD, character_limit: float = CHARACTER_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
-    """For each row of docs: doc_id, the counts, base_failed, character_distance, word_distance, kept."""
+def judge_quality(docs: DataFrame, guard: int = GUARD, character_limit: float = CHARACTER_LIMIT, word_limit: float = WORD_LIMIT, own_share: float | None = None) -> DataFrame:
+    """For each row of docs: doc_id, the counts, base_failed, character_distance, word_distance, kept.
+
+    With own_share, each language's word limit is at most that share of the distance which a text with
+    none of its common words has (about 0.32 where they cover a fifth of all words).
+    """
     # Written, so that the planner knows their size: it broadcasts few and deals out many by lang.
     refs = materialize(language_references(docs).select(F.col("lang").alias("_lang"), F.struct("classes", "common", "usual").alias("_r")), "language-references")
     rows = with_classes(docs.select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("_lang")))
@@ -119,12 +125,25 @@ def judge_quality(docs: DataFrame, guard: int = GUARD, character_limit: float =
         "base_failed": (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")),
         "character_distance": js_distance(F.col("_classes"), F.col("_r.classes")), "word_distance": js_distance(F.col("_shares"), F.col("_r.usual")),
     })
-    odd = (F.col("character_distance") > character_limit) | (F.col("word_distance") > word_limit)
+    limit = F.lit(word_limit)
+    if own_share is not None:
+        none = F.concat(F.transform("_r.common", lambda c: F.lit(0.0)), F.array(F.lit(1.0)))
+        limit = F.least(limit, own_share * js_distance(none, F.col("_r.usual")))
+    odd = (F.col("character_distance") > character_limit) | (F.col("word_distance") > limit)
     return rows.withColumn("kept", ~F.col("base_failed") & ~(judged & odd)).drop("_r", "_classes", "_shares")
 
 
+RESULT = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_quality_rules(documents: DataFrame) -> DataFrame:
-    return judge_quality(documents).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    """By the word limit that OP5_SQL states."""
+    return judge_quality(documents).select(*RESULT)
+
+
+def op5_quality_rules_own_limit(documents: DataFrame) -> DataFrame:
+    """By a word limit relative to each language's own common words."""
+    return judge_quality(documents, own_share=OWN_SHARE).select(*RESULT)
 
 
 _STEPS = (("[a-z]+", "t", "a"), ("[A-Z]+", "a", "b"), ("[0-9]+", "b", "c"), (r"[\x20\x09-\x0D]+", "c", "e"), (r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+", "e", "f"))

@@ -112,6 +112,24 @@ def test_quality_every_language_has_its_own_reference(spark):
     assert got[1000][0] < 0.01
 
 
+def test_quality_own_word_limit_rejects_by_words_alone(spark):
+    r = random.Random(6)
+    rare = ["".join(r.choices("aeinorstldu", k=9)) for _ in range(900)]
+    common = {"en": ["the", "of", "and", "to", "is", "that"], "fr": ["le", "et", "les", "pour", "qui", "une"]}
+    def clean(lang):
+        return " ".join(r.choice(common[lang]) if r.random() < 0.25 else r.choice(rare) for _ in range(120))
+
+    data = [(i, clean("en"), "en") for i in range(60)] + [(100 + i, clean("fr"), "fr") for i in range(60)]
+    data += [(1000, clean("fr"), "en"), (1001, clean("en"), "fr"), (1002, " ".join("".join(r.choices("aeinorstldu", k=5)) for _ in range(120)), "en")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    rows = {x["doc_id"]: x for x in quality_rules.judge_quality(df, own_share=quality_rules.OWN_SHARE).collect()}
+    for i in (1000, 1001, 1002):
+        assert not rows[i]["kept"] and not rows[i]["base_failed"] and rows[i]["character_distance"] <= quality_rules.CHARACTER_LIMIT
+    assert all(x["kept"] for i, x in rows.items() if i < 1000)
+    kept = {x["doc_id"]: x["kept"] for x in quality_rules.op5_quality_rules_own_limit(df).collect()}
+    assert kept == {i: x["kept"] for i, x in rows.items()}
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     import public_tokenizers
