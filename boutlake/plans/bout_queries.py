@@ -127,15 +127,25 @@ SELECT id, trim(substr(w, 1, length(w) - length(wl))) AS wrestler_first_name, wl
 """
 
 
-def opponent_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _opponents(spark: SparkSession, sf_dir: str, people: DataFrame) -> DataFrame:
     lines = bout_text(spark, sf_dir).withColumn("season", F.lit("s"))
-    people = read(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.lit("s").alias("season"), "c_custkey", "c_name", "c_mktsegment")
     df = enrich.enrich(lines, people, {"season": "season", "opponent_id": "c_custkey"}, {"c_name": "known_name", "c_mktsegment": "known_team"}, ["c_name"])
     name = F.coalesce("known_name", parse.opponent_from_line(F.col("raw_details"), F.col("wrestler_name")))
     df = df.withColumn("opponent_name", name)
     return df.select("id", "opponent_name", F.coalesce("known_team", parse.team_after(F.col("raw_details"), F.col("opponent_name"))).alias("opponent_team"))
 
 
+def opponent_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = read(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.lit("s").alias("season"), "c_custkey", "c_name", "c_mktsegment")
+    return _opponents(spark, sf_dir, people)
+
+
+def opponent_resolution_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers are known opponents; those of one segment lack a name."""
+    name = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name")).alias("c_name")
+    return _opponents(spark, sf_dir, read(spark, sf_dir, "customer").select(F.lit("s").alias("season"), "c_custkey", name, "c_mktsegment"))
+
+
 OPPONENT_RESOLUTION = rf"""
 WITH t AS ({BOUT_TEXT_SQL}), j AS (SELECT t.*, c_mktsegment, coalesce(c_name, {_OPPONENT}) AS opponent_name FROM t LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) c ON c_custkey = opponent_id),
 g AS (SELECT *, CASE WHEN strpos(raw_details, opponent_name) > 0 THEN trim(regexp_extract(substr(raw_details, strpos(raw_details, opponent_name) + length(opponent_name)), '\(([^)]*)\)', 1)) END AS team FROM j)
@@ -143,6 +153,13 @@ SELECT id, opponent_name, coalesce(c_mktsegment, CASE WHEN length(team) > 3 THEN
 """
 
 
+OPPONENT_RESOLUTION_WHOLE = rf"""
+WITH t AS ({BOUT_TEXT_SQL}), j AS (SELECT t.*, c_mktsegment, coalesce(CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END, {_OPPONENT}) AS opponent_name FROM t LEFT JOIN customer c ON c_custkey = opponent_id),
+g AS (SELECT *, CASE WHEN strpos(raw_details, opponent_name) > 0 THEN trim(regexp_extract(substr(raw_details, strpos(raw_details, opponent_name) + length(opponent_name)), '\(([^)]*)\)', 1)) END AS team FROM j)
+SELECT id, opponent_name, coalesce(c_mktsegment, CASE WHEN length(team) > 3 THEN team END) AS opponent_team FROM g
+"""
+
+
 def winner(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = bouts(spark, sf_dir).withColumns({"wrestler_name": F.concat(F.lit("User"), "wrestler_id"), "opponent_name": F.concat(F.lit("User"), "opponent_id")})
     return records.winners(df).select("id", "winner_id", "winner_name", parse.event_type(F.col("event")).alias("event_type"))
@@ -277,7 +294,7 @@ SELECT id, CASE WHEN regexp_matches(lower(l), '\bbye\b') THEN 1 ELSE 0 END AS is
 QUERIES = {
     "running_record": (running_record, RUNNING_RECORD), "final_match_flags": (final_match_flags, FINAL_MATCH_FLAGS), "parse_round": (parse_round, PARSE_ROUND),
     "parse_result_score": (parse_result_score, PARSE_RESULT_SCORE), "parse_sides_outcome": (parse_sides_outcome, PARSE_SIDES_OUTCOME), "parse_names": (parse_names, PARSE_NAMES),
-    "opponent_resolution": (opponent_resolution, OPPONENT_RESOLUTION), "winner": (winner, WINNER), "priority_argmax": (priority_argmax, PRIORITY_ARGMAX),
+    "opponent_resolution": (opponent_resolution, OPPONENT_RESOLUTION), "opponent_resolution_whole": (opponent_resolution_whole, OPPONENT_RESOLUTION_WHOLE), "winner": (winner, WINNER), "priority_argmax": (priority_argmax, PRIORITY_ARGMAX),
     "pair_head_to_head": (pair_head_to_head, PAIR_HEAD_TO_HEAD), "finalist_pairs": (finalist_pairs, FINALIST_PAIRS), "percent_rank_k": (percent_rank_k, PERCENT_RANK_K),
     "elo_ratings": (elo_ratings, None), "elo_summary": (elo_summary, None), "top_ratings": (top_ratings, None), "regr_slope": (regr_slope, REGR_SLOPE),
     "bout_index": (bout_index, BOUT_INDEX), "parse_strict": (parse_strict, PARSE_STRICT),

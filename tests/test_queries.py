@@ -28,3 +28,19 @@ def test_query(spark, duck, name):
         order = sorted(range(len(names)), key=lambda i: names[i])
         assert sorted(names) == sorted(got.columns)
         assert rows == sorted(str(tuple(r[i] for i in order)) for r in found.fetchall())
+
+
+@pytest.mark.parametrize(("name", "key", "wanted"), [
+    ("latest_ranking_whole", "wrestler_id", "SELECT p_partkey FROM part"),
+    ("insert_ignore_whole", "k", "SELECT o_custkey FROM orders UNION SELECT -1 - o_custkey FROM orders WHERE o_orderstatus <> 'F'"),
+    ("replace_by_key_whole", "k", "SELECT o_custkey FROM orders UNION SELECT -1 - o_custkey FROM orders WHERE o_orderstatus <> 'F'"),
+    ("school_fixes_whole", "school", "SELECT DISTINCT p_brand || ' ' || p_type FROM part WHERE p_type <> 'ECONOMY'"),
+])
+def test_whole_tables_take_part(spark, duck, name, key, wanted):
+    got = {r[key] for r in catalog.queries()[name](spark, SF).collect()}
+    assert {r[0] for r in duck.execute(wanted).fetchall()} <= got
+
+
+def test_every_customer_is_a_known_opponent(spark, duck):
+    got = {r["opponent_team"] for r in catalog.queries()["opponent_resolution_whole"](spark, SF).where("opponent_name LIKE 'Customer#%'").collect()}
+    assert got and got <= {r[0] for r in duck.execute("SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'").fetchall()}
