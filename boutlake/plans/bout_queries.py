@@ -272,6 +272,19 @@ SELECT list_id, name, candidate, score FROM (SELECT *, row_number() OVER (PARTIT
 """
 
 
+def fuzzy_best_match_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts on both sides, by last word or sound; but for one type the candidates' last words have other vowels.
+
+    No SQL: DuckDB has no soundex of full length.
+    """
+    part = read(spark, sf_dir, "part")
+    names = part.select(F.col("p_partkey").alias("list_id"), F.col("p_name").alias("name"), F.col("p_type").alias("school"), F.col("p_size").alias("weight"))
+    misspelt = F.concat(F.substring_index("p_name", " ", 1), F.lit(" "), F.translate(F.substring_index("p_name", " ", -1), "aeiou", "eioua"))
+    candidate = F.when(F.col("p_type") == "ECONOMY", F.col("p_name")).otherwise(misspelt).alias("candidate")
+    candidates = part.select(candidate, F.col("p_type").alias("other"), F.col("p_size").alias("weight")).distinct()
+    return matching.best_candidates(names, candidates).withColumn("score", F.col("score").cast("long"))
+
+
 def bout_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bout_text(spark, sf_dir).select("id", parse.bout_index(F.col("raw_details")).alias("bout_index"))
 
@@ -299,4 +312,5 @@ QUERIES = {
     "elo_ratings": (elo_ratings, None), "elo_summary": (elo_summary, None), "top_ratings": (top_ratings, None), "regr_slope": (regr_slope, REGR_SLOPE),
     "bout_index": (bout_index, BOUT_INDEX), "parse_strict": (parse_strict, PARSE_STRICT),
     "match_order_backfill": (match_order_backfill, MATCH_ORDER_BACKFILL), "soundex_match": (soundex_match, None), "fuzzy_best_match": (fuzzy_best_match, FUZZY_BEST_MATCH),
+    "fuzzy_best_match_sound": (fuzzy_best_match_sound, None),
 }

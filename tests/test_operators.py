@@ -3,6 +3,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from boutlake.functions import compat
 from boutlake.operators import enrich, matching, ratings, tasks, upsert
 from boutlake.sources import readers, writers
 from boutlake.streaming import refresh
@@ -73,6 +74,26 @@ def test_matching(spark):
     assert {(r["team_clean"], r["like_before"], r["like_after"]) for r in teams} == {("palmer h s   co", 0, 1), ("palmer high", 1, 0), ("zed", 0, 0)}
 
 
+def test_best_candidates_by_last_word_or_sound(spark):
+    names = [(1, "Jon Smith", "North High", 120), (2, "Amy Larsen", "East", 120), (3, "Bo Reed", "West", 126), (4, "Cy Stone", "Hill", 120), (5, "Jon Smith", "South", 126)]
+    cands = [("Jon Smyth", "North High", 120), ("Jon Smithe", "North", 120), ("Jon Smith", "North", 126), ("Amy Larson", "East", 120), ("Amy Lorsen", "East High", 120), ("Bo Reid", "West", 126),
+             ("Bo Reed", "Else", 126), ("Cy Stane", "Other", 120), ("Al Stone", "Hill", 120)]
+    wanted = []
+    for i, name, school, weight in names:
+        found = []
+        for cand, other, w in cands:
+            a, b, s, o = name.lower().split(), cand.lower().split(), school.lower(), other.lower()
+            last, sound = a[-1] == b[-1], compat.soundex_of(name) == compat.soundex_of(cand)
+            score = (a[0] == b[0]) + last + sound + 2 * (s in o or o in s)
+            if w == weight and (last or sound) and score >= 4:
+                found.append((-score, cand, other))
+        wanted += [(i, name, c, -n) for n, c, _ in sorted(found)[:1]]
+    got = matching.best_candidates(
+        spark.createDataFrame(names, "list_id int, name string, school string, weight int"), spark.createDataFrame(cands, "candidate string, other string, weight int"))
+    assert sorted(tuple(r) for r in got.collect()) == wanted
+    assert (2, "Amy Larsen", "Amy Larson", 4) in wanted and (3, "Bo Reed", "Bo Reid", 4) in wanted
+
+
 def test_tasks(spark):
     t = spark.createDataFrame([("a", "LOCKED", 1, "w1", "2026-01-01 00:00:00"), ("b", "PENDING", 3, None, None), ("c", "PENDING", 0, None, None), ("d", "LOCKED", 3, "w2", "2026-01-01 00:59:00")], "task_id string, status string, attempt_count int, locked_by string, at string")
     t = t.select("task_id", "status", "attempt_count", "locked_by", F.col("at").cast("timestamp").alias("locked_at"), F.lit(None).cast("timestamp").alias("updated_at"))

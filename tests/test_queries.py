@@ -44,3 +44,8 @@ def test_whole_tables_take_part(spark, duck, name, key, wanted):
 def test_every_customer_is_a_known_opponent(spark, duck):
     got = {r["opponent_team"] for r in catalog.queries()["opponent_resolution_whole"](spark, SF).where("opponent_name LIKE 'Customer#%'").collect()}
     assert got and got <= {r[0] for r in duck.execute("SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'").fetchall()}
+
+
+def test_best_match_finds_misspelt_names(spark):
+    rows = catalog.queries()["fuzzy_best_match_sound"](spark, SF).collect()
+    assert any(r["name"].split()[-1] != r["candidate"].split()[-1] for r in rows) and all(r["score"] >= 4 for r in rows)
