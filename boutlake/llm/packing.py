@@ -3,9 +3,11 @@
 Documents become pieces of at most ``capacity`` tokens in one pass over the texts. Only the number of
 pieces of each length, at most ``capacity`` numbers whatever the corpus, reaches the driver. There the
 longest remaining length is completed again and again: undominated fillings of the room beside it are
-enumerated, those with more waste than the best so far are pruned, and the filling is used as often as
-the counts allow, so each step uses up a length. The best-fit-decreasing solution is the incumbent;
-other fillings at early steps are tried while the result lies above the lower bound, up to ``retries``.
+enumerated and tried depth first, sequence after sequence. Best-fit-decreasing is the first incumbent; a
+branch whose waste adds up to more than a better solution may have is cut, and so is one that comes back
+to pieces already seen. The search ends at a lower bound, which proves the result, or after ``NODES``
+nodes, ``FILLING_NODES`` for each list of fillings, of which ``KEPT`` are tried: then the best solution so
+far stands, never worse than best fit. These limits bound the driver's time whatever the corpus.
 
 The plan, a bounded table of lengths, ranks and places, is joined to the pieces by rank within length.
 Ranks have two levels, so a length that most pieces share is spread over tasks.
@@ -16,116 +18,81 @@ own; a null doc_id stays null. Extra columns are left out. No rows give no rows.
 
 from __future__ import annotations
 
+import bisect
+import itertools
+import json
 import os
 import zlib
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boutlake.llm.common import BYTE_VALUES, binary_texts, materialize, mixed, slices, spans_hashed
+from boutlake.llm.common import binary_texts, materialize
 
 CAPACITY = 2048
 END = 0
-NODES = 1000
-RETRIES = 8
+#: Nodes of the search over sequences, and of each search for fillings; fillings kept of each.
+NODES = 20_000
+FILLING_NODES = 500
+KEPT = 8
 RANKED = 50_000
+#: How byte-level files split a text before they merge.
+SPLIT = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+Pattern = tuple[tuple[int, int], ...]  # (length, how often) from the longest
+Plan = list[tuple[Pattern, int]]  # patterns and how many sequences follow each
 
 
 class Encoder:
-    """Token ids of texts; ids of words seen before are kept.
+    """Token ids of texts by a file of the tokenizers library.
 
-    The tokenizer's own splitting always breaks before a single space that stands between two other
-    characters than white space. So a text may be encoded word by word, each with the space before it;
-    texts where some space touches white space or an end are encoded whole. Equal words of a slice are
-    looked up once, told by two hashes and their length.
+    A plain byte-level BPE whose ids follow its merges is read from the file and encoded by tiktoken, which
+    gives the same ids in a quarter of the time; any other file is left to tokenizers. Strings of special
+    tokens are ordinary text.
     """
 
-    LIMIT = 600_000
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.starts, self.sizes = np.zeros(self.LIMIT, np.int64), np.zeros(self.LIMIT, np.int64)
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for i in range(0, len(texts), 2000):
-            out += [x.ids for x in self.tokenizer.encode_batch_fast(texts[i : i + 2000], add_special_tokens=False)]
-        return out
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Keep the ids of words after a space; words that start or end with white space, or are empty, get size -1."""
-        texts = [w.decode() for w in words]
-        good = [bool(t) and not t[0].isspace() and not t[-1].isspace() for t in texts]
-        ids = iter(self._ids([" " + t for t, ok in zip(texts, good, strict=True) if ok]))
-        rows = [next(ids) if ok else [] for ok in good]
-        at, sizes = len(self.known), np.fromiter(map(len, rows), np.int64, len(rows))
-        total = int(sizes.sum())
-        if self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + total, np.uint32)])
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(rows), np.uint32, total)
-        self.starts[at : at + len(rows)] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[at : at + len(rows)] = np.where(good, sizes, -1)
-        self.used += total
-        self.known.update(zip(words, range(at, at + len(rows)), strict=True))
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids (uint32) of each UTF-8 text."""
-        joined = b" ".join(texts)
-        buffer = np.frombuffer(joined, np.uint8)
-        gaps = np.flatnonzero(buffer == 32)
-        starts, ends = np.concatenate([[0], gaps + 1]), np.append(gaps, len(buffer))
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        heads = np.searchsorted(starts, np.cumsum(lengths + 1) - lengths - 1)
-        first = np.zeros(len(starts), bool)
-        first[heads] = True
-        rest = np.flatnonzero(~first)
-        h = mixed(spans_hashed(BYTE_VALUES[buffer], starts[rest], ends[rest]))
-        _, reps, group = np.unique(h, return_index=True, return_inverse=True)
-        sums = np.concatenate([[0], np.cumsum(buffer, dtype=np.uint64)]).astype(np.uint64)
-        bag = (sums[ends[rest]] - sums[starts[rest]]) << np.uint64(32) | (ends[rest] - starts[rest]).astype(np.uint64)
-        if np.any(bag != bag[reps[group]]):  # words of one hash that differ: tell them all apart
-            return [np.array(x, np.uint32) for x in self._ids([t.decode() for t in texts])]
-        if len(self.known) + len(reps) > self.LIMIT:
-            self._clear()
-        if len(reps) > self.LIMIT:
-            return [x for t in texts for x in self.encode([t])] if len(texts) > 1 else [np.array(x, np.uint32) for x in self._ids([joined.decode()])]
-        spans = zip(starts[rest[reps]].tolist(), ends[rest[reps]].tolist(), strict=True)
-        words = [joined[a:b] for a, b in spans]
-        known = self.known
-        if new := [w for w in words if w not in known]:
-            self._learn(new)
-        entry = np.fromiter(map(known.__getitem__, words), np.int64, len(words))[group]
-        sizes, begins = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-        sizes[rest], begins[rest] = self.sizes[entry], self.starts[entry]
-        doc = np.cumsum(first) - 1
-        odd = np.zeros(len(texts), bool)
-        odd[doc[sizes < 0]] = True
-        first_words = [joined[a:b].decode() for a, b in zip(starts[heads].tolist(), ends[heads].tolist(), strict=True)]
-        many = np.diff(np.append(heads, len(starts)))
-        odd |= np.fromiter((n > 1 and (not w or w[-1].isspace()) for w, n in zip(first_words, many, strict=True)), bool, len(texts))
-        head_ids = self._ids(first_words)
-        sizes = np.maximum(sizes, 0)
-        ends_at = np.cumsum(sizes)
-        ids = self.flat[np.arange(ends_at[-1]) + np.repeat(begins - ends_at + sizes, sizes)]
-        last = ends_at[np.append(heads[1:], len(starts)) - 1]
-        out = [np.concatenate([np.array(x, np.uint32), ids[a:b]]) for x, a, b in zip(head_ids, np.concatenate([[0], last[:-1]]), last, strict=True)]
-        at = np.flatnonzero(odd).tolist()
-        for i, x in zip(at, self._ids([texts[i].decode() for i in at]), strict=True):
-            out[i] = np.array(x, np.uint32)
-        return out
+        ranks = merge_ranks(path)
+        if ranks is not None:
+            self.fast = tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        else:
+            from tokenizers import Tokenizer
+
+            self.fast, self.slow = None, Tokenizer.from_file(path)
+            self.slow.encode_special_tokens = True
+
+    def encode(self, text: bytes) -> np.ndarray:
+        """Ids (uint32) of a UTF-8 text."""
+        if self.fast is not None:
+            return self.fast.encode_to_numpy(text.decode(), disallowed_special=())
+        return np.array(self.slow.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.uint32)
+
+
+def merge_ranks(path: str) -> dict[bytes, int] | None:
+    """Bytes of each token and its id, if the file is a byte-level BPE in which a lower id is merged first; else None."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if not plain or spec.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        return None
+    # Byte-level files write printable bytes as themselves and the others as letters from 256 on.
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    special = {t["content"] for t in spec.get("added_tokens", ())}
+    vocab = {t: i for t, i in model["vocab"].items() if t not in special}
+    merged = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", "", 1), -1) for m in model["merges"]]
+    in_order = all(x < y for x, y in itertools.pairwise([max(vocab.get(c, 1 << 40) for c in byte_of), *merged]))
+    if not in_order or len(vocab) != len(merged) + 256:
+        return None
+    return {bytes(map(byte_of.__getitem__, t)): i for t, i in vocab.items()}
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -146,13 +113,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
         for batch in batches:
             texts = binary_texts(batch["text"])
             rows: list[tuple[int, int, int, int, int]] = []
-            for i, j in slices(texts):
-                for k, ids in enumerate(encoder.encode(texts[i:j]), i):
-                    data = np.concatenate([ids, tail]).astype("<u4").tobytes()
-                    n = len(data) // 4
-                    starts = [0, *range((n - 1) % capacity + 1, n, capacity)]
-                    for piece, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
-                        rows.append((k, piece, a, b - a, zlib.crc32(data[4 * a : 4 * b])))
+            for k, text in enumerate(texts):
+                data = np.concatenate([encoder.encode(text), tail]).astype("<u4").tobytes()
+                n = len(data) // 4
+                starts = [0, *range((n - 1) % capacity + 1, n, capacity)]
+                for piece, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
+                    rows.append((k, piece, a, b - a, zlib.crc32(data[4 * a : 4 * b])))
             at, piece, start, length, crc = np.array(rows, np.int64).reshape(-1, 5).T
             yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(at)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
@@ -160,10 +126,6 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-Pattern = tuple[tuple[int, int], ...]  # (length, how often) from the longest
-Plan = list[tuple[Pattern, int]]  # patterns and how many sequences follow each
-
-
 def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     """Best-fit-decreasing, whole groups of equal sequences at a time."""
     rooms: dict[int, list[tuple[tuple[int, ...], int]]] = {}
@@ -185,81 +147,145 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     return [(tuple((x, items.count(x)) for x in dict.fromkeys(items)), many) for groups in rooms.values() for items, many in groups]
 
 
-def fillings(room: int, counts: np.ndarray, nodes: int) -> list[tuple[int, tuple[int, ...]]]:
-    """Undominated fillings of room as (waste, lengths), least waste and longest lengths first.
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing needs: by all tokens, and by long pieces that leave each other too little room."""
+    n, size = np.zeros(capacity + 2, np.int64), np.zeros(capacity + 2, np.int64)
+    for length, many in counts.items():
+        n[length], size[length] = many, many * length
+    n_up, size_up = np.cumsum(n[::-1])[::-1], np.cumsum(size[::-1])[::-1]  # of this length or longer
+    half = capacity // 2 + 1
+    best = -(-int(size_up[0]) // capacity)
+    for least in range(1, half):
+        alone, wide = int(n_up[capacity - least + 1]), int(n_up[half] - n_up[capacity - least + 1])
+        room = wide * capacity - int(size_up[half] - size_up[capacity - least + 1])
+        best = max(best, alone + wide + max(0, -(-(int(size_up[least] - size_up[half]) - room) // capacity)))
+    return best
+
 
-    counts: pieces left of each length. A filling to which some piece could still be added is dominated
-    and not listed; a branch ends when the longest piece it may add cannot better the waste found.
+def fillings(room: int, left: np.ndarray, most_waste: int, free: int = 0, nodes: int = FILLING_NODES, kept: int = KEPT) -> list[tuple[int, Pattern]]:
+    """Undominated fillings of room as (waste, pattern): least waste beyond what is free, then the longest pieces.
+
+    left: pieces left of each length. All pieces of a length are one step of the search. A filling is
+    dominated if a piece left could be added, or could stand in for one or two of its pieces that are
+    together no longer; the shorter ones are then free for later. A branch ends where the pieces it may
+    still take leave more waste than most_waste, or room for a piece it has passed over.
     """
-    found: list[tuple[int, tuple[int, ...]]] = []
-    least, seen = room + 1, 0
-    present = np.flatnonzero(counts[: room + 1])[::-1].tolist()
-    if not present:
-        return [(room, ())]
-    shortest = present[-1]
-    stack: list[tuple[int, int, tuple[int, ...]]] = [(room, 0, ())]
-    while stack and seen < nodes:
-        left, at, items = stack.pop()
-        seen += 1
-        while at < len(present) and (present[at] > left or items.count(present[at]) >= counts[present[at]]):
+    lengths = np.flatnonzero(left[: room + 1])[::-1].tolist()
+    if not lengths:
+        return [(room, ())] if room <= most_waste else []
+    have = [int(left[x]) for x in lengths]
+    held = [0] * (len(lengths) + 1)
+    for i in range(len(lengths) - 1, -1, -1):
+        held[i] = held[i + 1] + lengths[i] * have[i]
+    upto = np.concatenate([[0], np.cumsum(left[: room + 1] > 0)]).tolist()  # lengths present below each
+
+    def dominated(waste: int, items: Pattern) -> bool:
+        gone = {x for x, k in items if k == left[x]}
+        sizes = [x for x, _ in items]
+        for i, x in enumerate(sizes):
+            sums = [(x + 1, x + waste)] + [(x + y, x + y + waste) for y in sizes[i + 1 :]] + ([(2 * x, 2 * x + waste)] if items[i][1] > 1 else [])
+            for low, high in sums:
+                high = min(high, room)
+                if low <= high and upto[high + 1] - upto[low] > sum(low <= g <= high for g in gone):
+                    return True
+        return False
+
+    found: list[tuple[int, list[tuple[int, int]], int, Pattern]] = []
+    stack: list[tuple[int, int, int, int, Pattern]] = [(room, 0, min(have[0], room // lengths[0]), most_waste, ())]
+    while stack and nodes:
+        nodes -= 1
+        space, at, times, limit, items = stack.pop()
+        x = lengths[at]
+        here = min(limit, x - 1) if times < min(have[at], space // x) else limit
+        after = space - times * x
+        # Fewer of this length leave more to fill: no sibling can do better once this one cannot.
+        if after - held[at + 1] <= here:
+            if times:
+                stack.append((space, at, times - 1, limit, items))
+            if times:
+                items = (*items, (x, times))
             at += 1
-        if at == len(present):
-            if left < least or (left == least and len(found) < 4):
-                least = min(least, left)
-                found.append((left, items))
-            if not left and len(found) >= 4:
-                break
-            continue
-        exact = left <= len(counts) - 1 and counts[left] > items.count(left)
-        if exact:
-            least = 0
-            found.append((0, (*items, left)))
-            if len(found) >= 4:
-                break
-        # Without this length, later; with it, next.
-        if left - present[at] >= 0 and at + 1 < len(present) and (least or not exact):
-            stack.append((left, at + 1, items))
-        if not exact or present[at] < left:
-            rest = left - present[at]
-            if rest == 0 or rest >= shortest or rest < least:
-                stack.append((rest, at, (*items, present[at])))
-    return sorted(found, key=lambda x: (x[0], [-i for i in x[1]]))[:4] or [(room, ())]
-
-
-def complete_bins(counts: dict[int, int], capacity: int, nodes: int, other_at: int | None) -> Plan:
-    """Fill around the longest piece left until none is; at step other_at take the second filling."""
+            while at < len(lengths) and lengths[at] > after:
+                at += 1
+            if at < len(lengths) and after:
+                stack.append((after, at, min(have[at], after // lengths[at]), here, items))
+            elif after <= here:
+                key = (max(0, after - free), [(-x, -k) for x, k in items], after, items)
+                if (len(found) < kept or key < found[-1]) and not dominated(after, items):
+                    bisect.insort(found, key)
+                    del found[kept:]
+    return [(after, items) for _, _, after, items in found]
+
+
+def complete_bins(counts: dict[int, int], capacity: int, best: Plan, bound: int, nodes: int) -> Plan:
+    """The best plan of a depth-first search over sequences that starts with best as incumbent.
+
+    Each node fills the longest piece left, by its undominated fillings in turn, each as often as the
+    counts and the waste allow, then each once. A branch ends where its waste so far, or the pieces
+    longer than half a sequence, rule out fewer sequences than the incumbent's, or where the same pieces
+    were left after no more sequences. The search ends at the bound or after so many nodes.
+    """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
-    plan: Plan = []
-    step = 0
-    for longest in sorted(counts, reverse=True):
-        while left[longest]:
-            left[longest] -= 1
-            ways = fillings(capacity - longest, left, nodes)
-            left[longest] += 1
-            waste, items = ways[1] if step == other_at and len(ways) > 1 else ways[0]
-            step += 1
-            need = [(x, (longest, *items).count(x)) for x in dict.fromkeys((longest, *items))]
-            many = min(int(left[x]) // k for x, k in need)
-            for x, k in need:
-                left[x] -= k * many
-            plan.append((tuple(need), many))
-    return plan
-
-
-def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, retries: int = RETRIES) -> Plan:
+    total, fewest = sum(x * n for x, n in counts.items()), sum(n for _, n in best)
+    seen: dict[int, int] = {}
+    path: Plan = []
+    used = waste = 0
+
+    def choices() -> list[tuple[Pattern, int, int]]:
+        spare = (fewest - 1) * capacity - total - waste
+        longest = int(np.flatnonzero(left)[-1])
+        if spare < 0 or used + int(left[capacity // 2 + 1 :].sum()) >= fewest:
+            return []
+        state = hash(left.tobytes())
+        if seen.get(state, used + 1) <= used:
+            return []
+        seen[state] = used
+        left[longest] -= 1
+        ways = fillings(capacity - longest, left, spare, spare // max(1, fewest - 1 - used))
+        left[longest] += 1
+        out = []
+        for lost, items in ways:
+            pattern = tuple(sorted((Counter({longest: 1}) + Counter(dict(items))).items(), reverse=True))
+            many = min(int(left[x]) // k for x, k in pattern)
+            out.append((pattern, min(many, spare // lost) if lost else many, lost))
+        return [*out, *((p, 1, lost) for p, n, lost in out if n > 1)]
+
+    frames = [iter(choices())] if total else []
+    while frames and nodes and fewest > bound:
+        step = next(frames[-1], None)
+        # The incumbent may have improved since these choices were listed.
+        if step is not None and waste + step[1] * step[2] > (fewest - 1) * capacity - total:
+            continue
+        if step is None:
+            frames.pop()
+            if path:
+                pattern, n = path.pop()
+                used -= n
+                waste -= n * (capacity - sum(x * k for x, k in pattern))
+                for x, k in pattern:
+                    left[x] += n * k
+            continue
+        nodes -= 1
+        pattern, n, lost = step
+        for x, k in pattern:
+            left[x] -= n * k
+        path.append((pattern, n))
+        used, waste = used + n, waste + n * lost
+        if left.any():
+            frames.append(iter(choices()))
+        else:
+            best, fewest = list(path), used
+            frames.append(iter(()))
+    return best
+
+
+def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
     """How to fill as few sequences as found: patterns of lengths, and how many sequences follow each."""
-    bins = lambda plan: sum(n for _, n in plan)
-    total = sum(x * n for x, n in counts.items())
-    bound = max(-(-total // capacity), sum(n for x, n in counts.items() if 2 * x > capacity))
-    best = best_fit(counts, capacity)
-    for other in [None, *range(retries)]:
-        if bins(best) <= bound:
-            break
-        plan = complete_bins(counts, capacity, nodes, other)
-        if bins(plan) < bins(best):
-            best = plan
+    best, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
+    if sum(n for _, n in best) > bound:
+        best = complete_bins(counts, capacity, best, bound, nodes)
     return best
 
 

@@ -111,3 +111,16 @@ def sequences(rows, capacity=2048):
             at += length
         assert at <= capacity
     return len(by)
+
+
+def fewest_bins(pieces, capacity):
+    """Over all sets of pieces: fewest bins, then the least used of the last one."""
+    best = [(1, 0)] + [None] * ((1 << len(pieces)) - 1)
+    for got in range(1, 1 << len(pieces)):
+        ways = []
+        for i, x in enumerate(pieces):
+            if got >> i & 1:
+                bins, used = best[got ^ 1 << i]
+                ways.append((bins, used + x) if used + x <= capacity else (bins + 1, x))
+        best[got] = min(ways)
+    return best[-1][0] if pieces else 0

@@ -1,8 +1,10 @@
 """Each operator against a plain version, on rows with nulls, ties, repeats and clashing columns."""
 
 import random
+from collections import Counter
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,9 +156,31 @@ def test_encoder_agrees_on_odd_spaces(tokenizer):
     texts = ["", " ", "  a", "a ", "a  b", "a \n b", "a\n b", "a  b", "it's we'll 12 3a", "tab\tx y", "a b\n", "\nx y", "é ü  z", "<|endoftext|> a", "a ' s"]
     r = random.Random(11)
     texts += ["".join(r.choices([" ", " ", "\n", "a", "é", "b'", "7", "\u00a0", "word", "."], k=r.randint(1, 60))) for _ in range(300)]
+    texts += [" " * 5000, "\n" * 3001 + "x", "a" * 20_000, "^" * 5000 + " y", "7" * 4000, "🏅" * 3000]
     encoder = packing.Encoder(path)
-    for part in (texts, texts[::-1], texts[:1]):
-        assert [x.tolist() for x in encoder.encode([t.encode() for t in part])] == [encode(t) for t in part]
+    assert encoder.fast is not None
+    assert [encoder.encode(t.encode()).tolist() for t in texts] == [encode(t) for t in texts]
+
+
+def test_encoder_leaves_other_files_to_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, plain = packing.Encoder(path), Tokenizer.from_file(path)
+    assert encoder.fast is None
+    assert encoder.encode(b"It's a Test, 12 times.").tolist() == plain.encode("It's a Test, 12 times.", add_special_tokens=False).ids
+
+
+def test_packing_cuts_long_documents_only(spark, tokenizer):
+    path, encode = tokenizer
+    r = random.Random(13)
+    texts = [" ".join(r.choices(["stone", "river", "é", "x12", "\n"], k=k)) for k in (1, 2047, 2048, 2049, 5000, 60_000)] + ["b" * 50_000, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = packing.pack_documents(df, path).collect()
+    assert sorted(tuple(x)[:5] for x in got) == sorted(brute.pieces(list(enumerate(texts)), encode))
+    assert max(x.piece for x in got) > 20
+    brute.sequences([(x.length, x.sequence_id, x.offset) for x in got])
 
 
 def test_packing_plan_uses_every_piece_and_beats_no_bound():
@@ -181,6 +205,29 @@ def test_bin_completion_betters_best_fit():
     assert sum(n for _, n in packing.pack_lengths(counts, 10)) == 4
 
 
+def test_bin_completion_finds_the_fewest_sequences():
+    """Against every packing of small instances; in many the longest pieces' least wasteful fillings are wrong."""
+    r = random.Random(21)
+    bettered = 0
+    for _ in range(150):
+        capacity = r.choice([20, 30, 60])
+        pieces = [r.randint(max(1, capacity // 8), capacity * 2 // 3) for _ in range(12)]
+        counts = dict(Counter(pieces))
+        found, start = (sum(n for _, n in plan) for plan in (packing.pack_lengths(counts, capacity), packing.best_fit(counts, capacity)))
+        assert packing.lower_bound(counts, capacity) <= found == brute.fewest_bins(pieces, capacity)
+        bettered += found < start
+    assert bettered >= 5
+
+
+def test_fillings_are_undominated_and_longest_first():
+    left = [0] * 31
+    for x, n in {17: 1, 12: 1, 9: 2, 8: 1, 5: 3, 1: 40}.items():
+        left[x] = n
+    found = packing.fillings(18, np.array(left), 18)
+    assert found[0] == (0, ((17, 1), (1, 1)))
+    assert all(waste == 0 for waste, _ in found) and (0, ((1, 18),)) not in found
+
+
 def test_embeddings(spark):
     r = random.Random(6)
     base = [[r.gauss(0, 1) for _ in range(12)] for _ in range(20)]
