@@ -47,6 +47,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder that materialize wrote df to; nothing may read it later."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
+    if folder is not None and folder.getParent().getName() == "boutlake":
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether crc32 of the id as text leaves 1 when divided by 3; a null id does not."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

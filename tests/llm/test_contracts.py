@@ -240,18 +240,34 @@ def test_embeddings(spark):
     assert max(x[1] for x in got) > 3
 
 
-def test_embeddings_in_small_blocks(spark):
+def test_embeddings_in_small_tiles(spark):
     r = random.Random(8)
-    data = [(i, [1 + r.gauss(0, 0.1) for _ in range(6)]) for i in range(150)]
-    df = spark.createDataFrame([(i, bytearray(__import__("numpy").array(v).tobytes()), 1) for i, v in data], "node long, raw binary, copies long")
-    found = embedding_dedup.embedding_links(df, block=16).collect()
+    data = [(i, [1 + r.gauss(0, 0.1) for _ in range(6)]) for i in range(150)] + [(1000 + i, [r.gauss(0, 1) for _ in range(6)]) for i in range(150)]
+    df = spark.createDataFrame([(i, bytearray(np.array(v).tobytes()), 8, 1) for i, v in data], "node long, raw binary, width int, copies long").cache()
     want = brute.vectors(data)
-    counts = {}
-    for a, b, n in found:
-        if b is None:
-            counts[a] = counts.get(a, 0) + n
-    assert counts == {i: n for i, n, *_ in want if n}
-    assert brute.roots([i for i, _ in data], [(a, b) for a, b, _ in found if b is not None]) == {i: c for i, _, c, _ in want}
+    for tile_bytes, short in ((500, 4), (3000, 16), (1 << 20, 64)):
+        found = embedding_dedup.embedding_links(df, tile_bytes=tile_bytes, short=short).collect()
+        counts = {}
+        for a, b, n in found:
+            if b is None:
+                counts[a] = counts.get(a, 0) + n
+        assert counts == {i: n for i, n, *_ in want if n}
+        assert brute.roots([i for i, _ in data], [(a, b) for a, b, _ in found if b is not None]) == {i: c for i, _, c, _ in want}
+
+
+def test_embeddings_skip_distant_tiles(spark):
+    r = random.Random(9)
+    low, high = [-1.0] * 4 + [0.0] * 4, [1.0] * 4 + [0.0] * 4
+    data = [[x + r.gauss(0, 0.01) for x in (low, high)[i % 2]] for i in range(64)]
+    sides = [embedding_dedup.boxes(embedding_dedup.units_of(np.array(data[i::2]).tobytes(), 32, 8), 8) for i in range(2)]
+    assert list(embedding_dedup.interval_pairs(sides[0], sides[1], 0.32, False)) == []
+    assert sorted(embedding_dedup.interval_pairs(sides[0], sides[0], 0.32, True)) == [(i, j) for i in range(4) for j in range(i, 4)]
+
+
+def test_embeddings_keep_text_ids(spark):
+    df = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.01]), ("c", [0.0, 1.0]), (None, [1.0, 0.0])], "vec_id string, embedding array<float>")
+    got = sorted((tuple(x) for x in embedding_dedup.op7_embedding_near_dedup(df).collect()), key=str)
+    assert got == sorted([("a", 1, "a", True), ("b", 1, "a", False), ("c", 0, "c", True), (None, 0, None, False)], key=str)
 
 
 def test_lines_keep_the_first_passage(spark):
