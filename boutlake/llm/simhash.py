@@ -7,8 +7,12 @@ all, so a tile meets only tiles within that distance; all other pairs are skippe
 tiles is compared whole, with exclusive-or and bit counts in numpy, and yields links that span its
 components rather than every link. No candidate is capped, and equal fingerprints are one node.
 
-Null and empty texts have fingerprint zero and link like any other. Rows without doc_id take their
-group's component, which is null where no row of the group has an id. Repeated rows each get a result.
+Names of tiles are paired first and dealt evenly over tasks; only then do fingerprints follow.
+
+Null and empty texts have fingerprint zero and link like any other; very long texts are read whole. Rows
+without doc_id take their group's component, which is null where no row of the group has an id. doc_id may
+be of any type that has an order, and keeps it. Repeated rows each get a result. Extra columns are left out
+of results by document and kept by drop_near_duplicates, whatever their names. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boutlake.llm.common import binary_texts, materialize, slices
@@ -28,7 +32,10 @@ from boutlake.llm.components import connected_components, spanning_edges
 WORDS = 3
 RADIUS = 3
 SEED = 42
-TILE = 256
+TILE = 1024
+#: Pairs of tiles for a task, and most tasks; beyond so many pairs a task takes more.
+PAIRS = 2_000
+MOST_TASKS = 100_000
 
 
 def fingerprints_of(texts: list[bytes], width: int = WORDS, seed: int = SEED) -> np.ndarray:
@@ -67,7 +74,8 @@ def simhash(docs: DataFrame, width: int = WORDS, seed: int = SEED) -> DataFrame:
             fps = np.concatenate([fingerprints_of(texts[i:j], width, seed) for i, j in slices(texts)] or [np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(fps)], ["doc_id", "text_key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, "doc_id long, text_key long, fp long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, f"doc_id {kind}, text_key long, fp long")
 
 
 def _quarters(fp: str) -> list[Column]:
@@ -90,14 +98,15 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) ->
         rows.join(F.broadcast(parts), counts).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
         .groupBy(*counts, "part").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     )
-    tiles = materialize(tiles, "tiles")
+    tiles = materialize(tiles.withColumn("name", F.monotonically_increasing_id()), "tiles")
     steps = F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(s, ("d0", "d1", "d2", "d3"), strict=True))) for s in _steps(radius)))
-    guests = (
-        tiles.withColumn("d", F.explode(steps))
-        .select(*((F.col(f"q{i}") + F.col(f"d.d{i}")).alias(f"q{i}") for i in range(4)), F.col("part").alias("guest"), F.col("fps").alias("others"), (F.array("d.d0", "d.d1", "d.d2", "d.d3") == F.array(*[F.lit(0)] * 4)).alias("own"))
-        .join(F.broadcast(parts), counts)
-    )
-    pairs = tiles.join(guests, counts).where(~F.col("own") | (F.col("guest") >= F.col("part"))).select("fps", "others", (F.col("own") & (F.col("guest") == F.col("part"))).alias("same"))
+    # Names of tiles meet by quarter counts; the fingerprints follow once the pairs are dealt evenly.
+    guests = tiles.select(F.col("name").alias("guest"), *counts, F.explode(steps).alias("d")).select(
+        "guest", *((F.col(f"q{i}") + F.col(f"d.d{i}")).alias(f"q{i}") for i in range(4)), (F.array("d.d0", "d.d1", "d.d2", "d.d3") == F.array(*[F.lit(0)] * 4)).alias("own"))
+    met = tiles.select("name", *counts).join(guests, counts).where(~F.col("own") | (F.col("guest") >= F.col("name"))).select("name", "guest")
+    met = materialize(met, "tile-pairs")
+    met = met.repartition(max(1, min(-(-met.count() // PAIRS), MOST_TASKS)), "name", "guest")
+    pairs = met.join(tiles.select(F.col("name").alias("guest"), F.col("fps").alias("others")), "guest").join(tiles.select("name", "fps"), "name").select("fps", "others", (F.col("name") == F.col("guest")).alias("same"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         most = np.uint8(radius)
@@ -138,14 +147,18 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = WORDS, s
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = WORDS, seed: int = SEED, tile: int = TILE) -> DataFrame:
-    """The first row of each group, by doc_id (null last) and the text's hash, with all columns of docs."""
+    """The first row of each group, by doc_id (null last) and the text's hash, with all columns of docs.
+
+    Rows that repeat an id and text are reduced in each task before they meet; the one of the least hash stays.
+    """
     name = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
-    firsts = _classes(docs, radius, width, seed, tile)[2].select(name(F.col("first.doc_id")).alias("__id"), F.col("first.text_key").alias("__key"))
-    rows = docs.withColumns({"__id": name(F.col("doc_id")), "__key": F.xxhash64("text")}).join(firsts, ["__id", "__key"], "left_semi")
-    # Rows that repeat an id and text are left in the same partition by the join; one of them stays.
-    same = Window.partitionBy("__id", "__key").orderBy(*(c for c in docs.columns if c not in ("doc_id", "text")) or ("__key",))
-    return rows.withColumn("__nth", F.row_number().over(same)).where(F.col("__nth") == 1).select(*docs.columns)
+    firsts = _classes(docs, radius, width, seed, tile)[2].select(name(F.col("first.doc_id")).alias("id"), F.col("first.text_key").alias("key"))
+    # The caller's columns travel as one struct, so that none of them meets the names used here.
+    rows = docs.select(name(F.col("doc_id")).alias("id"), F.xxhash64("text").alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.join(firsts, ["id", "key"], "left_semi").groupBy("id", "key").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return rows.select("row.*")
 
 
 def op9_simhash_near_dedup(documents: DataFrame) -> DataFrame:
+    """Fingerprint and component of every document; nulls, empty texts, repeats and ids as in the module."""
     return near_duplicates(documents).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
