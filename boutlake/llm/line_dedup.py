@@ -9,7 +9,9 @@ on document leave oversized partitions to adaptive skew handling.
 
 Lines end at each newline and compare exactly; windows without a word in them do not count. Texts of
 fewer than three lines, null texts and rows without doc_id stay as they are. Rows of one doc_id and text
-are one document. A passage that repeats inside one document loses its later copies as well.
+are one document. A passage that repeats inside one document loses its later copies as well. Very long
+texts are read whole. doc_id may be of any type that has an order. Extra columns stay as they are, whatever
+their names. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -49,29 +51,33 @@ def repeated_line_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, size: int = SIZE, counts: bool = True) -> DataFrame:
     """docs with text cut and, if asked for, n_lines and n_removed (long) after or in place of columns so named."""
-    spans = repeated_line_spans(docs, size).withColumnsRenamed({"doc_id": "__doc", "text_key": "__key", "spans": "__spans"})
-    rows = docs.join(spans, (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__key")), "left")
+    spans = repeated_line_spans(docs, size).select(F.col("doc_id").alias("of"), F.col("text_key").alias("key"), "spans")
+    # The caller's columns travel as one struct, so that none of them meets the names used here.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.join(spans, (F.col("row.doc_id") == F.col("of")) & (F.xxhash64("row.text") == F.col("key")), "left")
     # A column of its own: inside the functions below an expression would be split again for each interval.
-    rows, lines = rows.withColumn("__lines", F.split("text", "\n", -1)), F.col("__lines")
+    rows, lines = rows.withColumn("lines", F.split("row.text", "\n", -1)), F.col("lines")
     # What stays lies before the first interval, between one and the next, and after the last.
-    n = F.size("__spans")
+    n = F.size("spans")
     gaps = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
-        F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("__spans"), i - 1)["end"]).alias("a"),
-        F.when(i == n, F.size(lines)).otherwise(F.get(F.col("__spans"), i)["begin"]).alias("b")))
+        F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("spans"), i - 1)["end"]).alias("a"),
+        F.when(i == n, F.size(lines)).otherwise(F.get(F.col("spans"), i)["begin"]).alias("b")))
     kept = F.flatten(F.transform(gaps, lambda g: F.slice(lines, g["a"] + 1, g["b"] - g["a"])))
-    gone = F.aggregate("__spans", F.lit(0), lambda s, x: s + x["end"] - x["begin"])
-    hit = F.col("__spans").isNotNull()
-    cut = F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text")
+    gone = F.aggregate("spans", F.lit(0), lambda s, x: s + x["end"] - x["begin"])
+    hit = F.col("spans").isNotNull()
+    cut = F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("row.text")).alias("text")
     added = {}
     if counts:
         added = {
-            "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
+            "n_lines": F.when(F.col("row.text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
             "n_removed": F.when(hit, gone).otherwise(0).cast("long"),
         }
-    return rows.select(*(cut if c == "text" else F.col(c) for c in docs.columns if c not in added), *(added[c].alias(c) for c in added))
+    own = [cut if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in added]
+    return rows.select(*own, *(added[c].alias(c) for c in added))
 
 
 def op8_line_dedup(documents: DataFrame) -> DataFrame:
+    """Lines, lines removed and the hash of what stays of every document; nulls, short texts and repeats as in the module."""
     return dedup_lines(documents.select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
