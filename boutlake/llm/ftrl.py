@@ -1,9 +1,10 @@
 """Logistic regression over hashed word n-grams, fitted with FTRL-proximal updates.
 
-The fit reads a bounded sample of labelled rows (``Model.max_train_rows``), dealt into ``shards``
-groups by a hash of the id. Each group runs its own pass of updates in hash order and the weights
-are averaged, so neither the driver nor a task sees more than the bound. The L1 term leaves few
-weights other than zero; only those travel to the scoring tasks, which read every whole text once.
+The fit reads a bounded sample of labelled rows (``Model.max_train_rows``): those whose id's hash lies
+under a threshold, so each task picks its own. They are written once and dealt into shards of about
+``shard_bytes`` of text by the hash. Each shard runs its own pass of updates in hash order and the weights
+are averaged, so neither the driver nor a task holds more than that, however long texts are. The L1 term
+leaves few weights other than zero; only those travel to the scoring tasks, which read every whole text once.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boutlake.llm.common import BYTE_VALUES, Words, binary_texts, mixed, slices
+from boutlake.llm.common import BYTE_VALUES, Words, binary_texts, materialize, mixed, slices
 
 #: Left out of words for the "skip" kind, so that "word," is "word".
 MARKS = b".,;:!?\"'()[]{}*#$%&|<>-_"
@@ -41,7 +42,7 @@ class Model:
     l2: float = 1.0
     epochs: int = 3
     positive: float = 1.0  # weight of label 1
-    shards: int = 2
+    shard_bytes: int = 40 << 20  # texts of one shard of the sample
     max_train_rows: int = 30_000
     seed: int = 7
     at: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -114,21 +115,23 @@ class Model:
         docs: doc_id, text. labels: doc_id and the 0/1 column named by label; null ids and labels
         are left out, repeated ids take the larger label. An empty sample gives a model that scores 0.5.
         """
-        sample = (
-            labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
-            .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-            .withColumn("place", F.xxhash64(F.lit(self.seed), "doc_id"))
-            .orderBy("place", "doc_id").limit(self.max_train_rows)
-        )
+        known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+        known = materialize(known.withColumn("place", F.xxhash64(F.lit(self.seed), "doc_id")), "labels")
+        # A share of the hashes that more than max_train_rows rows will not fall into, four deviations off.
+        most = max(1.0, self.max_train_rows - 4 * self.max_train_rows**0.5)
+        share = min(1.0, most / max(1, known.count())) if known.count() > self.max_train_rows else 1.0
+        sample = known.where(F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30)))
         # At most max_train_rows rows of three numbers, so this broadcast has a fixed bound.
-        rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("shard", F.pmod("place", F.lit(self.shards)))
+        rows = materialize(docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "training")
+        held = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        rows = rows.withColumn("shard", F.pmod(F.shiftrightunsigned("place", 30), F.lit(max(1, -(-held // self.shard_bytes)))))
 
         def fit(t: pa.Table) -> pa.Table:
             t = t.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
             at, w, b = self.train(binary_texts(t["text"].combine_chunks()), t["y"].to_pylist())
             return pa.table({"at": pa.array([at.tolist()], pa.list_(pa.int64())), "weight": pa.array([w.tolist()], pa.list_(pa.float64())), "bias": pa.array([b])})
 
-        # One row for each of a fixed number of shards, each with at most 2 ** bits weights.
+        # One row for each shard, each with at most 2 ** bits weights, few of them other than zero.
         parts = rows.groupBy("shard").applyInArrow(fit, "at array<long>, weight array<double>, bias double").collect()
         total = np.zeros(1 << self.bits)
         for p in parts:
