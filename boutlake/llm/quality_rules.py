@@ -1,15 +1,21 @@
 """Quality rules: counts within a text, and its distance from its language's usual text.
 
-References are pooled over all documents of a language: shares of six character classes, and of the
-commonest short words. A document's distance from each is the Jensen-Shannon distance (root of the
-divergence in bits, 0 to 1). Texts too short to say are not judged by it: ``guard`` words at least.
-
-DataFrame functions throughout. Words are counted in place by array functions; only the counting of
-common words shuffles, after each task has combined its own counts. Every language has a reference of its
-own (some fifty numbers), joined by lang; the planner chooses how.
-
-A null text has no words; a null language is one language; repeated rows each get a result; extra
-columns are left out. An empty table gives an empty result.
+References are pooled over all documents of a language: shares of six character classes, and of its
+commonest words made of letters. A document's distance from each is the Jensen-Shannon distance (root of the
+divergence in bits, 0 to 1). How far is too far follows from the language's own documents: beyond the upper
+quartile of their distances by so many times the spread between the quartiles (``CHARACTER_SPREADS``,
+``WORD_SPREADS``). Quartiles are those of all texts that are judged, each different text once, in steps of a
+thousandth. Texts too short to say are not judged: ``guard`` words at least; nor are those of a language with
+fewer than ``least_texts`` of them.
+
+DataFrame functions throughout, and two passes over the texts: one counts words and classes of each language,
+combined in each task before they are shuffled; the other counts within each text and measures. Quartiles and
+verdicts are taken from the measures, which hold no text. Every language has a reference of its own (some
+seventy numbers), joined by lang; the planner chooses how.
+
+A null text has no words, like an empty one; a null language is one language, the same as an empty name; very
+long texts are read whole; doc_id may be null and of any type; repeated rows each get a result; extra columns
+are left out, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,15 +28,19 @@ from boutlake.llm.common import GAP, materialize
 SPAN = 8
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
-COMMON = 16
-#: Only words of up to so many letters are candidates for common words.
-SHORT = 6
+COMMON = 32
 GUARD = 50
-CHARACTER_LIMIT = 0.5
-WORD_LIMIT = 0.8
+#: Spreads beyond the upper quartile at which a text is too far from its language; a spread counts as LEAST_SPREAD at least.
+CHARACTER_SPREADS = 6
+WORD_SPREADS = 2
+LEAST_SPREAD = 0.02
+LEAST_TEXTS = 20
+#: Steps of a distance for its quartiles.
+STEPS = 1000
 #: Part of the word distance of a text with none of its language's common words.
 OWN_SHARE = 0.9
 _HAS_WORD = r"[^\x20\x09-\x0D]"
+_LETTERS = r"^\p{L}+$"
 CLASSES = ("lower", "upper", "digit", "gap", "mark", "other")
 
 
@@ -39,7 +49,7 @@ def _text() -> Column:
 
 
 def with_classes(docs: DataFrame) -> DataFrame:
-    """docs with n_lower … n_other: code points of each class. Each step takes a class out of what is left."""
+    """docs (text) with n_lower … n_other: code points of each class, and n_symbols. Each step takes a class out of what is left."""
     left = {"lower": "[a-z]+", "upper": "[A-Z]+", "digit": "[0-9]+", "gap": GAP, "mark": r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"}
     rows, before = docs.withColumn("_t", _text()), "_t"
     for name, pattern in left.items():
@@ -52,23 +62,25 @@ def with_classes(docs: DataFrame) -> DataFrame:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, GAP), lambda w: w != "")
+    return F.array_remove(F.split(text, GAP), "")
 
 
 def language_references(docs: DataFrame, common: int = COMMON) -> DataFrame:
-    """lang, classes (share of each), common (words), usual (share of each common word, then of all others); a row for every lang."""
-    key = F.coalesce(F.col("lang"), F.lit(""))
-    sizes = with_classes(docs.select(key.alias("lang"), "text", F.size(words_of(_text())).cast("long").alias("n")))
-    sizes = sizes.groupBy("lang").agg(F.sum("n").alias("words"), *(F.sum(f"n_{c}").alias(c) for c in CLASSES))
-    short = F.filter(words_of(_text()), lambda w: w.rlike(rf"^\p{{L}}{{1,{SHORT}}}$"))
-    counts = docs.select(key.alias("lang"), F.explode(short).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    ranked = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))).where(F.col("r") <= common)
-    ranked = ranked.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("r", "word", "n"))).alias("top"))
+    """lang, classes (share of each), common (words), usual (share of each common word, then of all others); a row for every lang.
+
+    Words and classes are counted together: each document adds an empty word, which carries its classes.
+    """
+    rows = with_classes(docs.select(F.coalesce(F.col("lang"), F.lit("")).alias("lang"), "text")).withColumn("words", words_of(_text()))
+    each = rows.select("lang", F.size("words").cast("long").alias("n_words"), *(f"n_{c}" for c in CLASSES), F.explode(F.concat(F.array(F.lit("")), F.col("words"))).alias("word"))
+    whole = F.col("word") == ""
+    counts = each.groupBy("lang", "word").agg(F.count("*").alias("n"), *(F.sum(F.when(whole, F.col(f"n_{c}"))).alias(c) for c in CLASSES), F.sum(F.when(whole, F.col("n_words"))).alias("words"))
+    top = counts.where(whole | F.col("word").rlike(_LETTERS)).withColumn("whole", whole)
+    top = top.withColumn("r", F.row_number().over(Window.partitionBy("lang", "whole").orderBy(F.col("n").desc(), "word"))).where(F.col("r") <= common)
+    refs = top.groupBy("lang").agg(*(F.sum(c).alias(c) for c in (*CLASSES, "words")), F.array_sort(F.collect_list(F.when(~F.col("whole"), F.struct("r", "word", "n")))).alias("top"))
     chars = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0]))
-    top = F.coalesce("top", F.array().cast(ranked.schema["top"].dataType))
-    shares = F.transform(top, lambda x: x["n"] / F.greatest("words", F.lit(1)))
-    return sizes.join(ranked, "lang", "left").select(
-        "lang", F.array(*(F.col(c) / F.greatest(chars, F.lit(1)) for c in CLASSES)).alias("classes"), F.transform(top, lambda x: x["word"]).alias("common"),
+    shares = F.transform("top", lambda x: x["n"] / F.greatest("words", F.lit(1)))
+    return refs.select(
+        "lang", F.array(*(F.col(c) / F.greatest(chars, F.lit(1)) for c in CLASSES)).alias("classes"), F.transform("top", lambda x: x["word"]).alias("common"),
         F.concat(shares, F.array(F.lit(1.0) - F.aggregate(shares, F.lit(0.0), lambda s, x: s + x))).alias("usual"),
     )
 
@@ -98,51 +110,84 @@ def repeated_words(words: Column, hashes: Column) -> Column:
     return F.when(F.coalesce(n > F.size(F.array_distinct(hashes)), F.lit(False)), covered).otherwise(F.lit(0))
 
 
-def judge_quality(docs: DataFrame, guard: int = GUARD, character_limit: float = CHARACTER_LIMIT, word_limit: float = WORD_LIMIT, own_share: float | None = None) -> DataFrame:
-    """For each row of docs: doc_id, the counts, base_failed, character_distance, word_distance, kept.
+def measured(docs: DataFrame, refs: DataFrame) -> DataFrame:
+    """lang, doc_id, text_key, the counts, base_failed, character_distance, word_distance, none_distance of each row of docs.
 
-    With own_share, each language's word limit is at most that share of the distance which a text with
-    none of its common words has (about 0.32 where they cover a fifth of all words).
+    none_distance is the word distance of a text with none of its language's common words.
     """
-    # Written, so that the planner knows their size: it broadcasts few and deals out many by lang.
-    refs = materialize(language_references(docs).select(F.col("lang").alias("_lang"), F.struct("classes", "common", "usual").alias("_r")), "language-references")
-    rows = with_classes(docs.select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("_lang")))
-    rows = rows.join(refs, "_lang", "left")
+    rows = with_classes(docs.select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("lang")))
+    rows = rows.join(refs.select("lang", F.struct("classes", "common", "usual").alias("_r")), "lang", "left")
     lines = F.filter(F.split(_text(), "\n", -1), lambda x: x.rlike(_HAS_WORD))
     rows = rows.withColumn("_words", words_of(_text())).withColumn("_lines", lines)
-    windows = F.when(F.size("_words") >= SPAN, F.transform(F.sequence(F.lit(1), F.size("_words") - (SPAN - 1)), lambda i: F.xxhash64(F.slice(F.col("_words"), i, SPAN))))
-    usual = F.filter("_words", lambda w: (F.length(w) <= SHORT) & F.array_contains(F.col("_r.common"), w))
-    rows = rows.withColumn("_hashes", windows).withColumn("_usual", usual)
+    rows = rows.withColumn("_h", F.transform("_words", lambda w: F.xxhash64(w)))
+    # Words are hashed once, and taken inside one-element transforms, so that no hash is made again for each window.
+    windows = F.get(F.transform(F.array("_h"), lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (SPAN - 1)), lambda i: F.xxhash64(F.slice(h, i, SPAN)))), 0)
+    # No word longer than the longest common one is looked up among them.
+    longest = F.coalesce(F.array_max(F.transform("_r.common", lambda c: F.length(c))), F.lit(0))
+    usual = F.get(F.transform(F.array(longest), lambda most: F.filter("_words", lambda w: (F.length(w) <= most) & F.array_contains(F.col("_r.common"), w))), 0)
+    rows = rows.withColumn("_hashes", F.when(F.size("_words") >= SPAN, windows)).withColumn("_usual", usual)
     n = F.size("_words").cast("long")
+    held = F.transform("_r.common", lambda c: (F.size("_usual") - F.size(F.array_remove("_usual", c))) / F.greatest(n, F.lit(1)))
     rows = rows.select(
-        "doc_id", n.alias("n_words"), (F.length(_text()) - F.col("n_gap")).cast("long").alias("word_chars"), "n_symbols",
+        "lang", "doc_id", F.xxhash64("text").alias("text_key"), n.alias("n_words"), (F.length(_text()) - F.col("n_gap")).cast("long").alias("word_chars"), "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"), repeated_words(F.col("_words"), F.col("_hashes")).cast("long").alias("n_repeat_words"),
         "_r", F.array(*(F.col(f"n_{c}") / F.greatest(F.length(_text()), F.lit(1)) for c in CLASSES)).alias("_classes"),
-        F.concat(F.transform("_r.common", lambda c: F.size(F.filter("_usual", lambda w: w == c)) / F.greatest(n, F.lit(1))), F.array((n - F.size("_usual")) / F.greatest(n, F.lit(1)))).alias("_shares"),
+        F.concat(held, F.array((n - F.size("_usual")) / F.greatest(n, F.lit(1)))).alias("_shares"),
     )
-    judged = F.col("n_words") >= guard
-    rows = rows.withColumns({
+    none = F.concat(F.transform("_r.common", lambda c: F.lit(0.0)), F.array(F.lit(1.0)))
+    return rows.withColumns({
         "base_failed": (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")),
-        "character_distance": js_distance(F.col("_classes"), F.col("_r.classes")), "word_distance": js_distance(F.col("_shares"), F.col("_r.usual")),
+        "character_distance": js_distance(F.col("_classes"), F.col("_r.classes")), "word_distance": js_distance(F.col("_shares"), F.col("_r.usual")), "none_distance": js_distance(none, F.col("_r.usual")),
+    }).drop("_r", "_classes", "_shares")
+
+
+def distance_limits(judged: DataFrame, column: str, spreads: float, name: str, least_texts: int = LEAST_TEXTS) -> DataFrame:
+    """judged (lang, text_key, column) → lang, name: the upper quartile plus so many spreads; no row for languages with too few texts.
+
+    Distances are counted in steps, so a language has at most STEPS + 1 rows whatever its documents.
+    """
+    step = F.floor(F.col(column) * STEPS).cast("long")
+    steps = judged.select("lang", "text_key", step.alias("step")).distinct().groupBy("lang", "step").agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("lang")
+    steps = steps.withColumns({"upto": F.sum("n").over(whole.orderBy("step")), "texts": F.sum("n").over(whole)})
+    quartile = lambda k: (F.min(F.when(4 * F.col("upto") >= k * F.col("texts"), F.col("step"))) + 1) / F.lit(float(STEPS))
+    found = steps.groupBy("lang").agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("texts").alias("texts")).where(F.col("texts") >= least_texts)
+    return found.select("lang", (F.col("q3") + spreads * F.greatest(F.col("q3") - F.col("q1"), F.lit(LEAST_SPREAD))).alias(name))
+
+
+def judge_quality(
+    docs: DataFrame, guard: int = GUARD, character_spreads: float = CHARACTER_SPREADS, word_spreads: float = WORD_SPREADS, least_texts: int = LEAST_TEXTS, own_share: float | None = None,
+) -> DataFrame:
+    """For each row of docs: doc_id, the counts, base_failed, both distances, far_characters, far_words, kept.
+
+    With own_share, each language's word limit is at most that share of the distance which a text with
+    none of its common words has.
+    """
+    # Written, so that the planner knows their size: it broadcasts few and deals out many by lang.
+    refs = materialize(language_references(docs), "language-references")
+    rows = materialize(measured(docs, refs), "measures")
+    judged = (F.col("n_words") >= guard) & ~F.col("base_failed")
+    limits = distance_limits(rows.where(judged), "character_distance", character_spreads, "character_limit", least_texts)
+    limits = limits.join(distance_limits(rows.where(judged), "word_distance", word_spreads, "word_limit", least_texts), "lang")
+    rows = rows.join(materialize(limits, "distance-limits"), "lang", "left")
+    word_limit = F.col("word_limit") if own_share is None else F.least("word_limit", own_share * F.col("none_distance"))
+    rows = rows.withColumns({
+        "far_characters": F.coalesce((F.col("n_words") >= guard) & (F.col("character_distance") > F.col("character_limit")), F.lit(False)),
+        "far_words": F.coalesce((F.col("n_words") >= guard) & (F.col("word_distance") > word_limit), F.lit(False)),
     })
-    limit = F.lit(word_limit)
-    if own_share is not None:
-        none = F.concat(F.transform("_r.common", lambda c: F.lit(0.0)), F.array(F.lit(1.0)))
-        limit = F.least(limit, own_share * js_distance(none, F.col("_r.usual")))
-    odd = (F.col("character_distance") > character_limit) | (F.col("word_distance") > limit)
-    return rows.withColumn("kept", ~F.col("base_failed") & ~(judged & odd)).drop("_r", "_classes", "_shares")
+    return rows.withColumn("kept", ~(F.col("base_failed") | F.col("far_characters") | F.col("far_words"))).drop("lang", "text_key", "none_distance", "character_limit", "word_limit")
 
 
 RESULT = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op5_quality_rules(documents: DataFrame) -> DataFrame:
-    """By the word limit that OP5_SQL states."""
+    """Counts and verdict of every document, by the limits that OP5_SQL states; nulls, short texts and repeats as in the module."""
     return judge_quality(documents).select(*RESULT)
 
 
 def op5_quality_rules_own_limit(documents: DataFrame) -> DataFrame:
-    """By a word limit relative to each language's own common words."""
+    """By a word limit that is also relative to each language's own common words."""
     return judge_quality(documents, own_share=OWN_SHARE).select(*RESULT)
 
 
@@ -155,13 +200,21 @@ def _distance_sql(p: str, q: str) -> str:
     return f"sqrt(greatest(0, list_sum(list_transform(list_zip({p}, {q}), lambda z: {terms}))))"
 
 
+def _limit_sql(column: str, spreads: float, name: str) -> str:
+    """CTEs that end in name (lang, top): the limit of a distance for each language."""
+    quartile = lambda k: f"(min(step) FILTER (WHERE 4 * upto >= {k} * texts) + 1) / {STEPS}.0::DOUBLE"
+    return f"""{name}0 AS (SELECT lang, step, count(*) AS n FROM (SELECT DISTINCT lang, t, CAST(floor({column} * {STEPS}) AS BIGINT) AS step FROM z WHERE n_words >= {GUARD} AND NOT base_failed) GROUP BY ALL),
+{name}1 AS (SELECT lang, step, CAST(sum(n) OVER (PARTITION BY lang ORDER BY step) AS BIGINT) AS upto, CAST(sum(n) OVER (PARTITION BY lang) AS BIGINT) AS texts FROM {name}0),
+{name} AS (SELECT lang, q3 + {spreads} * greatest(q3 - q1, {LEAST_SPREAD}::DOUBLE) AS top FROM (SELECT lang, {quartile(1)} AS q1, {quartile(3)} AS q3, max(texts) AS texts FROM {name}1 GROUP BY lang) WHERE texts >= {LEAST_TEXTS})"""
+
+
 OP5_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 {", ".join(f"s{i} AS (SELECT *, regexp_replace({x}, '{p}', '', 'g') AS {y} FROM {'d' if not i else f's{i - 1}'})" for i, (p, x, y) in enumerate(_STEPS))},
 q AS (SELECT row, doc_id, lang, t, w, length(t) - length(a) AS k1, length(a) - length(b) AS k2, length(b) - length(c) AS k3, length(c) - length(e) AS k4, length(e) - length(f) AS k5, length(f) AS k6,
   length(t) AS n, length(e) - length(translate(e, '#*$%&|<>', '')) AS n_symbols FROM s4),
 r AS (SELECT lang, [{", ".join(f"sum(k{i})::DOUBLE / greatest(sum(n), 1)" for i in range(1, 7))}] AS classes, sum(len(w))::DOUBLE AS words FROM q GROUP BY lang),
-v AS (SELECT lang, word, count(*) AS m, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place FROM (SELECT lang, unnest(w) AS word FROM q) WHERE regexp_matches(word, '^\\p{{L}}{{1,{SHORT}}}$') GROUP BY lang, word),
+v AS (SELECT lang, word, count(*) AS m, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place FROM (SELECT lang, unnest(w) AS word FROM q) WHERE regexp_matches(word, '^\\p{{L}}+$') GROUP BY lang, word),
 u AS (SELECT r.lang, classes, list(word ORDER BY place) FILTER (WHERE word IS NOT NULL) AS common, coalesce(list(m / greatest(words, 1) ORDER BY place) FILTER (WHERE word IS NOT NULL), []) AS shares
   FROM r LEFT JOIN v ON v.lang = r.lang AND place <= {COMMON} GROUP BY r.lang, classes),
 x AS (SELECT row, i, count(*) OVER (PARTITION BY row, g) AS many FROM (SELECT row, i, array_to_string(w[i:i + {SPAN - 1}], ' ') AS g FROM (SELECT row, w, unnest(range(1, len(w) - {SPAN - 2})) AS i FROM q WHERE len(w) >= {SPAN}))),
@@ -170,7 +223,9 @@ o AS (SELECT q.*, coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) AS n_wor
   [{", ".join(f"k{i}::DOUBLE / greatest(n, 1)" for i in range(1, 7))}] AS own, classes, shares, list_transform(coalesce(common, []), lambda c: len(list_filter(w, lambda x: x = c))::DOUBLE / greatest(len(w), 1)) AS held
   FROM q JOIN u USING (lang) LEFT JOIN y USING (row)),
 z AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed, {_distance_sql("own", "classes")} AS cd,
-  {_distance_sql("list_append(held, 1 - coalesce(list_sum(held), 0))", "list_append(shares, 1 - coalesce(list_sum(shares), 0))")} AS wd FROM o)
+  {_distance_sql("list_append(held, 1 - coalesce(list_sum(held), 0))", "list_append(shares, 1 - coalesce(list_sum(shares), 0))")} AS wd FROM o),
+{_limit_sql("cd", CHARACTER_SPREADS, "cl")},
+{_limit_sql("wd", WORD_SPREADS, "wl")}
 SELECT doc_id, n_words, CAST(n - k4 AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (n_words >= {GUARD} AND (cd > {CHARACTER_LIMIT} OR wd > {WORD_LIMIT})) AS kept FROM z
+  NOT base_failed AND NOT coalesce(n_words >= {GUARD} AND (cd > cl.top OR wd > wl.top), false) AS kept FROM z LEFT JOIN cl USING (lang) LEFT JOIN wl USING (lang)
 """

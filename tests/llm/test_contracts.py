@@ -94,12 +94,13 @@ def test_quality_counts(docs):
 
 def test_quality_divergence_rejects_what_is_unlike_its_language(spark):
     r = random.Random(2)
-    usual = [" ".join(r.choices(["the", "of", "and", "river", "stone", "water"], k=80)) for _ in range(40)]
+    rare = ["".join(r.choices("aeinorstldu", k=7)) for _ in range(400)]
+    usual = [" ".join(r.choices(["the", "of", "and", "river", "stone", "water"], k=30) + r.choices(rare, k=90)) for _ in range(60)]
     odd = " ".join(["%%%###", "&&&&|||", "$$$***", "####"] * 5 + [f"{i}{i}$%" for i in range(60)])
     df = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*usual, odd])], "doc_id long, text string, lang string")
-    got = {r["doc_id"]: (r["kept"], r["base_failed"]) for r in quality_rules.op5_quality_rules(df).collect()}
-    assert got[40] == (False, False)
-    assert all(got[i][0] for i in range(40) if not got[i][1])
+    got = {x["doc_id"]: x for x in quality_rules.judge_quality(df).collect()}
+    assert (got[60]["kept"], got[60]["base_failed"], got[60]["far_characters"]) == (False, False, True)
+    assert all(got[i]["kept"] for i in range(60))
 
 
 def test_quality_every_language_has_its_own_reference(spark):
@@ -114,22 +115,36 @@ def test_quality_every_language_has_its_own_reference(spark):
     assert got[1000][0] < 0.01
 
 
-def test_quality_own_word_limit_rejects_by_words_alone(spark):
+def test_quality_words_alone_reject(spark):
     r = random.Random(6)
     rare = ["".join(r.choices("aeinorstldu", k=9)) for _ in range(900)]
-    common = {"en": ["the", "of", "and", "to", "is", "that"], "fr": ["le", "et", "les", "pour", "qui", "une"]}
+    common = {"en": ["the", "of", "and", "to", "is", "that", "international"], "fr": ["le", "et", "les", "pour", "qui", "une", "gouvernement"]}
     def clean(lang):
         return " ".join(r.choice(common[lang]) if r.random() < 0.25 else r.choice(rare) for _ in range(120))
 
     data = [(i, clean("en"), "en") for i in range(60)] + [(100 + i, clean("fr"), "fr") for i in range(60)]
     data += [(1000, clean("fr"), "en"), (1001, clean("en"), "fr"), (1002, " ".join("".join(r.choices("aeinorstldu", k=5)) for _ in range(120)), "en")]
+    # One text many times: copies do not narrow the spread.
+    data += [(2000 + i, data[0][1], "en") for i in range(15)]
     df = spark.createDataFrame(data, "doc_id long, text string, lang string")
-    rows = {x["doc_id"]: x for x in quality_rules.judge_quality(df, own_share=quality_rules.OWN_SHARE).collect()}
-    for i in (1000, 1001, 1002):
-        assert not rows[i]["kept"] and not rows[i]["base_failed"] and rows[i]["character_distance"] <= quality_rules.CHARACTER_LIMIT
-    assert all(x["kept"] for i, x in rows.items() if i < 1000)
-    kept = {x["doc_id"]: x["kept"] for x in quality_rules.op5_quality_rules_own_limit(df).collect()}
-    assert kept == {i: x["kept"] for i, x in rows.items()}
+    for own in (None, quality_rules.OWN_SHARE):
+        rows = {x["doc_id"]: x for x in quality_rules.judge_quality(df, own_share=own).collect()}
+        for i in (1000, 1001, 1002):
+            assert rows[i]["far_words"] and not rows[i]["kept"] and not rows[i]["base_failed"]
+        assert all(x["kept"] for i, x in rows.items() if i < 1000 or i >= 2000)
+    assert "international" in quality_rules.language_references(df).where("lang = 'en'").first()["common"]
+
+
+def test_quality_distances_reject_on_the_given_tables(spark):
+    """Both distances reject documents that pass the base rules, and hardly any that is labelled good."""
+    sf = "/root/testdata/sf0.01"
+    rows = quality_rules.judge_quality(spark.read.parquet(f"{sf}/documents.parquet")).where("NOT base_failed")
+    rows = rows.join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id", "left").collect()
+    assert sum(x["far_characters"] for x in rows) >= 20 and sum(x["far_words"] for x in rows) >= 5
+    good = [x for x in rows if x["quality"] == 1]
+    assert sum(not x["kept"] for x in good) <= 0.01 * len(good)
+    bad = [x for x in rows if x["quality"] == 0]
+    assert sum(not x["kept"] for x in bad) >= 0.3 * len(bad)
 
 
 @pytest.fixture(scope="module")
