@@ -67,25 +67,13 @@ SELECT p_type, word FROM t JOIN w ON strpos(lower(p_type), lower(word)) > 0 OR s
 
 
 def school_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    brands = read(spark, sf_dir, "part").select(F.col("p_brand").alias("school")).distinct()
-    teams = read(spark, sf_dir, "part").select(F.concat("p_brand", F.lit(" "), "p_type").alias("team")).where("p_partkey % 40 = 0").distinct()
-    return matching.single_team_fixes(matching.theta_pairs(brands, teams, "school", "team"), "school", "team")
-
-
-SCHOOL_FIXES = """
-WITH b AS (SELECT DISTINCT p_brand AS school FROM part), t AS (SELECT DISTINCT p_brand || ' ' || p_type AS team FROM part WHERE p_partkey % 40 = 0)
-SELECT school, min(team) AS team FROM b JOIN t ON strpos(lower(school), lower(team)) > 0 OR strpos(lower(team), lower(school)) > 0 GROUP BY school HAVING count(*) = 1
-"""
-
-
-def school_fixes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All parts: a school has one team, or for one type a team for each name."""
     part = read(spark, sf_dir, "part").withColumn("school", F.concat("p_brand", F.lit(" "), "p_type"))
     teams = part.select(F.concat("school", F.when(F.col("p_type") == "ECONOMY", F.concat(F.lit(" "), "p_name")).otherwise("")).alias("team")).distinct()
     return matching.single_team_fixes(matching.theta_pairs(part.select("school").distinct(), teams, "school", "team"), "school", "team")
 
 
-SCHOOL_FIXES_WHOLE = """
+SCHOOL_FIXES = """
 WITH b AS (SELECT DISTINCT p_brand || ' ' || p_type AS school FROM part), t AS (SELECT DISTINCT p_brand || ' ' || p_type || CASE WHEN p_type = 'ECONOMY' THEN ' ' || p_name ELSE '' END AS team FROM part)
 SELECT school, min(team) AS team FROM b JOIN t ON strpos(lower(school), lower(team)) > 0 OR strpos(lower(team), lower(school)) > 0 GROUP BY school HAVING count(*) = 1
 """
@@ -267,37 +255,21 @@ UPSERT_COUNTS = f"WITH u AS ({UPSERT_CHANGED_ONLY}) SELECT " + ", ".join(f"count
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    df = read(spark, sf_dir, "orders").select((F.col("o_custkey") % 400).alias("k"), "o_orderkey")
-    return df.where("k % 3 = 0").groupBy("k").agg(F.min("o_orderkey").alias("o_orderkey")), df.where("k % 2 = 0")
-
-
-_KEYED = "t AS (SELECT o_custkey % 400 AS k, min(o_orderkey) AS o_orderkey FROM orders WHERE (o_custkey % 400) % 3 = 0 GROUP BY 1), s AS (SELECT o_custkey % 400 AS k, o_orderkey FROM orders WHERE (o_custkey % 400) % 2 = 0)"
-
-
-def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert.insert_ignore(*_keyed(spark, sf_dir), ["k"], ["o_orderkey"])
-
-
-def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert.replace_by_key(*_keyed(spark, sf_dir), ["k"], ["o_orderkey"])
-
-
-def _keyed_whole(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All orders on both sides; keys of finished ones meet, those of others are shifted below zero."""
     df = read(spark, sf_dir, "orders")
     k = F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")).otherwise(-1 - F.col("o_custkey"))
     return df.groupBy(F.col("o_custkey").alias("k")).agg(F.min("o_orderkey").alias("o_orderkey")), df.select(k.alias("k"), "o_orderkey")
 
 
-_KEYED_WHOLE = "t AS (SELECT o_custkey AS k, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1), s AS (SELECT CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE -1 - o_custkey END AS k, o_orderkey FROM orders)"
+_KEYED = "t AS (SELECT o_custkey AS k, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1), s AS (SELECT CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE -1 - o_custkey END AS k, o_orderkey FROM orders)"
 
 
-def insert_ignore_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert.insert_ignore(*_keyed_whole(spark, sf_dir), ["k"], ["o_orderkey"])
+def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert.insert_ignore(*_keyed(spark, sf_dir), ["k"], ["o_orderkey"])
 
 
-def replace_by_key_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert.replace_by_key(*_keyed_whole(spark, sf_dir), ["k"], ["o_orderkey"])
+def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert.replace_by_key(*_keyed(spark, sf_dir), ["k"], ["o_orderkey"])
 
 
 def replace_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -523,29 +495,13 @@ WHERE split_part(k, ' ', 1) = split_part(k2, ' ', 1) AND k <> '' AND ((NOT y AND
 
 
 def latest_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read(spark, sf_dir, "part")
-    athletes = part.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("wrestler_id"), F.col("p_name").alias("name"), F.substring("p_brand", 1, 7).alias("school"))
-    ranks = part.where("p_partkey % 5 = 1").select(F.upper("p_name").alias("ranked_name"), F.col("p_brand").alias("ranked_school"), F.col("p_type").alias("division"), F.col("p_size").alias("rank"), (F.col("p_partkey") % 4).alias("week"))
-    return matching.latest_rankings(athletes, ranks)
-
-
-LATEST_RANKING = """
-WITH a AS (SELECT p_partkey AS wrestler_id, p_name AS name, substr(p_brand, 1, 7) AS school FROM part WHERE p_partkey % 5 = 0),
-r AS (SELECT lower(p_name) AS k, p_brand AS rs, p_type AS division, p_size AS rank, p_partkey % 4 AS week FROM part WHERE p_partkey % 5 = 1),
-b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, rs ORDER BY week DESC, rank, division DESC) AS n FROM r) WHERE n = 1),
-j AS (SELECT wrestler_id, name, school, division, rank, week, row_number() OVER (PARTITION BY wrestler_id ORDER BY week DESC NULLS LAST, rank, rs DESC) AS n FROM a LEFT JOIN b ON k = lower(name) AND (starts_with(lower(school), lower(rs)) OR starts_with(lower(rs), lower(school))))
-SELECT wrestler_id, name, school, division, rank, week FROM j WHERE n = 1
-"""
-
-
-def latest_ranking_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read(spark, sf_dir, "part")
     athletes = part.select(F.col("p_partkey").alias("wrestler_id"), F.col("p_name").alias("name"), F.substring("p_brand", 1, 7).alias("school"))
     ranks = part.select(F.upper("p_name").alias("ranked_name"), F.col("p_brand").alias("ranked_school"), F.col("p_type").alias("division"), F.col("p_size").alias("rank"), (F.col("p_partkey") % 4).alias("week"))
     return matching.latest_rankings(athletes, ranks)
 
 
-LATEST_RANKING_WHOLE = """
+LATEST_RANKING = """
 WITH a AS (SELECT p_partkey AS wrestler_id, p_name AS name, substr(p_brand, 1, 7) AS school FROM part), r AS (SELECT lower(p_name) AS k, p_brand AS rs, p_type AS division, p_size AS rank, p_partkey % 4 AS week FROM part),
 b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, rs ORDER BY week DESC, rank, division DESC) AS n FROM r) WHERE n = 1),
 j AS (SELECT wrestler_id, name, school, division, rank, week, row_number() OVER (PARTITION BY wrestler_id ORDER BY week DESC NULLS LAST, rank, rs DESC) AS n FROM a LEFT JOIN b ON k = lower(name) AND (starts_with(lower(school), lower(rs)) OR starts_with(lower(rs), lower(school))))
@@ -627,8 +583,5 @@ QUERIES = {
     "name_difference": (name_difference, NAME_DIFFERENCE), "seed_tasks": (seed_tasks, SEED_TASKS),
     "optional_filters": (optional_filters, "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 100000"),
     "events_windowed": (events_windowed, EVENTS_WINDOWED), "list_refresh": (list_refresh, LIST_REFRESH),
-    "school_fixes_whole": (school_fixes_whole, SCHOOL_FIXES_WHOLE), "latest_ranking_whole": (latest_ranking_whole, LATEST_RANKING_WHOLE),
-    "insert_ignore_whole": (insert_ignore_whole, f"WITH {_KEYED_WHOLE} SELECT * FROM t UNION ALL SELECT k, min(o_orderkey) FROM s WHERE k NOT IN (SELECT k FROM t) GROUP BY k"),
-    "replace_by_key_whole": (replace_by_key_whole, f"WITH {_KEYED_WHOLE} SELECT * FROM t WHERE k NOT IN (SELECT k FROM s) UNION ALL SELECT k, min(o_orderkey) FROM s GROUP BY k"),
     "record_text": (record_text, RECORD_TEXT), "list_names": (list_names, LIST_NAMES), "name_prefix": (name_prefix, NAME_PREFIX),
 }

@@ -19,11 +19,19 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_table(df: DataFrame, name: str, partition: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """A Parquet table; with partitions, an overwrite replaces only those that df holds."""
+    """A Parquet table; with partitions, an overwrite of a table that exists replaces only those that df holds."""
+    if partition and mode == "overwrite" and df.sparkSession.catalog.tableExists(name):
+        # insertInto takes columns by place and its mode from the session, which gets its own back.
+        spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
+        return
     writer = df.write.format("parquet").mode(mode)
-    if partition:
-        writer = writer.partitionBy(*partition).option("partitionOverwriteMode", "dynamic")
-    writer.saveAsTable(name)
+    (writer.partitionBy(*partition) if partition else writer).saveAsTable(name)
 
 
 def backup_table(df: DataFrame, name: str) -> None:

@@ -143,3 +143,15 @@ def test_streamed_upsert(spark, tmp_path):
     q = refresh.upsert_stream(stream, lambda: state["df"], save, ["k"], ["v"]).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert sorted((r["k"], r["v"]) for r in state["df"].collect()) == [(1, "b"), (2, "c")]
+
+
+def test_partition_overwrite_keeps_the_other_partitions(spark):
+    name = "boutlake_partition_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        first = spark.createDataFrame([("a", 1), ("b", 2)], "season string, id int")
+        writers.write_table(first, name, ["season"])
+        writers.write_table(spark.createDataFrame([(3, "a"), (4, "a")], "id int, season string"), name, ["season"])
+        assert sorted((r["season"], r["id"]) for r in spark.table(name).collect()) == [("a", 3), ("a", 4), ("b", 2)]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
