@@ -30,10 +30,11 @@ LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 COMMON = 32
 GUARD = 50
-#: Spreads beyond the upper quartile at which a text is too far from its language; a spread counts as LEAST_SPREAD at least.
+#: Spreads beyond the upper quartile at which a text is too far from its language, and the least that a spread counts as.
 CHARACTER_SPREADS = 6
+CHARACTER_SPREAD = 0.02
 WORD_SPREADS = 2
-LEAST_SPREAD = 0.02
+WORD_SPREAD = 0.05
 LEAST_TEXTS = 20
 #: Steps of a distance for its quartiles.
 STEPS = 1000
@@ -141,7 +142,7 @@ def measured(docs: DataFrame, refs: DataFrame) -> DataFrame:
     }).drop("_r", "_classes", "_shares")
 
 
-def distance_limits(judged: DataFrame, column: str, spreads: float, name: str, least_texts: int = LEAST_TEXTS) -> DataFrame:
+def distance_limits(judged: DataFrame, column: str, spreads: float, least_spread: float, name: str, least_texts: int = LEAST_TEXTS) -> DataFrame:
     """judged (lang, text_key, column) → lang, name: the upper quartile plus so many spreads; no row for languages with too few texts.
 
     Distances are counted in steps, so a language has at most STEPS + 1 rows whatever its documents.
@@ -152,7 +153,7 @@ def distance_limits(judged: DataFrame, column: str, spreads: float, name: str, l
     steps = steps.withColumns({"upto": F.sum("n").over(whole.orderBy("step")), "texts": F.sum("n").over(whole)})
     quartile = lambda k: (F.min(F.when(4 * F.col("upto") >= k * F.col("texts"), F.col("step"))) + 1) / F.lit(float(STEPS))
     found = steps.groupBy("lang").agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("texts").alias("texts")).where(F.col("texts") >= least_texts)
-    return found.select("lang", (F.col("q3") + spreads * F.greatest(F.col("q3") - F.col("q1"), F.lit(LEAST_SPREAD))).alias(name))
+    return found.select("lang", (F.col("q3") + spreads * F.greatest(F.col("q3") - F.col("q1"), F.lit(least_spread))).alias(name))
 
 
 def judge_quality(
@@ -161,21 +162,23 @@ def judge_quality(
     """For each row of docs: doc_id, the counts, base_failed, both distances, far_characters, far_words, kept.
 
     With own_share, each language's word limit is at most that share of the distance which a text with
-    none of its common words has.
+    none of its common words has, but one spread beyond the upper quartile at least.
     """
     # Written, so that the planner knows their size: it broadcasts few and deals out many by lang.
     refs = materialize(language_references(docs), "language-references")
     rows = materialize(measured(docs, refs), "measures")
     judged = (F.col("n_words") >= guard) & ~F.col("base_failed")
-    limits = distance_limits(rows.where(judged), "character_distance", character_spreads, "character_limit", least_texts)
-    limits = limits.join(distance_limits(rows.where(judged), "word_distance", word_spreads, "word_limit", least_texts), "lang")
+    limits = distance_limits(rows.where(judged), "character_distance", character_spreads, CHARACTER_SPREAD, "character_limit", least_texts)
+    limits = limits.join(distance_limits(rows.where(judged), "word_distance", word_spreads, WORD_SPREAD, "word_limit", least_texts), "lang")
+    if own_share is not None:
+        limits = limits.join(distance_limits(rows.where(judged), "word_distance", 1, WORD_SPREAD, "word_floor", least_texts), "lang")
     rows = rows.join(materialize(limits, "distance-limits"), "lang", "left")
-    word_limit = F.col("word_limit") if own_share is None else F.least("word_limit", own_share * F.col("none_distance"))
+    word_limit = F.col("word_limit") if own_share is None else F.least("word_limit", F.greatest(own_share * F.col("none_distance"), F.col("word_floor")))
     rows = rows.withColumns({
         "far_characters": F.coalesce((F.col("n_words") >= guard) & (F.col("character_distance") > F.col("character_limit")), F.lit(False)),
         "far_words": F.coalesce((F.col("n_words") >= guard) & (F.col("word_distance") > word_limit), F.lit(False)),
     })
-    return rows.withColumn("kept", ~(F.col("base_failed") | F.col("far_characters") | F.col("far_words"))).drop("lang", "text_key", "none_distance", "character_limit", "word_limit")
+    return rows.withColumn("kept", ~(F.col("base_failed") | F.col("far_characters") | F.col("far_words"))).drop("lang", "text_key", "none_distance", "character_limit", "word_limit", "word_floor")
 
 
 RESULT = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -200,12 +203,12 @@ def _distance_sql(p: str, q: str) -> str:
     return f"sqrt(greatest(0, list_sum(list_transform(list_zip({p}, {q}), lambda z: {terms}))))"
 
 
-def _limit_sql(column: str, spreads: float, name: str) -> str:
+def _limit_sql(column: str, spreads: float, least_spread: float, name: str) -> str:
     """CTEs that end in name (lang, top): the limit of a distance for each language."""
     quartile = lambda k: f"(min(step) FILTER (WHERE 4 * upto >= {k} * texts) + 1) / {STEPS}.0::DOUBLE"
     return f"""{name}0 AS (SELECT lang, step, count(*) AS n FROM (SELECT DISTINCT lang, t, CAST(floor({column} * {STEPS}) AS BIGINT) AS step FROM z WHERE n_words >= {GUARD} AND NOT base_failed) GROUP BY ALL),
 {name}1 AS (SELECT lang, step, CAST(sum(n) OVER (PARTITION BY lang ORDER BY step) AS BIGINT) AS upto, CAST(sum(n) OVER (PARTITION BY lang) AS BIGINT) AS texts FROM {name}0),
-{name} AS (SELECT lang, q3 + {spreads} * greatest(q3 - q1, {LEAST_SPREAD}::DOUBLE) AS top FROM (SELECT lang, {quartile(1)} AS q1, {quartile(3)} AS q3, max(texts) AS texts FROM {name}1 GROUP BY lang) WHERE texts >= {LEAST_TEXTS})"""
+{name} AS (SELECT lang, q3 + {spreads} * greatest(q3 - q1, {least_spread}::DOUBLE) AS top FROM (SELECT lang, {quartile(1)} AS q1, {quartile(3)} AS q3, max(texts) AS texts FROM {name}1 GROUP BY lang) WHERE texts >= {LEAST_TEXTS})"""
 
 
 OP5_SQL = f"""
@@ -224,8 +227,8 @@ o AS (SELECT q.*, coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) AS n_wor
   FROM q JOIN u USING (lang) LEFT JOIN y USING (row)),
 z AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed, {_distance_sql("own", "classes")} AS cd,
   {_distance_sql("list_append(held, 1 - coalesce(list_sum(held), 0))", "list_append(shares, 1 - coalesce(list_sum(shares), 0))")} AS wd FROM o),
-{_limit_sql("cd", CHARACTER_SPREADS, "cl")},
-{_limit_sql("wd", WORD_SPREADS, "wl")}
+{_limit_sql("cd", CHARACTER_SPREADS, CHARACTER_SPREAD, "cl")},
+{_limit_sql("wd", WORD_SPREADS, WORD_SPREAD, "wl")}
 SELECT doc_id, n_words, CAST(n - k4 AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(n_words >= {GUARD} AND (cd > cl.top OR wd > wl.top), false) AS kept FROM z LEFT JOIN cl USING (lang) LEFT JOIN wl USING (lang)
 """
