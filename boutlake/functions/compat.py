@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Accented letters of western names and the plain letters they compare as.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
-# Consonant classes of the soundex code.
-SOUNDEX = dict(zip("BFPVCGJKQSXZDTLMNR", "111122222222334556", strict=True))
+# Classes of the soundex code, 0 for letters without one.
+SOUNDEX = dict(zip("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "01230120022455012623010202", strict=True))
 
 
 def norm_key(c: Column) -> Column:
@@ -73,25 +69,14 @@ def date_range(text: Column) -> tuple[Column, Column]:
     return start, end
 
 
-def soundex_of(name: str | None) -> str | None:
-    """Soundex without a limit on its length: equal neighbours once, vowels dropped, three digits at least."""
-    if name is None:
-        return None
-    letters = [c for c in name.upper() if "A" <= c <= "Z"]
-    if not letters:
-        return ""
-    code, last = letters[0], SOUNDEX.get(letters[0])
-    for c in letters[1:]:
-        digit = SOUNDEX.get(c)
-        if digit and digit != last:
-            code += digit
-        if c not in "HW":
-            last = digit
-    return code.ljust(4, "0")
-
-
-@F.pandas_udf(StringType())
-def soundex_full(names: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for part in names:
-        known = {x: soundex_of(x) for x in part.dropna().unique()}
-        yield part.map(known).astype(object).where(part.notna(), None)
+def soundex_full(name: Column | str) -> Column:
+    """Soundex without a limit on its length: vowels dropped, then equal neighbours once, three digits at least.
+
+    Only letters A to Z count, whatever their case; a name without any gives an empty code, null stays null.
+    """
+    letters = F.regexp_replace(F.upper(F.col(name) if isinstance(name, str) else name), "[^A-Z]", "")
+    codes = F.translate(letters, "".join(SOUNDEX), "".join(SOUNDEX.values()))
+    digits = F.regexp_replace(F.regexp_replace(codes, "0", ""), r"(\d)\1+", "$1")
+    rest = F.when(codes.startswith("0"), digits).otherwise(F.substr(digits, F.lit(2)))
+    code = F.concat(F.substring(letters, 1, 1), rest)
+    return F.when(letters == "", "").otherwise(F.rpad(code, F.greatest(F.lit(4), F.length(code)), F.lit("0")))

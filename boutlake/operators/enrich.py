@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,22 +61,48 @@ def carry_forward(df: DataFrame, flags: DataFrame, key: str, flag_key: str, colu
     return df.withColumns({c: F.coalesce(f"__{c}", c) for c in columns}).drop("__key", *(f"__{c}" for c in columns))
 
 
+def carry_everywhere(bouts: DataFrame, athletes: DataFrame, teams: DataFrame, columns: Sequence[str], team_columns: Sequence[str]) -> DataFrame:
+    """Flags of athletes (wrestler_id, columns) and teams (team_id, team_columns) carried to both sides of each bout.
+
+    The other side's columns have the prefix opponent_; values stay where no flag is found.
+    """
+    for ref, key, names in ((athletes, "wrestler_id", columns), (teams, "team_id", team_columns)):
+        bouts = carry_forward(bouts, ref, key, key, names)
+        other = {"wrestler_id": "opponent_id", "team_id": "opponent_team_id"}[key]
+        flags = ref.select(F.col(key).alias("__id"), *(F.col(c).alias(f"opponent_{c}") for c in names))
+        bouts = carry_forward(bouts, flags, other, "__id", [f"opponent_{c}" for c in names])
+    return bouts
+
+
+def with_aliases(people: DataFrame, aliases: DataFrame) -> DataFrame:
+    """people (team) with team_canonical from aliases (team_raw, team_canonical), else the team itself.
+
+    A team with several aliases gives a row for each.
+    """
+    both = people.join(aliases.select(F.col("team_raw").alias("__raw"), "team_canonical"), F.col("team") == F.col("__raw"), "left")
+    return both.withColumn("team_canonical", F.coalesce("team_canonical", "team")).drop("__raw")
+
+
 def division_of(event: Column) -> Column:
-    """Division in the name of a regional event: 1A to 5A, else unknown."""
-    found = F.regexp_extract(F.upper(event), r"\b([1-5]A)\b", 1)
-    return F.when(found != "", found).otherwise("unknown")
+    """The first of 1A to 5A that an event's name holds, ignoring case, else unknown."""
+    out = F.when(F.upper(event).contains("1A"), "1A")
+    for d in ("2A", "3A", "4A", "5A"):
+        out = out.when(F.upper(event).contains(d), d)
+    return out.otherwise("unknown")
 
 
-def regional_divisions(events: DataFrame) -> DataFrame:
-    """events (season, team_id, event) → season, team_id, division, region of each team's regional event.
+def regional_divisions(bouts: DataFrame, teams: DataFrame) -> DataFrame:
+    """teams (team_id, …) with event, team_division and team_region of regional events in bouts (season, event, team, team_id).
 
-    Teams without one get no_regional_event; of several the least event counts.
+    A regional event names CHSAA, Region and a division; its region is the text after its last "A". Teams meet
+    events by team_id alone and get a row for each season's event and name they went by; teams without any
+    read no_regional_event, unknown, unknown.
     """
     name = F.upper("event")
-    regional = name.contains("CHSAA") & name.contains("REGION")
-    per = events.groupBy("season", "team_id").agg(F.min(F.when(regional, F.col("event"))).alias("event"))
-    region = F.regexp_extract(F.upper("event"), r"REGION\s*(\d+)", 1)
-    return per.select("season", "team_id", F.when(F.col("event").isNull(), "no_regional_event").otherwise(division_of(F.col("event"))).alias("division"), F.when(F.col("event").isNull(), "no_regional_event").when(region != "", region).otherwise("unknown").alias("region"))
+    rows = bouts.where(name.contains("CHSAA") & name.contains("REGION")).select("season", "event", "team", "team_id").distinct()
+    rows = rows.select(F.col("team_id").alias("__id"), "event", division_of(F.col("event")).alias("team_division"), F.trim(F.substring_index("event", "A", -1)).alias("team_region"))
+    both = teams.join(rows.where("team_division <> 'unknown'"), F.col("team_id") == F.col("__id"), "left").drop("__id")
+    return both.fillna({"event": "no_regional_event", "team_division": "unknown", "team_region": "unknown"}, ["event", "team_division", "team_region"])
 
 
 def placement(round_: Column, outcome: Column) -> Column:
@@ -114,6 +141,24 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def check_unique(df: DataFrame, keys: Sequence[str], abort: bool = True) -> DataFrame:
+    """df if no key has two rows; else an error with some of the keys, or with abort=False a warning."""
+    twice = duplicate_keys(df, keys).limit(5).collect()
+    if twice:
+        text = f"rows share keys {list(keys)}: " + "; ".join(str(tuple(r)) for r in twice)
+        if abort:
+            raise ValueError(text)
+        warnings.warn(text, stacklevel=2)
+    return df
+
+
+def concat_by(df: DataFrame, keys: Sequence[str], value: str, order: str, sep: str = ",") -> DataFrame:
+    """Distinct values of each group in one text, in the least order that each has, then by value."""
+    one = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.min(order).alias("__o"))
+    listed = F.array_sort(F.collect_list(F.struct(F.col("__o").alias("o"), F.col(value).cast("string").alias("v"))))
+    return one.groupBy(*keys).agg(F.array_join(F.transform(listed, lambda x: x["v"]), sep).alias(value))
+
+
 def with_team_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """n_teams of each event, and whether two teams make it a dual."""
     n = F.count("*").over(Window.partitionBy(*keys))

@@ -7,70 +7,124 @@ from pyspark.sql import functions as F
 
 from boutlake.functions.compat import b2i, last_of, soundex_full
 
+#: Characters of the piece by which texts that hold one another meet.
+PIECE = 3
+
 
 def clean_team(team: Column) -> Column:
     """Lower case first, then anything but letters, digits and spaces becomes a space; ends are trimmed."""
     return F.trim(F.regexp_replace(F.lower(team), "[^0-9a-z ]", " "))
 
 
-def contains_either(a: Column, b: Column) -> Column:
-    """Whether one text holds the other, ignoring case."""
-    return F.lower(a).contains(F.lower(b)) | F.lower(b).contains(F.lower(a))
+def norm_name(c: Column) -> Column:
+    """Letters, digits and single spaces in lower case; anything else counts as a space."""
+    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(c, "[^A-Za-z0-9 ]", " "), r"\s+", " ")))
 
 
-def theta_pairs(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """Distinct values of two columns that hold one another.
+def _pieces(text: Column, size: int) -> Column:
+    """Distinct pieces of one size."""
+    all_ = F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(text, i, F.lit(size)))
+    return F.when(F.length(text) >= size, F.array_distinct(all_)).otherwise(F.array().cast("array<string>"))
+
+
+def _held(holders: DataFrame, held: DataFrame, a: str, b: str) -> DataFrame:
+    """Pairs of distinct texts where a holds b, ignoring case.
 
-    A join on a condition without equality compares all pairs, so only distinct values take part;
-    names of schools number thousands. Callers join back on equality.
+    b meets the texts that hold its rarest piece of PIECE characters (all of b if shorter), by an equi-join;
+    the whole of b is tested after that. Null and empty texts hold and meet nothing.
     """
-    a = left.select(left_on).where(f"{left_on} <> ''").distinct()
-    b = right.select(right_on).where(f"{right_on} <> ''").distinct()
-    return a.join(b, contains_either(F.col(left_on), F.col(right_on)))
+    low_a, low_b = F.lower(a), F.lower(b)
+    sizes = F.concat(*(_pieces(low_a, n) for n in range(1, PIECE + 1)))
+    x = holders.select(a).where(F.col(a) != "").distinct().select(a, F.explode(sizes).alias("piece"))
+    y = held.select(b).where(F.col(b) != "").distinct()
+    y = y.select(b, F.explode(F.when(F.length(low_b) < PIECE, F.array(low_b)).otherwise(_pieces(low_b, PIECE))).alias("piece"))
+    seen = x.groupBy("piece").agg(F.count("*").alias("n"))
+    rarest = y.join(seen, "piece", "left").groupBy(b).agg(F.min_by("piece", F.struct(F.coalesce("n", F.lit(0)), "piece")).alias("piece"))
+    return x.join(rarest, "piece").where(low_a.contains(low_b)).select(a, b)
 
 
-def name_score(name: Column, candidate: Column, school: Column, other: Column, sounds: Column | None = None) -> Column:
-    """First word 1, last word 1, same sound 1, and 2 for schools that hold one another."""
-    a, b = F.lower(name), F.lower(candidate)
-    first = b2i(F.substring_index(a, " ", 1) == F.substring_index(b, " ", 1))
-    last = b2i(last_of(a, " ") == last_of(b, " "))
-    schools = b2i(contains_either(school, other))
-    return first + last + 2 * schools + (b2i(sounds) if sounds is not None else F.lit(0))
+def theta_pairs(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
+    """Distinct values of two columns that hold one another. Callers join back on equality."""
+    one = _held(left, right, left_on, right_on)
+    return one.unionByName(_held(right, left, right_on, left_on)).distinct()
+
 
+def best_candidates(names: DataFrame, candidates: DataFrame, least: int = 4) -> DataFrame:
+    """names (list_id, name, school) × candidates (candidate, other) → the best candidate of each name, and its score.
 
-def best_candidates(names: DataFrame, candidates: DataFrame, least: int = 4, use_sound: bool = True) -> DataFrame:
-    """names (list_id, name, school) × candidates (candidate, other, weight) of the same weight → the best of each.
+    Schools must hold one another; the part of a list's school before a comma counts. The last word of the
+    name must be within the candidate, or both must sound alike. A point each: the first word is within the
+    candidate, the last word is, both sound alike, either school holds the other (two if they are equal).
+    Weight plays no part: athletes change it. Ties go to the least candidate, then school. Names without a
+    match of least points are left out, as are null and blank names and schools.
 
-    A candidate must share the last word or the sound, so the join is on either, never on all pairs:
-    one equi-join each, and their union.
+    Distinct names meet distinct candidates by equality: of related schools and sound, and of related schools
+    and a last word that the candidate holds.
+    """
+    a = names.withColumns({"name_norm": norm_name(F.col("name")), "school_norm": norm_name(F.substring_index("school", ",", 1))}).where("name_norm <> ''")
+    people = a.select("name_norm", "school_norm").distinct().withColumns({"last": last_of(F.col("name_norm"), " "), "sound": soundex_full("name_norm")})
+    b = candidates.select("candidate", "other", norm_name(F.col("candidate")).alias("c_norm"), norm_name(F.col("other")).alias("other_norm")).distinct()
+    related = people.join(theta_pairs(people, b, "school_norm", "other_norm"), "school_norm")
+    by_sound = related.join(b.withColumn("sound", soundex_full("c_norm")), ["other_norm", "sound"])
+    by_last = related.join(b.join(_held(b, people, "c_norm", "last"), "c_norm"), ["other_norm", "last"])
+    columns = ["name_norm", "school_norm", "last", "candidate", "other", "c_norm", "other_norm"]
+    pairs = by_sound.select(columns).unionByName(by_last.select(columns))
+    points = [
+        F.col("c_norm").contains(F.substring_index("name_norm", " ", 1)), F.col("c_norm").contains(F.col("last")), soundex_full("name_norm") == soundex_full("c_norm"),
+        F.col("other_norm").contains(F.col("school_norm")), F.col("school_norm").contains(F.col("other_norm")),
+    ]
+    pairs = pairs.withColumn("score", sum((b2i(x) for x in points), F.lit(0))).where(F.col("score") >= least)
+    best = pairs.groupBy("name_norm", "school_norm").agg(F.min(F.struct((-F.col("score")).alias("s"), "candidate", "other")).alias("best"))
+    return a.join(best, ["name_norm", "school_norm"]).select("list_id", "name", "best.candidate", (-F.col("best.s")).alias("score"))
+
+
+def name_fixes(found: DataFrame, manual: DataFrame | None = None) -> DataFrame:
+    """found (to_name, from_name) and manual pairs → pairs to apply, blanks and no-ops left out, each once.
+
+    Where one name has several replacements, a found one goes before a manual one, then the least counts.
     """
-    a = names.withColumns({"last": last_of(F.lower("name"), " "), "sound": soundex_full("name") if use_sound else F.lit(None).cast("string")})
-    b = candidates.withColumns({"c_last": last_of(F.lower("candidate"), " "), "c_sound": soundex_full("candidate") if use_sound else F.lit(None).cast("string")})
-    pairs = a.join(b, (a["last"] == b["c_last"]) & (a["weight"] == b["weight"])).drop(b["weight"])
-    if use_sound:
-        pairs = pairs.unionByName(a.join(b, (a["sound"] == b["c_sound"]) & (a["weight"] == b["weight"])).drop(b["weight"])).distinct()
-    same = F.col("sound") == F.col("c_sound") if use_sound else None
-    pairs = pairs.withColumn("score", name_score(F.col("name"), F.col("candidate"), F.col("school"), F.col("other"), same)).where(F.col("score") >= least)
-    nth = F.row_number().over(Window.partitionBy("list_id").orderBy(F.col("score").desc(), "candidate", "other"))
-    return pairs.withColumn("nth", nth).where("nth = 1").select("list_id", "name", "candidate", "score")
+    pairs = found.select(F.trim("to_name").alias("to_name"), F.trim("from_name").alias("from_name"), F.lit(0).alias("rank"))
+    if manual is not None:
+        pairs = pairs.unionByName(manual.select(F.trim("to_name").alias("to_name"), F.trim("from_name").alias("from_name"), F.lit(1).alias("rank")))
+    pairs = pairs.where("to_name <> '' AND from_name <> '' AND to_name <> from_name")
+    return pairs.groupBy("from_name").agg(F.min_by("to_name", F.struct("rank", "to_name")).alias("to_name"))
+
+
+def school_candidates(schools: DataFrame, teams: DataFrame) -> DataFrame:
+    """schools (school), teams (team) → each school, its teams in order, how many. Schools without one stay, with 0.
+
+    A team's name before its comma and the school hold one another.
+    """
+    s = schools.select("school", norm_name(F.col("school")).alias("school_norm")).distinct()
+    t = teams.select("team", norm_name(F.substring_index("team", ",", 1)).alias("team_norm")).distinct()
+    pairs = theta_pairs(s, t, "school_norm", "team_norm").join(t, "team_norm")
+    found = s.join(pairs, "school_norm", "left").groupBy("school")
+    return found.agg(F.array_join(F.array_sort(F.collect_set("team")), " , ").alias("teams"), F.count_distinct("team").alias("n_teams"))
+
+
+def school_fixes(schools: DataFrame, teams: DataFrame, manual: DataFrame | None = None) -> DataFrame:
+    """Schools with exactly one team, and manual pairs, as pairs to apply; the team's name counts up to its comma."""
+    found = school_candidates(schools, teams).where("n_teams = 1").select(F.col("teams").alias("to_name"), F.col("school").alias("from_name"))
+    return name_fixes(found, manual).withColumn("to_name", F.substring_index("to_name", ",", 1))
 
 
-def single_team_fixes(pairs: DataFrame, school: str, team: str) -> DataFrame:
-    """Schools that match exactly one team."""
-    return pairs.groupBy(school).agg(F.count("*").alias("n"), F.min(team).alias(team)).where("n = 1").drop("n")
+def _word(c: Column | str) -> Column:
+    return F.substring_index(c, " ", 1)
 
 
 def team_neighbours(teams: DataFrame) -> DataFrame:
     """teams (team) → clean name with the names before and after it in order, and whether they share a first word.
 
-    The order is global and runs in one task: it covers distinct teams, some thousand rows.
+    Names are ordered within their first two characters; the ends of these groups, at most 37 * 38 + 1 of them
+    since clean names have only 37 characters, are put in order by themselves and joined back.
     """
-    t = teams.select("team", clean_team(F.col("team")).alias("team_clean")).distinct()
-    w = Window.orderBy("team_clean", "team")
-    before, after = F.lag("team_clean").over(w), F.lead("team_clean").over(w)
-    word = lambda c: F.substring_index(c, " ", 1)
-    t = t.withColumns({"before": before, "after": after})
-    return t.withColumns({"like_before": b2i(word(F.col("before")) == word(F.col("team_clean"))), "like_after": b2i(word(F.col("after")) == word(F.col("team_clean")))})
+    t = teams.select("team", clean_team(F.col("team")).alias("team_clean")).where("team IS NOT NULL").distinct().withColumn("head", F.substring("team_clean", 1, 2))
+    inner, outer = Window.partitionBy("head").orderBy("team_clean", "team"), Window.orderBy("head")
+    ends = t.groupBy("head").agg(F.min("team_clean").alias("first"), F.max("team_clean").alias("last"))
+    ends = ends.select("head", F.lag("last").over(outer).alias("outer_before"), F.lead("first").over(outer).alias("outer_after"))
+    t = t.withColumns({"before": F.lag("team_clean").over(inner), "after": F.lead("team_clean").over(inner)}).join(F.broadcast(ends), "head")
+    t = t.withColumns({c: F.coalesce(c, f"outer_{c}") for c in ("before", "after")}).drop("head", "outer_before", "outer_after")
+    return t.withColumns({f"like_{c}": b2i(_word(F.col(c)) == _word(F.col("team_clean"))) for c in ("before", "after")})
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -84,11 +138,10 @@ def alias_pairs(teams: DataFrame, seasons: tuple[str, str]) -> DataFrame:
     """teams (season, team) → names of the first season only and the second only that stand next to one another
     in the order of clean names and share a first word."""
     seen = teams.groupBy("team").agg(*(F.max(b2i(F.col("season") == s)).alias(f"in_{i}") for i, s in enumerate(seasons)))
-    w = Window.orderBy("team_clean", "team")
-    t = seen.withColumn("team_clean", clean_team(F.col("team")))
-    t = t.withColumns({f"next_{c}": F.lead(c).over(w) for c in ("team", "team_clean", "in_0", "in_1")})
-    word = lambda c: F.substring_index(c, " ", 1)
-    t = t.where((word("team_clean") == word("next_team_clean")) & (F.col("team_clean") != ""))
+    # Names with one first word stand together in the order, for no character is less than a space.
+    t = seen.withColumn("team_clean", clean_team(F.col("team"))).where("team_clean <> ''")
+    w = Window.partitionBy(_word("team_clean")).orderBy("team_clean", "team")
+    t = t.withColumns({f"next_{c}": F.lead(c).over(w) for c in ("team", "in_0", "in_1")})
     old_first = (F.col("in_1") == 0) & (F.col("next_in_0") == 0)
     new_first = (F.col("in_0") == 0) & (F.col("next_in_1") == 0)
     pair = F.when(old_first, F.struct(F.col("team").alias("a"), F.col("next_team").alias("b"))).when(new_first, F.struct(F.col("next_team").alias("a"), F.col("team").alias("b")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
@@ -26,40 +26,58 @@ def round_factor(round_: Column) -> Column:
 
 
 def with_k(bouts: DataFrame, base: float = 24.0, late: float = 0.5, pool: Sequence[str] = ("season",)) -> DataFrame:
-    """bouts (pool, start, id, round) with bout_no and k: more for late bouts and high rounds."""
-    w = Window.partitionBy(*pool)
-    k = base * (1 + late * F.percent_rank().over(w.orderBy("start"))) * round_factor(F.col("round"))
-    return bouts.withColumns({"bout_no": F.row_number().over(w.orderBy("start", "id")).cast("long"), "k": F.round(k, 3)})
-
-
-def fold(bouts: pd.DataFrame) -> pd.DataFrame:
-    """Ratings before and after each bout of one pool, in order, kept to three places after each."""
-    rating: dict[int, Decimal] = {}
-    rows = []
-    for b in bouts.sort_values("bout_no").itertuples():
-        a, o = rating.get(b.wrestler_id, START), rating.get(b.opponent_id, START)
-        expected = 1 / (1 + 10 ** (float(o - a) / 400))
-        change = Decimal(repr(b.k * (b.won - expected)))
-        a2, o2 = ((x).quantize(STEP, ROUND_HALF_UP) for x in (a + change, o - change))
-        rating[b.wrestler_id], rating[b.opponent_id] = a2, o2
-        rows.append((b.bout_no, b.id, b.wrestler_id, b.opponent_id, b.k, float(a), float(o), float(a2), float(o2)))
-    return pd.DataFrame(rows, columns=[x.split()[0] for x in RATED.split(", ")])
+    """bouts (pool, start, id, round) with bout_no and k: more for late bouts and high rounds.
+
+    Bouts are put in order within a day, and days by their counts of bouts, so no task sorts a whole pool.
+    """
+    keys = list(pool)
+    df = bouts.withColumn("__day", F.to_date("start"))
+    counts = df.groupBy(*keys, "__day").agg(F.count("*").alias("__n"))
+    whole, upto = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("__day").alias("__d"), F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before"), F.sum("__n").over(whole).alias("__all"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys] + [F.col("__day").eqNullSafe(F.col("__d"))]
+    df = df.join(counts, same)
+    w = Window.partitionBy(*keys, "__day")
+    rank = F.col("__before") + F.rank().over(w.orderBy("start"))
+    share = F.when(F.col("__all") > 1, (rank - 1) / (F.col("__all") - 1)).otherwise(0.0)
+    no = F.col("__before") + F.row_number().over(w.orderBy("start", "id"))
+    df = df.withColumns({"bout_no": no.cast("long"), "k": F.round(base * (1 + late * share) * round_factor(F.col("round")), 3)})
+    return df.select(*bouts.columns, "bout_no", "k")
+
+
+def rate(b: tuple, rating: dict[int, Decimal]) -> tuple:
+    """A bout's row with ratings before and after, kept to three places after each bout."""
+    a, o = rating.get(b.wrestler_id, START), rating.get(b.opponent_id, START)
+    expected = 1 / (1 + 10 ** (float(o - a) / 400))
+    change = Decimal(repr(b.k * (b.won - expected)))
+    a2, o2 = ((x).quantize(STEP, ROUND_HALF_UP) for x in (a + change, o - change))
+    rating[b.wrestler_id], rating[b.opponent_id] = a2, o2
+    return (b.bout_no, b.id, b.wrestler_id, b.opponent_id, b.k, float(a), float(o), float(a2), float(o2))
 
 
 def elo(bouts: DataFrame, pool: Sequence[str] = ("season",)) -> DataFrame:
     """bouts (pool, bout_no, id, wrestler_id, opponent_id, won 0/1, k) → ratings around each bout.
 
-    Each bout depends on those before it, so a pool is folded by one task: a season of one league.
+    Each bout depends on those before it, so a pool is folded by one task, in sorted batches: it holds
+    one rating an athlete, never the pool's bouts. Pools that share no athlete may be split further.
     """
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in bouts.schema.fields if f.name in pool)
+    names = [*pool, *(x.split()[0] for x in RATED.split(", "))]
 
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        out = fold(part)
-        for i, (name, value) in enumerate(zip(pool, key, strict=True)):
-            out.insert(i, name, value)
-        return out
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, rating = None, {}
+        for part in parts:
+            rows = []
+            for b in part.itertuples(index=False):
+                key = tuple(getattr(b, p) for p in pool)
+                if key != now:
+                    now, rating = key, {}
+                rows.append((*key, *rate(b, rating)))
+            yield pd.DataFrame(rows, columns=names)
 
-    return bouts.select(*pool, "bout_no", "id", "wrestler_id", "opponent_id", "won", "k").groupBy(*pool).applyInPandas(run, f"{kinds}, {RATED}")
+    ordered = bouts.select(*pool, "bout_no", "id", "wrestler_id", "opponent_id", "won", "k").repartition(*pool).sortWithinPartitions(*pool, "bout_no")
+    fields = {x.split()[0]: x for x in kinds.split(", ")}
+    return ordered.mapInPandas(run, ", ".join([*(fields[p] for p in pool), RATED]))
 
 
 def elo_summary(rated: DataFrame, pool: Sequence[str] = ("season",)) -> DataFrame:
@@ -72,12 +90,12 @@ def elo_summary(rated: DataFrame, pool: Sequence[str] = ("season",)) -> DataFram
     return df.withColumn("delta", F.round(F.col("last") - F.col("first"), 3))
 
 
-def z_score(value: Column, window: Window) -> Column:
-    """Distance from the mean in population standard deviations; 0 if all are equal."""
-    sd = F.stddev_pop(value).over(window)
-    return F.when(sd > 0, (value - F.avg(value).over(window)) / sd).otherwise(0.0)
-
-
 def composite(df: DataFrame, rating: str, delta: str, schedule: str, pool: Sequence[str]) -> DataFrame:
-    w = Window.partitionBy(*pool)
-    return df.withColumn("score", F.round(0.7 * F.col(rating) + 0.2 * z_score(F.col(delta), w) + 0.1 * z_score(F.col(schedule), w), 6))
+    """0.7 of the rating, 0.2 and 0.1 of how many population deviations delta and schedule are from their pool's mean.
+
+    No deviation counts as 0. Means are taken once a pool and joined back.
+    """
+    stats = df.groupBy(*(F.col(p).alias(f"__{p}") for p in pool)).agg(*(f(c).alias(f"__{n}_{c}") for c in (delta, schedule) for n, f in (("avg", F.avg), ("sd", F.stddev_pop))))
+    both = df.join(stats, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in pool])
+    z = lambda c: F.when(F.col(f"__sd_{c}") > 0, (F.col(c) - F.col(f"__avg_{c}")) / F.col(f"__sd_{c}")).otherwise(0.0)
+    return both.withColumn("score", F.round(0.7 * F.col(rating) + 0.2 * z(delta) + 0.1 * z(schedule), 6)).select(*df.columns, "score")

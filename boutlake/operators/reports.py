@@ -45,18 +45,37 @@ def census(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, (df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows") for n, df in tables.items()))
 
 
-def head_to_head(bouts: DataFrame) -> DataFrame:
-    """bouts (wrestler_id, opponent_id, outcome) → one row a pair, least id first: meetings and wins of each.
+def head_to_head(pairs: DataFrame, bouts: DataFrame, except_: Column | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """pairs (keys, first_place_id, second_place_id) with their meetings in bouts (keys, wrestler_id, opponent_id, outcome).
 
-    Pairs are put in order, so both sides' rows meet by equality.
+    Rows of either side count, but for those that except_ holds for; pairs that never met stay, with 0. Both
+    sides' rows meet a pair by equality, once its ids and theirs are in order.
     """
     a, b = F.least("wrestler_id", "opponent_id"), F.greatest("wrestler_id", "opponent_id")
-    first = F.when(F.col("wrestler_id") < F.col("opponent_id"), F.col("outcome") == "W").otherwise(F.col("outcome") == "L")
-    second = F.when(F.col("wrestler_id") < F.col("opponent_id"), F.col("outcome") == "L").otherwise(F.col("outcome") == "W")
-    df = bouts.where(F.col("wrestler_id") != F.col("opponent_id")).groupBy(a.alias("a"), b.alias("b"))
-    df = df.agg(F.count("*").alias("meetings"), F.sum(b2i(first).cast("long")).alias("a_wins"), F.sum(b2i(second).cast("long")).alias("b_wins"))
-    series = F.when(F.col("a_wins") + F.col("b_wins") == 0, "undecided").when(F.col("a_wins") == F.col("b_wins"), "split").when(F.abs(F.col("a_wins") - F.col("b_wins")) >= 3, "lopsided").otherwise("close")
-    return df.withColumn("series", series)
+    met = bouts if except_ is None else bouts.where(~F.coalesce(except_, F.lit(False)))
+    met = met.groupBy(*keys, a.alias("a"), b.alias("b")).agg(
+        F.count("*").alias("n"), *(F.count_if((F.col("wrestler_id") == x) & (F.col("outcome") == "W")).alias(f"{n}_wins") for n, x in (("a", a), ("b", b))))
+    one, two = F.col("first_place_id"), F.col("second_place_id")
+    both = pairs.withColumns({"a": F.least(one, two), "b": F.greatest(one, two)}).join(met, [*keys, "a", "b"], "left")
+    wins = lambda x: F.coalesce(F.when(x == F.col("a"), F.col("a_wins")).otherwise(F.col("b_wins")), F.lit(0))
+    both = both.withColumns({"prior_meet_count": F.coalesce("n", F.lit(0)), "first_place_prior_wins": wins(one), "second_place_prior_wins": wins(two)})
+    first, second = F.col("first_place_prior_wins"), F.col("second_place_prior_wins")
+    series = F.when(F.col("prior_meet_count") == 0, "no_prior_meeting").when(first > second, "first_place_led_series").when(second > first, "second_place_led_series").otherwise("series_tied")
+    return both.withColumn("prior_series_summary", series).select(*pairs.columns, "prior_meet_count", "first_place_prior_wins", "second_place_prior_wins", "prior_series_summary")
+
+
+def finalist_report(bouts: DataFrame, keys: Sequence[str] = ("season", "weight_category")) -> DataFrame:
+    """First and second of each bracket by the last State bout of each athlete, and their meetings but for State finals.
+
+    bouts: keys with season first, wrestler_id, opponent_id, match_order, event, round, weight_category, outcome.
+    """
+    state = F.col("event").contains("State Championships")
+    last = F.struct("match_order", "id")
+    ends = bouts.where(state & F.col("weight_category").contains("A")).groupBy(keys[0], "wrestler_id").agg(F.max_by(F.struct(*keys[1:], "round", "outcome"), last).alias("e"))
+    ends = ends.where(F.col("e.round").contains("1st Place Match")).select(keys[0], "wrestler_id", *(f"e.{k}" for k in keys[1:]), "e.outcome")
+    one = ends.where("outcome = 'W'").select(*keys, F.col("wrestler_id").alias("first_place_id"))
+    two = ends.where("outcome = 'L'").select(*keys, F.col("wrestler_id").alias("second_place_id"))
+    return head_to_head(one.join(two, list(keys)), bouts, state & F.col("round").contains("1st Place Match"), keys[:1])
 
 
 def finalist_pairs(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,6 +85,7 @@ def finalist_pairs(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return one.join(two, list(keys))
 
 
-def table_signature(df: DataFrame) -> DataFrame:
-    """Rows and a sum of row hashes, equal for equal bags of rows in any order."""
-    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("checksum"))
+def table_signature(df: DataFrame, updated: str | None = None) -> DataFrame:
+    """Rows, the latest update and a sum of row hashes, equal for equal bags of rows in any order."""
+    latest = F.max(updated) if updated else F.lit(None)
+    return df.agg(F.count("*").alias("n_rows"), latest.cast("string").alias("last_updated"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("checksum"))

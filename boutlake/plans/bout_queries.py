@@ -174,13 +174,37 @@ FROM b JOIN m USING (season, wrestler_id, match_order)
 
 
 def pair_head_to_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.head_to_head(bouts(spark, sf_dir))
+    """Everyone who met, the lesser id in the first place; State finals do not count."""
+    df = bouts(spark, sf_dir)
+    pairs = df.where("wrestler_id <> opponent_id").select(F.least("wrestler_id", "opponent_id").alias("first_place_id"), F.greatest("wrestler_id", "opponent_id").alias("second_place_id")).distinct()
+    return reports.head_to_head(pairs, df, F.col("event").contains("State Championships") & F.col("round").contains("1st Place Match"))
 
 
+_SERIES = """CASE WHEN n IS NULL OR n = 0 THEN 'no_prior_meeting' WHEN w1 > w2 THEN 'first_place_led_series' WHEN w2 > w1 THEN 'second_place_led_series' ELSE 'series_tied' END AS prior_series_summary"""
+_PRIOR = """coalesce(n, 0) AS prior_meet_count, coalesce(w1, 0) AS first_place_prior_wins, coalesce(w2, 0) AS second_place_prior_wins, """ + _SERIES
+_MET = """count(*) AS n, count(*) FILTER (WHERE h.wrestler_id = p.first_place_id AND h.outcome = 'W') AS w1, count(*) FILTER (WHERE h.wrestler_id = p.second_place_id AND h.outcome = 'W') AS w2"""
+_NOT_FINAL = "NOT (h.event LIKE '%State Championships%' AND coalesce(h.round, '') LIKE '%1st Place Match%')"
 PAIR_HEAD_TO_HEAD = f"""
-WITH p AS (SELECT least(wrestler_id, opponent_id) AS a, greatest(wrestler_id, opponent_id) AS b, CASE WHEN wrestler_id < opponent_id THEN outcome WHEN outcome = 'W' THEN 'L' WHEN outcome = 'L' THEN 'W' END AS o
-  FROM ({BOUTS_SQL}) WHERE wrestler_id <> opponent_id), g AS (SELECT a, b, count(*) AS meetings, count(*) FILTER (WHERE o = 'W') AS a_wins, count(*) FILTER (WHERE o = 'L') AS b_wins FROM p GROUP BY a, b)
-SELECT *, CASE WHEN a_wins + b_wins = 0 THEN 'undecided' WHEN a_wins = b_wins THEN 'split' WHEN abs(a_wins - b_wins) >= 3 THEN 'lopsided' ELSE 'close' END AS series FROM g
+WITH h AS ({BOUTS_SQL}), p AS (SELECT DISTINCT least(wrestler_id, opponent_id) AS first_place_id, greatest(wrestler_id, opponent_id) AS second_place_id FROM h WHERE wrestler_id <> opponent_id),
+m AS (SELECT first_place_id, second_place_id, {_MET} FROM p JOIN h ON least(h.wrestler_id, h.opponent_id) = first_place_id AND greatest(h.wrestler_id, h.opponent_id) = second_place_id WHERE {_NOT_FINAL} GROUP BY ALL)
+SELECT first_place_id, second_place_id, {_PRIOR} FROM p LEFT JOIN m USING (first_place_id, second_place_id)
+"""
+
+
+def finalist_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Athletes compete in five brackets; every fourth bout is at State, half of these are finals."""
+    df = bouts(spark, sf_dir).withColumns({"weight_category": F.concat(F.col("wrestler_id") % 5, F.lit("A")), "event": F.when(F.col("id") % 4 == 0, "State Championships").otherwise("Winter Open")})
+    return reports.finalist_report(df)
+
+
+FINALIST_REPORT = f"""
+WITH h AS (SELECT * REPLACE (CASE WHEN id % 4 = 0 THEN 'State Championships' ELSE 'Winter Open' END AS event), concat(wrestler_id % 5, 'A') AS weight_category FROM ({BOUTS_SQL})),
+d AS (SELECT *, CASE WHEN round LIKE '%1st Place Match%' AND outcome = 'W' THEN 1 WHEN round LIKE '%1st Place Match%' AND outcome = 'L' THEN 2 END AS place FROM h WHERE event LIKE '%State Championships%' AND weight_category LIKE '%A%'),
+x AS (SELECT season, wrestler_id, max(match_order) AS match_order FROM d GROUP BY ALL), e AS (SELECT d.* FROM d JOIN x USING (season, wrestler_id, match_order)),
+p AS (SELECT a.season, a.weight_category, a.wrestler_id AS first_place_id, b.wrestler_id AS second_place_id FROM e a JOIN e b ON a.season = b.season AND a.weight_category = b.weight_category AND a.place = 1 AND b.place = 2),
+m AS (SELECT p.season, p.weight_category, first_place_id, second_place_id, {_MET} FROM p JOIN h ON h.season = p.season
+  AND ((h.wrestler_id = first_place_id AND h.opponent_id = second_place_id) OR (h.wrestler_id = second_place_id AND h.opponent_id = first_place_id)) WHERE {_NOT_FINAL} GROUP BY ALL)
+SELECT season, weight_category, first_place_id, second_place_id, {_PRIOR} FROM p LEFT JOIN m USING (season, weight_category, first_place_id, second_place_id)
 """
 
 
@@ -241,36 +265,46 @@ MATCH_ORDER_BACKFILL = f"SELECT id, coalesce(CASE WHEN id % 4 <> 0 THEN match_or
 
 
 def soundex_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").select("p_partkey", "p_name", soundex_full("p_name").alias("sound"))
+    """How many parts have a name that sounds alike, for every part."""
+    part = read(spark, sf_dir, "part").select("p_partkey", soundex_full("p_name").alias("sound"))
+    return part.join(part.groupBy("sound").agg(F.count("*").alias("n")), "sound")
 
 
-def fuzzy_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read(spark, sf_dir, "part")
-    names = part.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("list_id"), F.col("p_name").alias("name"), F.col("p_type").alias("school"), F.col("p_size").alias("weight"))
-    candidates = part.where("p_partkey % 2 = 1").select(F.col("p_name").alias("candidate"), F.col("p_type").alias("other"), F.col("p_size").alias("weight")).distinct()
-    return matching.best_candidates(names, candidates, least=3, use_sound=False).withColumn("score", F.col("score").cast("long"))
+def _sound(c: str) -> str:
+    letters = f"regexp_replace(upper({c}), '[^A-Z]', '', 'g')"
+    codes = f"translate({letters}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230120022455012623010202')"
+    digits = f"list_reduce(list_prepend('', string_split(replace({codes}, '0', ''), '')), lambda a, c: CASE WHEN right(a, 1) = c THEN a ELSE a || c END)"
+    code = f"{letters}[1:1] || CASE WHEN starts_with({codes}, '0') THEN {digits} ELSE substr({digits}, 2) END"
+    return f"CASE WHEN {letters} = '' THEN '' ELSE rpad({code}, CAST(greatest(4, length({code})) AS INT), '0') END"
 
 
-FUZZY_BEST_MATCH = """
-WITH a AS (SELECT p_partkey AS list_id, p_name AS name, p_type AS school, p_size AS weight FROM part WHERE p_partkey % 2 = 0),
-b AS (SELECT DISTINCT p_name AS candidate, p_type AS other, p_size AS weight FROM part WHERE p_partkey % 2 = 1),
-s AS (SELECT *, CAST(CAST(split_part(lower(name), ' ', 1) = split_part(lower(candidate), ' ', 1) AS INT) + 1 + 2 * CAST(strpos(lower(school), lower(other)) > 0 OR strpos(lower(other), lower(school)) > 0 AS INT) AS BIGINT) AS score
-  FROM a JOIN b USING (weight) WHERE split_part(lower(name), ' ', -1) = split_part(lower(candidate), ' ', -1))
-SELECT list_id, name, candidate, score FROM (SELECT *, row_number() OVER (PARTITION BY list_id ORDER BY score DESC, candidate, other) AS nth FROM s WHERE score >= 3) WHERE nth = 1
-"""
+SOUNDEX_MATCH = f"WITH s AS (SELECT p_partkey, {_sound('p_name')} AS sound FROM part) SELECT p_partkey, sound, count(*) OVER (PARTITION BY sound) AS n FROM s"
 
 
-def fuzzy_best_match_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All parts on both sides, by last word or sound; but for one type the candidates' last words have other vowels.
-
-    No SQL: DuckDB has no soundex of full length.
-    """
+def fuzzy_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts on both sides; but for one type the candidates' last words have other vowels, and schools differ in what follows."""
     part = read(spark, sf_dir, "part")
-    names = part.select(F.col("p_partkey").alias("list_id"), F.col("p_name").alias("name"), F.col("p_type").alias("school"), F.col("p_size").alias("weight"))
+    names = part.select(F.col("p_partkey").alias("list_id"), F.col("p_name").alias("name"), F.concat("p_type", F.lit(", CO")).alias("school"))
     misspelt = F.concat(F.substring_index("p_name", " ", 1), F.lit(" "), F.translate(F.substring_index("p_name", " ", -1), "aeiou", "eioua"))
     candidate = F.when(F.col("p_type") == "ECONOMY", F.col("p_name")).otherwise(misspelt).alias("candidate")
-    candidates = part.select(candidate, F.col("p_type").alias("other"), F.col("p_size").alias("weight")).distinct()
-    return matching.best_candidates(names, candidates).withColumn("score", F.col("score").cast("long"))
+    other = F.concat("p_type", F.when(F.col("p_size") > 25, " High").otherwise("")).alias("other")
+    return matching.best_candidates(names, part.select(candidate, other)).withColumn("score", F.col("score").cast("long"))
+
+
+def _normed(c: str) -> str:
+    return rf"lower(trim(regexp_replace(regexp_replace({c}, '[^A-Za-z0-9 ]', ' ', 'g'), '\s+', ' ', 'g')))"
+
+
+FUZZY_BEST_MATCH = f"""
+WITH r AS (SELECT DISTINCT CASE WHEN p_type = 'ECONOMY' THEN p_name ELSE split_part(p_name, ' ', 1) || ' ' || translate(split_part(p_name, ' ', -1), 'aeiou', 'eioua') END AS candidate,
+  p_type || CASE WHEN p_size > 25 THEN ' High' ELSE '' END AS other FROM part),
+rn AS (SELECT *, {_normed("candidate")} AS rname, {_normed("other")} AS rschool, {_sound(_normed("candidate"))} AS rsound FROM r),
+n AS (SELECT DISTINCT p_name AS name, p_type || ', CO' AS school FROM part), ln AS (SELECT *, {_normed("name")} AS lname, {_normed("split_part(school, ',', 1)")} AS lschool, {_sound(_normed("name"))} AS lsound FROM n),
+c AS (SELECT *, CAST(CAST(contains(rname, split_part(lname, ' ', 1)) AS INT) + CAST(contains(rname, split_part(lname, ' ', -1)) AS INT) + CAST(lsound = rsound AS INT) + CAST(contains(rschool, lschool) AS INT) + CAST(contains(lschool, rschool) AS INT) AS BIGINT) AS score
+  FROM ln JOIN rn ON contains(rschool, lschool) OR contains(lschool, rschool) WHERE lsound = rsound OR contains(rname, split_part(lname, ' ', -1))),
+k AS (SELECT *, row_number() OVER (PARTITION BY name, school ORDER BY score DESC, candidate, other) AS rank FROM c)
+SELECT p_partkey AS list_id, name, candidate, score FROM part JOIN k ON p_name = name AND school = p_type || ', CO' WHERE rank = 1 AND score >= 4
+"""
 
 
 def bout_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +333,6 @@ QUERIES = {
     "pair_head_to_head": (pair_head_to_head, PAIR_HEAD_TO_HEAD), "finalist_pairs": (finalist_pairs, FINALIST_PAIRS), "percent_rank_k": (percent_rank_k, PERCENT_RANK_K),
     "elo_ratings": (elo_ratings, None), "elo_summary": (elo_summary, None), "top_ratings": (top_ratings, None), "regr_slope": (regr_slope, REGR_SLOPE),
     "bout_index": (bout_index, BOUT_INDEX), "parse_strict": (parse_strict, PARSE_STRICT),
-    "match_order_backfill": (match_order_backfill, MATCH_ORDER_BACKFILL), "soundex_match": (soundex_match, None), "fuzzy_best_match": (fuzzy_best_match, FUZZY_BEST_MATCH),
-    "fuzzy_best_match_sound": (fuzzy_best_match_sound, None),
+    "match_order_backfill": (match_order_backfill, MATCH_ORDER_BACKFILL), "soundex_match": (soundex_match, SOUNDEX_MATCH), "fuzzy_best_match": (fuzzy_best_match, FUZZY_BEST_MATCH),
+    "finalist_report": (finalist_report, FINALIST_REPORT),
 }

@@ -40,6 +40,17 @@ def read_links(spark: SparkSession, path: str, column: str = "name_link") -> Dat
     return df.select(F.trim(F.col(column)).alias(column)).where(F.col(column) != "")
 
 
+def count_rows(spark: SparkSession, path: str) -> int:
+    """Rows of CSV files with header; a quoted line break does not end a row."""
+    return spark.read.csv(path, header=True, multiLine=True, escape='"').count()
+
+
+def list_columns(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Table, place, name and type of every column of a database's tables."""
+    rows = [(t.name, i, c.name, c.dataType) for t in spark.catalog.listTables(database) for i, c in enumerate(spark.catalog.listColumns(t.name if t.isTemporary else f"{t.database}.{t.name}"), 1)]
+    return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string")
+
+
 class _Rows(HTMLParser):
     """Cells of table rows, with the links in each row."""
 

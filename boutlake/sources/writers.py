@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from boutlake.operators.reports import table_signature
+
 ROWS_PER_FILE = 50_000
 
 
@@ -36,3 +38,14 @@ def write_table(df: DataFrame, name: str, partition: Sequence[str] = (), mode: s
 
 def backup_table(df: DataFrame, name: str) -> None:
     df.write.format("parquet").mode("errorifexists").saveAsTable(name)
+
+
+def sync_table(df: DataFrame, name: str, updated: str | None = None, force: bool = False) -> bool:
+    """The table made equal to df, columns included; left alone if rows, latest update and checksum agree. Whether it was written."""
+    spark = df.sparkSession
+    if not force and spark.catalog.tableExists(name):
+        there = spark.table(name)
+        if there.schema.simpleString() == df.schema.simpleString() and table_signature(there, updated).first() == table_signature(df, updated).first():
+            return False
+    write_table(df, name)
+    return True

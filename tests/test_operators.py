@@ -1,10 +1,10 @@
 import io
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from boutlake.functions import compat
-from boutlake.operators import enrich, matching, ratings, tasks, upsert
+from boutlake.operators import enrich, matching, ratings, reports, tasks, upsert
 from boutlake.sources import readers, writers
 from boutlake.streaming import refresh
 
@@ -65,33 +65,92 @@ def test_round_factor_tests_final_first(spark):
     assert [f("Semifinal"), f("Semis"), f("Cons. 2"), f("Consolation")] == [1.25, 1.15, 1.0, 1.05]
 
 
-def test_matching(spark):
-    names = spark.createDataFrame([(1, "Jon Smith", "North High", 120), (2, "Amy Oz", "East", 120)], "list_id int, name string, school string, weight int")
-    cands = spark.createDataFrame([("John Smith", "North", 120), ("Jon Smyth", "North High, CO", 120), ("Jon Smith", "North", 126)], "candidate string, other string, weight int")
-    got = matching.best_candidates(names, cands).collect()
-    assert [(r["list_id"], r["candidate"], r["score"]) for r in got] == [(1, "John Smith", 4)] or got[0]["score"] >= 4
-    teams = matching.team_neighbours(spark.createDataFrame([("Palmer H.S., CO",), ("Palmer High",), ("Zed",)], "team string")).collect()
-    assert {(r["team_clean"], r["like_before"], r["like_after"]) for r in teams} == {("palmer h s   co", 0, 1), ("palmer high", 1, 0), ("zed", 0, 0)}
+def test_team_neighbours(spark):
+    teams = matching.team_neighbours(spark.createDataFrame([("Palmer H.S., CO",), ("Palmer High",), ("Zed",), ("Paz",), (None,)], "team string")).collect()
+    assert {(r["team_clean"], r["before"], r["after"], r["like_before"], r["like_after"]) for r in teams} == {
+        ("palmer h s   co", None, "palmer high", 0, 1), ("palmer high", "palmer h s   co", "paz", 1, 0), ("paz", "palmer high", "zed", 0, 0), ("zed", "paz", None, 0, 0)}
 
 
-def test_best_candidates_by_last_word_or_sound(spark):
-    names = [(1, "Jon Smith", "North High", 120), (2, "Amy Larsen", "East", 120), (3, "Bo Reed", "West", 126), (4, "Cy Stone", "Hill", 120), (5, "Jon Smith", "South", 126)]
-    cands = [("Jon Smyth", "North High", 120), ("Jon Smithe", "North", 120), ("Jon Smith", "North", 126), ("Amy Larson", "East", 120), ("Amy Lorsen", "East High", 120), ("Bo Reid", "West", 126),
-             ("Bo Reed", "Else", 126), ("Cy Stane", "Other", 120), ("Al Stone", "Hill", 120)]
+def test_texts_that_hold_one_another(spark):
+    left, right = ["North High", "N", "ab", "", None, "Abba", "x North High School"], ["north", "North High", "b", "ABBA ", "", None, "zz"]
+    rows = matching.theta_pairs(spark.createDataFrame([(x,) for x in left * 2], "a string"), spark.createDataFrame([(x,) for x in right * 2], "b string"), "a", "b").collect()
+    wanted = {(a, b) for a in left if a for b in right if b and (a.lower() in b.lower() or b.lower() in a.lower())}
+    assert sorted(tuple(r) for r in rows) == sorted(wanted)
+
+
+def test_best_candidates(spark):
+    names = [(1, "Jon Smith", "North High, CO"), (2, "Amy Larsen", "East"), (3, "Bo Reed", "West"), (4, "Cy Stone", "Hill"), (5, "Jon Smith", "South"), (6, None, "East"), (7, "Amy Larsen", None), (8, "Amy Larsen", "East"), (9, "Al O'Neil", "Hill")]
+    cands = [("Jon Smyth", "North High"), ("Jon Smithe", "North"), ("Jon Smith", "North"), ("Amy Larson", "East"), ("Amy Lorsen", "East High"), ("Bo Reid", "West"), ("Bo Reed", "Else"), ("Cy Stane", "Other"), ("Al Stonewall", "Hill"), ("Cy Livingstone", "Hill"),
+             ("Al O Neil", "hill"), (None, "East"), ("Jon Smith", None)]
+
+    def norm(x):
+        return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in x).split()).lower()
+
+    def sound(x):
+        letters = [c for c in x.upper() if "A" <= c <= "Z"]
+        digit = lambda c: next((str(d) for d, cs in enumerate(("AEIOUYHW", "BFPV", "CGJKQSXZ", "DT", "L", "MN", "R")) if c in cs), "0")
+        code, last = letters[0], digit(letters[0])
+        for c in letters[1:]:
+            if digit(c) != "0" and digit(c) != last:
+                code, last = code + digit(c), digit(c)
+        return code.ljust(4, "0")
+
     wanted = []
-    for i, name, school, weight in names:
+    for i, name, school in names:
         found = []
-        for cand, other, w in cands:
-            a, b, s, o = name.lower().split(), cand.lower().split(), school.lower(), other.lower()
-            last, sound = a[-1] == b[-1], compat.soundex_of(name) == compat.soundex_of(cand)
-            score = (a[0] == b[0]) + last + sound + 2 * (s in o or o in s)
-            if w == weight and (last or sound) and score >= 4:
+        for cand, other in cands:
+            if None in (name, school, cand, other):
+                continue
+            a, b, s, o = norm(name), norm(cand), norm(school.split(",")[0]), norm(other)
+            gate = sound(a) == sound(b) or a.split()[-1] in b
+            score = (a.split()[0] in b) + (a.split()[-1] in b) + (sound(a) == sound(b)) + (s in o) + (o in s)
+            if gate and (s in o or o in s) and score >= 4:
                 found.append((-score, cand, other))
         wanted += [(i, name, c, -n) for n, c, _ in sorted(found)[:1]]
-    got = matching.best_candidates(
-        spark.createDataFrame(names, "list_id int, name string, school string, weight int"), spark.createDataFrame(cands, "candidate string, other string, weight int"))
+    got = matching.best_candidates(spark.createDataFrame(names, "list_id int, name string, school string"), spark.createDataFrame(cands, "candidate string, other string"))
     assert sorted(tuple(r) for r in got.collect()) == wanted
-    assert (2, "Amy Larsen", "Amy Larson", 4) in wanted and (3, "Bo Reed", "Bo Reid", 4) in wanted
+    assert {w[0] for w in wanted} == {1, 2, 3, 4, 8, 9} and (4, "Cy Stone", "Cy Livingstone", 4) in wanted
+
+
+def test_fixes(spark):
+    schools = spark.createDataFrame([("North",), ("East",), ("Lost",), (None,)], "school string")
+    teams = spark.createDataFrame([("North High, CO",), ("East A, CO",), ("East B, CO",), (None,)], "team string")
+    got = {r["school"]: (r["teams"], r["n_teams"]) for r in matching.school_candidates(schools, teams).collect()}
+    assert got["North"] == ("North High, CO", 1) and got["East"] == ("East A, CO , East B, CO", 2) and got["Lost"] == ("", 0)
+    manual = spark.createDataFrame([("East A, CO", "East"), (" ", "x"), ("y", "y"), (None, "z"), ("Other", "North")], "to_name string, from_name string")
+    assert {tuple(r) for r in matching.school_fixes(schools, teams, manual).select("from_name", "to_name").collect()} == {("North", "North High"), ("East", "East A")}
+
+
+def test_regional_divisions(spark):
+    bouts = [("s", "CHSAA 4A Region 2", "A", 1), ("s", "CHSAA 4A Region 2", "A", 1), ("t", "CHSAA 4A Region 2", "A", 1), ("s", "CHSAA Region", "B", 2), ("s", "Open", "C", 3), ("s", None, "C", 3)]
+    teams = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (None, "D")], "team_id int, team string")
+    got = enrich.regional_divisions(spark.createDataFrame(bouts, "season string, event string, team string, team_id int"), teams).collect()
+    none = ("no_regional_event", "unknown", "unknown")
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, [(1, "A", "CHSAA 4A Region 2", "4A", "Region 2")] * 2 + [(2, "B", *none), (3, "C", *none), (None, "D", *none)]))
+
+
+def test_head_to_head(spark):
+    bouts = [(1, 2, "W", "Open"), (2, 1, "L", "Open"), (2, 1, "W", "Final"), (3, 1, "W", None), (1, 1, "W", "Open")]
+    df = spark.createDataFrame(bouts, "wrestler_id int, opponent_id int, outcome string, event string")
+    pairs = spark.createDataFrame([(2, 1), (1, 3), (2, 3)], "first_place_id int, second_place_id int")
+    got = {tuple(r) for r in reports.head_to_head(pairs, df, F.col("event") == "Final").collect()}
+    assert got == {(2, 1, 2, 0, 1, "second_place_led_series"), (1, 3, 1, 0, 1, "second_place_led_series"), (2, 3, 0, 0, 0, "no_prior_meeting")}
+
+
+def test_unique_keys_and_sync(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(ValueError, match="share keys"):
+        enrich.check_unique(df, ["k"])
+    with pytest.warns(UserWarning, match="share keys"):
+        enrich.check_unique(df, ["k"], abort=False)
+    assert enrich.check_unique(df, ["v"]) is df
+    name = "boutlake_sync_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        assert [writers.sync_table(df, name), writers.sync_table(df.orderBy("v"), name), writers.sync_table(df.limit(1), name), writers.sync_table(df.limit(1), name, force=True)] == [True, False, True, True]
+        assert [tuple(r) for r in readers.list_columns(spark).where(f"table_name = '{name}'").collect()] == [(name, 1, "k", "int"), (name, 2, "v", "string")]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def test_tasks(spark):
@@ -130,6 +189,7 @@ def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "quoted", line\nbreak'), (2, None)], "k int, name_link string")
     writers.write_csv(df, str(tmp_path / "out"), rows_per_file=1, gzip=True)
     assert sorted(r[0] for r in readers.read_links(spark, str(tmp_path / "out"), "NAME_LINK").collect()) == ['a "quoted", line\nbreak']
+    assert readers.count_rows(spark, str(tmp_path / "out")) == 2
 
 
 def test_streamed_upsert(spark, tmp_path):
