@@ -69,7 +69,7 @@ class Model:
             form = words.bags(SHAPES)
             found.append((doc, mixed(form * KINDS[1] + KINDS[4]) >> low))
             found.append((doc[1:][near], mixed(form[:-1][near] * KINDS[3] + mixed(form[1:][near])) >> low))
-            found.append((doc[1:][near], mixed((a == b).astype(np.uint64) + KINDS[4]) >> low))
+            found.append((doc[1:][near], mixed((a == b).astype(np.uint64) + KINDS[2]) >> low))
         return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found]).astype(np.int64), words.counts
 
     def value(self, count: np.ndarray, n: np.ndarray) -> np.ndarray:

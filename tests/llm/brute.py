@@ -1,6 +1,7 @@
 """Plain versions of the operators' contracts, over lists of (doc_id, text)."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -124,3 +125,51 @@ def fewest_bins(pieces, capacity):
                 ways.append((bins, used + x) if used + x <= capacity else (bins + 1, x))
         best[got] = min(ways)
     return best[-1][0] if pieces else 0
+
+
+def ftrl(rows, l1, l2, alpha, beta, epochs, positive):
+    """FTRL-proximal over (features to values, label) in turn: weights other than zero, and the bias."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f):
+        if f != "bias" and abs(z[f]) <= l1:
+            return 0.0
+        return -(z[f] - (l1 if z[f] > 0 else -l1 if z[f] < 0 else 0.0) * (f != "bias")) / ((beta + n[f] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for x, y in rows:
+            x = {**x, "bias": 1.0}
+            w = {f: weight(f) for f in x}
+            g = (1 / (1 + np.exp(-sum(w[f] * v for f, v in x.items()))) - y) * (positive if y else 1.0)
+            for f, v in x.items():
+                sigma = ((n[f] + (g * v) ** 2) ** 0.5 - n[f] ** 0.5) / alpha
+                z[f] += g * v - sigma * w[f]
+                n[f] += (g * v) ** 2
+    found = {f: weight(f) for f in z}
+    return {f: w for f, w in found.items() if w and f != "bias"}, found.get("bias", 0.0)
+
+
+def skip_features(text, marks, stems):
+    w = [x for x in text.lower().encode().translate(None, marks).split()]
+    out = {("word", x) for x in w} | {("pair", *p) for p in zip(w, w[1:], strict=False)} | {("skip", *p) for p in zip(w, w[2:], strict=False)}
+    return dict.fromkeys(out | {("stem", m, x[:m]) for m in stems for x in w if len(x) > m}, 1.0)
+
+
+def shape_features(text):
+    def shape(x):
+        return "".join(sorted("0" if c.isdigit() else c for c in x if not c.isalpha() and c.isascii()))
+
+    w = text.lower().split()
+    found = Counter(("word", x) for x in w) + Counter(("shape", shape(x)) for x in w)
+    for a, b in zip(w, w[1:], strict=False):
+        found.update([("pair", a, b), ("shapes", shape(a), shape(b)), ("same", a == b)])
+    return {f: float(np.float32((c / len(w)) ** 0.5)) for f, c in found.items()}
+
+
+def secrets(text):
+    """Base spans of a text: kind, start, end, by start and then kind."""
+    assign = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [("assign", m) for m in re.finditer(assign, text) if len(m[1]) >= 12]
+    found += [("access", m) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18] + [("hex", m) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    order = ["assign", "access", "hex"]
+    return sorted(((k, m.start(), m.end()) for k, m in found), key=lambda s: (s[1], order.index(s[0])))
