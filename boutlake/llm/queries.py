@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boutlake.llm import embedding_dedup, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, simhash, substring_dedup, toxicity
+from boutlake.llm import embedding_dedup, filter_audit, line_dedup, mixing, packing, quality_classifier, quality_rules, secret_scan, simhash, substring_dedup, token_files, toxicity, whitening
 from boutlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,9 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": _over(line_dedup.op8_line_dedup, "documents"),
         "op9_simhash_near_dedup": _over(simhash.op9_simhash_near_dedup, "documents"),
         "op10_quality_classifier": _over(quality_classifier.op10_quality_classifier, "documents", "labels"),
+        "op11_token_files": _over(token_files.op11_token_files, "documents"),
+        "op12_embedding_whitening": _over(whitening.op12_embedding_whitening, "embeddings"),
+        "op13_filter_audit": _over(filter_audit.op13_filter_audit, "documents", "labels"),
     }
 
 
@@ -40,4 +43,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": quality_rules.OP5_SQL,
         "op7_embedding_near_dedup": embedding_dedup.OP7_SQL,
         "op8_line_dedup": line_dedup.OP8_SQL,
+        "op13_filter_audit": filter_audit.OP13_SQL,
     }
