@@ -44,11 +44,16 @@ END = 2
 FILE_BYTES = 64 << 20
 #: Blocks that a reader decodes at a time.
 READ_BLOCKS = 1024
-#: Distinct words, and ids of them, whose encoding a task remembers.
-CACHED_WORDS, CACHED_IDS = 1 << 18, 1 << 20
+#: Distinct pieces, and ids of them, whose encoding a task remembers.
+CACHED_PIECES, CACHED_IDS = 1 << 17, 1 << 20
 _GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 #: Fixed value: how the word-end vocabulary's file splits a text. No match holds white space.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Lower-case letters of ASCII and the western alphabets, of which each piece that SPLIT finds is one match of _PIECE; other characters.
+_LETTERS = "a-zß-öø-ÿĀ-ſ"
+_PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^ \t-\r0-9{_LETTERS}]+")
+_OTHER = re.compile(rf"[^\t-\r -~{_LETTERS}]")
+_WORD = re.compile(r"[^ \t-\r]+")
 
 
 def splits_at_gaps(spec: dict) -> bool:
@@ -67,8 +72,10 @@ def splits_at_gaps(spec: dict) -> bool:
 class Encoder:
     """Ids of texts by a file of the tokenizers library; strings of special tokens are ordinary text.
 
-    Where white space only separates, the library encodes each distinct word once and the ids are put together
-    from these; otherwise it encodes whole texts.
+    Where white space only separates, the library encodes each distinct piece once and the ids are put together from
+    these: pieces of a western alphabet are what it splits a lower-case text into, and it takes many in one call,
+    for each ends with a token of a word's end. A word with any other character is encoded as it stands.
+    Files that keep white space are given whole texts.
     """
 
     def __init__(self, path: str):
@@ -78,52 +85,76 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            self.by_word = splits_at_gaps(json.load(f))
+            spec = json.load(f)
+        self.by_piece = splits_at_gaps(spec)
+        if self.by_piece:
+            vocab, suffix = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number: dict[str, int] = {}
         self.flat, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-    def _encoded(self, texts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
-
-    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words, one after the other, and how many each has."""
-        if len(self.number) > CACHED_WORDS or len(self.flat) > CACHED_IDS:
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Adds the ids of pieces, and of words after a line feed."""
+        alone = [x for x in new if x[0] == "\n"]
+        plain = [x for x in new if x[0] != "\n"]
+        ids = self._encoded([" ".join(plain)])[0]
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        parts = self._encoded(alone) if alone else []
+        self.number.update(zip(plain + alone, range(len(self.number), len(self.number) + len(new)), strict=True))
+        self.flat = np.concatenate([self.flat, ids, *parts])
+        self.size = np.concatenate([self.size, np.diff(ends, prepend=0), np.array([len(x) for x in parts], np.int64)])
+        self.first = np.cumsum(self.size) - self.size
+
+    def _looked_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after the other, and how many each has."""
+        if len(self.number) > CACHED_PIECES or len(self.flat) > CACHED_IDS:
             self._forget()
-        if new := [w for w in dict.fromkeys(words) if w not in self.number]:
-            lists = self._encoded(new)
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-            self.flat = np.concatenate([self.flat, *(np.array(x, np.uint32) for x in lists)])
-            self.size = np.concatenate([self.size, [len(x) for x in lists]])
-            self.first = np.cumsum(self.size) - self.size
-        which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        if new := [x for x in dict.fromkeys(pieces) if x not in self.number]:
+            self._learn(new)
+        which = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
         size = self.size[which]
         skip = self.first[which] - (np.cumsum(size) - size)
         return self.flat[np.repeat(skip, size) + np.arange(size.sum())], size
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
-        if not self.by_word:
-            return [np.array(x, np.uint32) for x in self._encoded(texts)]
+        if not self.by_piece:
+            return self._encoded([x.decode("utf-8", "replace") for x in texts])
         out = []
         for i, j in slices(texts):
             if j - i == 1 and len(texts[i]) > SLICE_BYTES:
-                out.append(np.concatenate([self._words(part.split())[0] for part in parts_at_gaps(texts[i]) if part.strip()] or [np.zeros(0, np.uint32)]))
+                parts = [pieces_of(part.decode("utf-8", "replace")) for part in parts_at_gaps(texts[i])]
+                out.append(np.concatenate([np.zeros(0, np.uint32), *(self._looked_up(x)[0] for x in parts if x)]))
                 continue
-            words = [t.split() for t in texts[i:j]]
-            many = np.array([len(w) for w in words])
-            all_words = [w for x in words for w in x]
-            if not all_words:
+            pieces = [pieces_of(x.decode("utf-8", "replace")) for x in texts[i:j]]
+            joined = [x for some in pieces for x in some]
+            if not joined:
                 out += [np.zeros(0, np.uint32)] * (j - i)
                 continue
-            ids, size = self._words(all_words)
-            ends = np.append(0, np.cumsum(size))[np.cumsum(many)]
+            ids, size = self._looked_up(joined)
+            ends = np.append(0, np.cumsum(size))[np.cumsum([len(x) for x in pieces])]
             out += np.split(ids, ends[:-1])
         return out
 
 
+def pieces_of(text: str) -> list[str]:
+    """What SPLIT makes of a text, in lower case; words with characters other than _LETTERS and ASCII whole, as they stand, after a line feed."""
+    low = text.lower()
+    if _OTHER.search(low) is None:
+        return _PIECE.findall(low)
+    out = []
+    for word, small in zip(_WORD.findall(text), _WORD.findall(low), strict=True):
+        out += ["\n" + word] if _OTHER.search(small) else _PIECE.findall(small)
+    return out
+
+
 def parts_at_gaps(text: bytes, limit: int = SLICE_BYTES) -> Iterator[bytes]:
     """text cut at white space into parts of about limit bytes."""
     start = 0

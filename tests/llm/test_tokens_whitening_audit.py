@@ -74,20 +74,24 @@ def library():
 def test_words_encoded_alone_give_the_ids_of_whole_texts(library):
     r = random.Random(5)
     odd = "abcXYZ éÉİıßſΣς'’sStTrRe \t\n\r\x0b\x0c  ̧́̈ 123½²٣中文한글ᄀ가ᅡ🏅<|endoftext|>#$\xa0\x85​﻿'ll'd're"
-    texts = ["".join(r.choices(odd, k=r.randint(0, 60))) for _ in range(3000)] + ["a" * 5000, " " * 5000, "<|endoftext|>", ""]
+    western = "abcXYZ éÉÀßŸſŉ'’sStTrRe .,;:!?\"-_()#$ \t\n012'll'd're"
+    signs = "J̌ǰT̈ẗKÅΩẞİ"
+    texts = ["".join(r.choices(x, k=r.randint(0, 60))) for x in (odd, western, western + signs) for _ in range(2000)]
+    texts += ["".join(chr(r.choice([32, r.randrange(1, 0x250), r.randrange(0x250, 0xD800), r.randrange(0xE000, 0x30000)])) for _ in range(30)) for _ in range(2000)]
+    texts += ["a" * 5000, " " * 5000, "<|endoftext|>", ""]
     encoder = token_files.Encoder(WORDS)
-    assert encoder.by_word
+    assert encoder.by_piece
     assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == [library(t) for t in texts]
 
 
 def test_a_forgetful_encoder_and_one_for_other_files(library, monkeypatch):
-    monkeypatch.setattr(token_files, "CACHED_WORDS", 3)
+    monkeypatch.setattr(token_files, "CACHED_PIECES", 3)
     encoder = token_files.Encoder(WORDS)
     for t in ("one two three four", "five one", "", "two six seven"):
         assert encoder.encode([t.encode()])[0].tolist() == library(t)
     other = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    assert not other.by_word and other.encode([b" two  words"])[0].tolist() == plain.encode(" two  words", add_special_tokens=False).ids
+    assert not other.by_piece and other.encode([b" two  words"])[0].tolist() == plain.encode(" two  words", add_special_tokens=False).ids
 
 
 def test_very_long_texts_are_cut_at_gaps(library, monkeypatch):
