@@ -59,13 +59,13 @@ def _half(line: Column, after: bool) -> Column:
 
 
 def mentions(half: Column, name: Column, team: Column) -> Column:
-    """Whether a half names this athlete: by full name, by last name with the team if known, or by team."""
+    """Whether a half names this athlete: by full name, by last name with the team if known, or by team; no name, no side."""
     who, club = F.lower(F.coalesce(name, F.lit(""))), F.lower(F.trim(F.substring_index(F.coalesce(team, F.lit("")), ",", 1)))
     last = last_of(F.trim(who), " ")
     at_club = (club != "") & half.contains(club)
     full = (who != "") & half.contains(who)
     by_last = (last != "") & half.contains(last) & ((club == "") | at_club)
-    return F.coalesce(full | by_last | at_club, F.lit(False))
+    return F.coalesce((who != "") & (full | by_last | at_club), F.lit(False))
 
 
 def with_bout(df: DataFrame, strict: bool = False) -> DataFrame:

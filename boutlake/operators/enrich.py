@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boutlake.functions.compat import b2i
-from boutlake.operators.records import priority_max
+from boutlake.functions.parse import one_line, opponent_from_line, result_of, team_after
+from boutlake.operators.records import PLACES, STATE, priority_max
 from boutlake.operators.upsert import first_per_key
 
 
@@ -42,12 +43,16 @@ def backfill(df: DataFrame, ref: DataFrame, keys: Sequence[str], column: str, so
     return df.withColumns({source: origin, column: F.coalesce(column, "__ref", "__self")}).drop("__ref", "__self")
 
 
-def athletes_with_events(events: DataFrame, athletes: DataFrame, season: Sequence[str] = ("season", "category")) -> DataFrame:
+def athletes_with_events(events: DataFrame, athletes: DataFrame, season: Sequence[str] = ("season", "category"), state: str | None = None) -> DataFrame:
     """Distinct athletes of teams with an event: by team_id, or by name where the event has no team_id.
 
+    With state, only events of teams whose name holds a comma and that state ("North, CO") take part.
+
     Two equi-joins instead of one join with OR, whose plan would compare all pairs.
     """
     columns = athletes.columns
+    if state is not None:
+        events = events.where(F.col("team_name").contains(f", {state}"))
     by_id = events.where("team_id IS NOT NULL").select(*season, "team_id").distinct()
     by_name = events.where("team_id IS NULL").select(*season, F.col("team_name").alias("team")).distinct()
     found = athletes.join(by_id, [*season, "team_id"], "left_semi").select(columns)
@@ -105,21 +110,46 @@ def regional_divisions(bouts: DataFrame, teams: DataFrame) -> DataFrame:
     return both.fillna({"event": "no_regional_event", "team_division": "unknown", "team_region": "unknown"}, ["event", "team_division", "team_region"])
 
 
-def placement(round_: Column, outcome: Column) -> Column:
-    """State place from the deciding round and its outcome; other rounds are other, other outcomes tbd."""
-    out = F.when(round_.isNull(), "other")
-    for first, text in ((1, "1st Place"), (3, "3rd Place"), (5, "5th Place")):
-        suffix = {1: ("1st", "2nd"), 3: ("3rd", "4th"), 5: ("5th", "6th")}[first]
-        at = round_.contains(text)
-        out = out.when(at & (outcome == "W"), suffix[0]).when(at & (outcome == "L"), suffix[1]).when(at, "tbd")
-    return out.otherwise("other")
+def placement(season: Column, round_: Column, outcome: Column, done: dict[str, str]) -> Column:
+    """State place from the deciding round and its outcome, as "1st_state_place_2025"; "other_2025" otherwise, "tbd" for seasons not in done (season → year)."""
+    out = F.lit("tbd")
+    for name, year in done.items():
+        place = F.lit(f"other_{year}")
+        for text, won, lost in (("5th", "5th", "6th"), ("3rd", "3rd", "4th"), ("1st", "1st", "2nd")):
+            at = F.coalesce(round_.contains(f"{text} Place Match"), F.lit(False))
+            place = F.when(at & (outcome == "W"), f"{won}_state_place_{year}").when(at & (outcome == "L"), f"{lost}_state_place_{year}").otherwise(place)
+        out = F.when(season == name, place).otherwise(out)
+    return out
+
+
+def final_state_bouts(bouts: DataFrame, done: dict[str, str], keys: Sequence[str] = ("season", "wrestler_id")) -> DataFrame:
+    """The deciding State bout of each athlete's season: placement rounds first, else the last one; ties keep all rows.
+
+    bouts: keys, match_order, event, round, weight_category, outcome. Only bouts at State Championships in a
+    weight category with an "A" take part. Rows gain is_state_tournament_qualifier, place and count_matches.
+    """
+    at_state = bouts.where(F.col("event").contains(STATE) & F.col("weight_category").contains("A"))
+    last = at_state.groupBy(*keys).agg(priority_max(F.col("match_order"), *(F.col("round").contains(p) for p in PLACES)).alias("match_order"), F.count("*").alias("count_matches"))
+    qualifier = F.lit("other")
+    for season, year in done.items():
+        qualifier = F.when(F.col("season") == season, f"state_qualifier_{year}").otherwise(qualifier)
+    return at_state.join(last, [*keys, "match_order"]).withColumns({"is_state_tournament_qualifier": qualifier, "place": placement(F.col("season"), F.col("round"), F.col("outcome"), done)})
 
 
-def final_state_bouts(bouts: DataFrame) -> DataFrame:
-    """The deciding bout of each athlete's season: placement rounds first, else the last bout; ties keep all rows."""
-    keys = ["season", "wrestler_id"]
-    last = bouts.groupBy(*keys).agg(priority_max(F.col("match_order"), *(F.col("round").contains(p) for p in ("1st Place", "3rd Place", "5th Place"))).alias("match_order"))
-    return bouts.join(last, [*keys, "match_order"]).withColumn("place", placement(F.col("round"), F.col("outcome")))
+def with_opponents(bouts: DataFrame, athletes: DataFrame) -> DataFrame:
+    """bouts (wrestler_id, opponent_id, raw_details) with own_name, opponent_name and opponent_team.
+
+    athletes (wrestler_id, name, team), a row a key, is joined for both sides. An opponent who is not listed, or lacks a
+    name or team, is read from the line, unless the result is a bye or the opponent has no id; the own side
+    is found by the listed name. A team of three characters or fewer counts only if it is listed.
+    """
+    rows = enrich(bouts, athletes, {"wrestler_id": "wrestler_id"}, {"name": "own_name"}, ["name", "team"])
+    rows = enrich(rows, athletes, {"opponent_id": "wrestler_id"}, {"name": "__name", "team": "__team"}, ["name", "team"])
+    line = one_line(F.col("raw_details"))
+    readable = F.col("opponent_id").isNotNull() & ~F.coalesce(result_of(line) == "bye", F.lit(False))
+    rows = rows.withColumn("opponent_name", F.coalesce("__name", F.when(readable, opponent_from_line(F.col("raw_details"), F.col("own_name")))))
+    rows = rows.withColumn("opponent_team", F.coalesce("__team", F.when(readable, team_after(F.col("raw_details"), F.col("opponent_name")))))
+    return rows.drop("__name", "__team")
 
 
 def latest_by_group(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[Column]) -> DataFrame:
@@ -163,23 +193,3 @@ def with_team_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """n_teams of each event, and whether two teams make it a dual."""
     n = F.count("*").over(Window.partitionBy(*keys))
     return df.withColumns({"n_teams": n, "is_dual": b2i(n == 2)})
-
-
-def schedule_teams(events: DataFrame) -> DataFrame:
-    """events (event_name, …) → a row for each team, with team_index, team_score and event_kind.
-
-    "A @ B" and "A 16 B 0" are duals with two teams; any other name is one row of a tournament.
-    """
-    at, scored = r"^(.+?) @ (.+)$", r"^(.+?) (\d+) (.+?) (\d+)$"
-    name = F.col("event_name")
-    part = lambda p, i: F.regexp_extract(name, p, i)
-    team = lambda n, s: F.struct(n.alias("team"), s.cast("long").alias("team_score"))
-    none = F.lit(None)
-    teams = (
-        F.when(name.rlike(at), F.array(team(part(at, 1), none), team(part(at, 2), none)))
-        .when(name.rlike(scored), F.array(team(part(scored, 1), part(scored, 2).try_cast("long")), team(part(scored, 3), part(scored, 4).try_cast("long"))))
-        .otherwise(F.array(team(name, none)))
-    )
-    kind = F.when(name.rlike(at) | name.rlike(scored), "dual").otherwise("tournament")
-    rows = events.withColumn("event_kind", kind).select("*", F.posexplode(teams).alias("team_index", "__t"))
-    return rows.select(*events.columns, "event_kind", (F.col("team_index") + 1).cast("long").alias("team_index"), "__t.team", "__t.team_score")

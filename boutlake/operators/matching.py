@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boutlake.functions.compat import b2i, last_of, soundex_full
+from boutlake.operators.ordered import with_neighbours
 
 #: Characters of the piece by which texts that hold one another meet.
 PIECE = 3
@@ -108,23 +109,16 @@ def school_fixes(schools: DataFrame, teams: DataFrame, manual: DataFrame | None
     return name_fixes(found, manual).withColumn("to_name", F.substring_index("to_name", ",", 1))
 
 
-def _word(c: Column | str) -> Column:
-    return F.substring_index(c, " ", 1)
+def _within(clean: Column, other: Column) -> Column:
+    """Whether another clean name holds the first and the last word of this one."""
+    return other.contains(F.substring_index(clean, " ", 1)) & other.contains(F.substring_index(clean, " ", -1))
 
 
 def team_neighbours(teams: DataFrame) -> DataFrame:
-    """teams (team) → clean name with the names before and after it in order, and whether they share a first word.
-
-    Names are ordered within their first two characters; the ends of these groups, at most 37 * 38 + 1 of them
-    since clean names have only 37 characters, are put in order by themselves and joined back.
-    """
-    t = teams.select("team", clean_team(F.col("team")).alias("team_clean")).where("team IS NOT NULL").distinct().withColumn("head", F.substring("team_clean", 1, 2))
-    inner, outer = Window.partitionBy("head").orderBy("team_clean", "team"), Window.orderBy("head")
-    ends = t.groupBy("head").agg(F.min("team_clean").alias("first"), F.max("team_clean").alias("last"))
-    ends = ends.select("head", F.lag("last").over(outer).alias("outer_before"), F.lead("first").over(outer).alias("outer_after"))
-    t = t.withColumns({"before": F.lag("team_clean").over(inner), "after": F.lead("team_clean").over(inner)}).join(F.broadcast(ends), "head")
-    t = t.withColumns({c: F.coalesce(c, f"outer_{c}") for c in ("before", "after")}).drop("head", "outer_before", "outer_after")
-    return t.withColumns({f"like_{c}": b2i(_word(F.col(c)) == _word(F.col("team_clean"))) for c in ("before", "after")})
+    """teams (team) → clean name with the names before and after it in order, and whether these hold its first and last word."""
+    t = teams.select("team", clean_team(F.col("team")).alias("team_clean")).where("team IS NOT NULL").distinct()
+    t = with_neighbours(t, ["team_clean", "team"], {"team_clean": ("before", "after")})
+    return t.withColumns({f"like_{c}": b2i(_within(F.col("team_clean"), F.col(c))) for c in ("before", "after")})
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -135,34 +129,59 @@ def common_prefix(a: Column, b: Column) -> Column:
 
 
 def alias_pairs(teams: DataFrame, seasons: tuple[str, str]) -> DataFrame:
-    """teams (season, team) → names of the first season only and the second only that stand next to one another
-    in the order of clean names and share a first word."""
-    seen = teams.groupBy("team").agg(*(F.max(b2i(F.col("season") == s)).alias(f"in_{i}") for i, s in enumerate(seasons)))
-    # Names with one first word stand together in the order, for no character is less than a space.
-    t = seen.withColumn("team_clean", clean_team(F.col("team"))).where("team_clean <> ''")
-    w = Window.partitionBy(_word("team_clean")).orderBy("team_clean", "team")
-    t = t.withColumns({f"next_{c}": F.lead(c).over(w) for c in ("team", "in_0", "in_1")})
-    old_first = (F.col("in_1") == 0) & (F.col("next_in_0") == 0)
-    new_first = (F.col("in_0") == 0) & (F.col("next_in_1") == 0)
-    pair = F.when(old_first, F.struct(F.col("team").alias("a"), F.col("next_team").alias("b"))).when(new_first, F.struct(F.col("next_team").alias("a"), F.col("team").alias("b")))
-    return t.select(pair.alias("p")).where("p IS NOT NULL").select(F.col("p.a").alias("team_raw"), F.col("p.b").alias("team_canonical"))
+    """teams (season, team) → pairs of a name of the first season (team_raw) and one of the second (team_canonical).
+
+    A name of one season alone meets the names before and after it in the order of all clean names. A pair
+    is proposed where such a neighbour holds the name's first and last word and is of the other season alone;
+    the name of either season is then the name itself, else the one before, else the one after, of those
+    that are like it and of that season. Names that are empty once cleaned are like any neighbour.
+    """
+    seen = teams.where("team IS NOT NULL").groupBy("team").agg(*(F.max(b2i(F.col("season") == s)).alias(f"in_{i}") for i, s in enumerate(seasons)))
+    seen = seen.withColumn("clean", clean_team(F.col("team")))
+    sides = ("prev", "next")
+    t = with_neighbours(seen, ["clean", "team"], {c: tuple(f"{s}_{c}" for s in sides) for c in ("team", "clean", "in_0", "in_1")})
+    t = t.where("in_0 + in_1 = 1").withColumns({f"like_{s}": F.coalesce(_within(F.col("clean"), F.col(f"{s}_clean")), F.lit(False)) for s in sides})
+    other = [F.col(f"like_{s}") & (F.col(f"{s}_in_0") + F.col(f"{s}_in_1") == 1) & (F.col(f"{s}_in_0") != F.col("in_0")) for s in sides]
+
+    def named(i: int) -> Column:
+        near = (F.when(F.col(f"like_{s}") & (F.col(f"{s}_in_{i}") == 1), F.col(f"{s}_team")) for s in sides)
+        return F.coalesce(F.when(F.col(f"in_{i}") == 1, F.col("team")), *near)
+
+    pairs = t.where(other[0] | other[1]).select(named(0).alias("team_raw"), named(1).alias("team_canonical"))
+    return pairs.where("team_raw IS NOT NULL AND team_canonical IS NOT NULL").distinct()
 
 
 def latest_rankings(athletes: DataFrame, rankings: DataFrame) -> DataFrame:
-    """athletes (wrestler_id, name, school) with division and rank of their latest ranking.
+    """athletes (name, team, …), each row with its ranking: rankings (ranked_name, ranked_school, week, rank, weight, source_file).
 
-    Names meet by equality ignoring case; schools where one begins with the other. Of several weeks the
-    latest counts, then the better rank.
+    Names are equal but for case, and the school equals the team's name before its comma but for case. Of several
+    weeks the latest counts, then the better rank; a missing source, rank or weight is taken from the week
+    before. is_name_match is 0 or 1, is_team_match null where no name matches. Every row of athletes stays, equal ones too.
     """
-    best = rankings.groupBy(F.lower("ranked_name").alias("key"), "ranked_school").agg(F.max_by(F.struct("division", "rank", "week"), F.struct("week", -F.col("rank"), "division")).alias("r"))
-    a, b = F.lower("school"), F.lower("ranked_school")
-    pairs = athletes.join(best, (F.lower("name") == F.col("key")) & (a.startswith(b) | b.startswith(a)), "left")
-    one = pairs.groupBy(*athletes.columns).agg(F.max_by("r", F.struct("r.week", -F.col("r.rank"), "ranked_school")).alias("r"))
-    return one.select(*athletes.columns, "r.division", "r.rank", F.col("r.week").alias("week"))
+    def latest(column: str) -> Column:
+        return F.max_by(column, F.when(F.col(column).isNotNull(), F.struct("week", -F.col("rank"), "weight", "source_file")))
+
+    best = rankings.groupBy(F.lower("ranked_name").alias("__name"), F.lower("ranked_school").alias("__school")).agg(
+        F.max_by("ranked_name", F.struct("week", -F.col("rank"), "ranked_name")).alias("ranked_name"),
+        F.max_by("ranked_school", F.struct("week", -F.col("rank"), "ranked_school")).alias("ranked_school"),
+        F.max("week").alias("week"), *(latest(c).alias(c) for c in ("rank", "weight", "source_file")))
+    rows = athletes.join(best, (F.lower("name") == F.col("__name")) & (F.lower(F.substring_index("team", ",", 1)) == F.col("__school")), "left")
+    matched = b2i(F.col("__name").isNotNull())
+    flags = {"is_name_match": matched, "is_team_match": F.when(matched == 1, 1)}
+    return rows.withColumns(flags).select(*athletes.columns, *flags, "ranked_name", "ranked_school", "week", "rank", "weight", "source_file")
 
 
 def name_difference(name: Column, candidate: Column) -> Column:
-    """Where two names part: the shared start, then what each goes on with."""
-    n = common_prefix(name, candidate)
-    rest = lambda c: F.substr(c, n + 1)
-    return F.when(name == candidate, "same").otherwise(F.concat(F.substr(name, F.lit(1), n), F.lit("["), rest(name), F.lit("|"), rest(candidate), F.lit("]")))
+    """Where two normed names part: "first=OK | last:lee→lea"."""
+    def part(label: str, i: int) -> Column:
+        a, b = F.substring_index(name, " ", i), F.substring_index(candidate, " ", i)
+        return F.when(a == b, f"{label}=OK").otherwise(F.concat(F.lit(f"{label}:"), a, F.lit("→"), b))
+
+    return F.concat(part("first", 1), F.lit(" | "), part("last", -1))
+
+
+def last_name_overlap(name: Column, candidate: Column) -> Column:
+    """Characters of a last name from where the candidate's last name begins in it; 0 if it is not there."""
+    a, b = F.substring_index(name, " ", -1), F.substring_index(candidate, " ", -1)
+    at = F.instr(a, b)
+    return F.when(at > 0, F.length(a) - at + 1).otherwise(F.when(at == 0, 0))

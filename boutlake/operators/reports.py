@@ -80,8 +80,8 @@ def finalist_report(bouts: DataFrame, keys: Sequence[str] = ("season", "weight_c
 
 def finalist_pairs(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """placed (keys, wrestler_id, place) → first and second of each bracket."""
-    one = placed.where("place = '1st'").select(*keys, F.col("wrestler_id").alias("winner_id"))
-    two = placed.where("place = '2nd'").select(*keys, F.col("wrestler_id").alias("runner_up_id"))
+    one = placed.where(F.col("place").startswith("1st")).select(*keys, F.col("wrestler_id").alias("winner_id"))
+    two = placed.where(F.col("place").startswith("2nd")).select(*keys, F.col("wrestler_id").alias("runner_up_id"))
     return one.join(two, list(keys))
 
 

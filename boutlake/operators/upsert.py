@@ -106,17 +106,3 @@ def ensure_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """df without the named columns, whether it has them or not."""
     return df.drop(*columns)
-
-
-def with_ids(df: DataFrame, order: Sequence[str], after: int = 0, buckets: int = 200) -> DataFrame:
-    """df with id, counted on from after in a total order whose first column is a number; nulls come first.
-
-    Rows are numbered within ranges of about equal size, ranges by their counts, so no task sorts the table.
-    """
-    cuts = df.agg(F.percentile_approx(order[0], [i / buckets for i in range(1, buckets)], 10 * buckets).alias("__cuts"))
-    df = df.join(F.broadcast(cuts), F.lit(True), "left").withColumn("__b", F.coalesce(F.size(F.filter("__cuts", lambda c: c < F.col(order[0]))), F.lit(0))).drop("__cuts")
-    counts = df.groupBy("__b").agg(F.count("*").alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    df = df.join(F.broadcast(counts.select("__b", before.alias("__before"))), "__b")
-    nth = F.row_number().over(Window.partitionBy("__b").orderBy(*order))
-    return df.withColumn("id", after + F.col("__before") + nth).drop("__b", "__before")

@@ -42,9 +42,9 @@ LINES = (
 BOUT_TEXT = {
     "id": "event_id",
     "wrestler_id": "user_id",
-    "wrestler_name": ME,
+    "wrestler_name": f"CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN '' ELSE {ME} END",
     "wrestler_team": f"concat({MINE}, ', CO')",
-    "opponent_id": "(user_id * 7 + event_id) % 150",
+    "opponent_id": "CASE WHEN event_id % 7 > 0 THEN (user_id * 7 + event_id) % 150 END",
     "raw_details": f"CASE event_id % {len(LINES)} " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(LINES)) + " END",
 }
 BOUT_TEXT_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in BOUT_TEXT.items()) + " FROM events"

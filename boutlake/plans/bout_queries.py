@@ -80,7 +80,7 @@ def parse_sides_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _names(half: str) -> str:
-    return f"""CASE WHEN {half} IS NOT NULL AND (strpos({half}, me) > 0 OR strpos({half}, club) > 0) THEN 1 ELSE 0 END"""
+    return f"""CASE WHEN me <> '' AND {half} IS NOT NULL AND (strpos({half}, me) > 0 OR strpos({half}, club) > 0) THEN 1 ELSE 0 END"""
 
 
 PARSE_SIDES_OUTCOME = rf"""
@@ -127,24 +127,24 @@ SELECT id, trim(substr(w, 1, length(w) - length(wl))) AS wrestler_first_name, wl
 """
 
 
-def _opponents(spark: SparkSession, sf_dir: str, people: DataFrame) -> DataFrame:
-    lines = bout_text(spark, sf_dir).withColumn("season", F.lit("s"))
-    df = enrich.enrich(lines, people, {"season": "season", "opponent_id": "c_custkey"}, {"c_name": "known_name", "c_mktsegment": "known_team"}, ["c_name"])
-    name = F.coalesce("known_name", parse.opponent_from_line(F.col("raw_details"), F.col("wrestler_name")))
-    df = df.withColumn("opponent_name", name)
-    return df.select("id", "opponent_name", F.coalesce("known_team", parse.team_after(F.col("raw_details"), F.col("opponent_name"))).alias("opponent_team"))
-
-
 def opponent_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All customers are known opponents; those of one segment lack a name."""
-    name = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name")).alias("c_name")
-    return _opponents(spark, sf_dir, read(spark, sf_dir, "customer").select(F.lit("s").alias("season"), "c_custkey", name, "c_mktsegment"))
+    """All customers are listed; those of one segment lack a name, and some lines have no opponent's id."""
+    listed = read(spark, sf_dir, "customer").selectExpr("c_custkey AS wrestler_id", f"CASE WHEN c_custkey % 3 = 0 THEN {_LISTED} WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS name", "CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_mktsegment END AS team")
+    return enrich.with_opponents(bout_text(spark, sf_dir), listed).select("id", "own_name", "opponent_name", "opponent_team")
 
 
+#: A third of the customers are listed under the name that lines give them.
+_LISTED = "concat('User', c_custkey, ' Van Der Berg')"
+_BEFORE, _AFTER = "substr(raw_details, 1, strpos(raw_details, ' over ') - 1)", "substr(raw_details, strpos(raw_details, ' over ') + 6)"
 OPPONENT_RESOLUTION = rf"""
-WITH t AS ({BOUT_TEXT_SQL}), j AS (SELECT t.*, c_mktsegment, coalesce(CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END, {_OPPONENT}) AS opponent_name FROM t LEFT JOIN customer c ON c_custkey = opponent_id),
-g AS (SELECT *, CASE WHEN strpos(raw_details, opponent_name) > 0 THEN trim(regexp_extract(substr(raw_details, strpos(raw_details, opponent_name) + length(opponent_name)), '\(([^)]*)\)', 1)) END AS team FROM j)
-SELECT id, opponent_name, coalesce(c_mktsegment, CASE WHEN length(team) > 3 THEN team END) AS opponent_team FROM g
+WITH t AS ({BOUT_TEXT_SQL}), c AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN {_LISTED} WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS name, CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_mktsegment END AS team FROM customer),
+j AS (SELECT t.*, l.name AS own_name, o.name AS o_name, o.team AS o_team, regexp_matches(lower(raw_details), 'received a bye') AS bye FROM t LEFT JOIN c l ON l.c_custkey = wrestler_id LEFT JOIN c o ON o.c_custkey = opponent_id),
+n AS (SELECT *, coalesce(o_name, CASE WHEN bye OR opponent_id IS NULL OR strpos(raw_details, ' over ') = 0 THEN NULL
+  WHEN strpos(lower({_BEFORE}), lower(own_name)) > 0 THEN trim(split_part(split_part({_AFTER}, ' (', 1), ' - ', -1))
+  WHEN strpos(lower({_AFTER}), lower(own_name)) > 0 THEN trim(split_part(split_part({_BEFORE}, ' (', 1), ' - ', -1)) END) AS opponent_name FROM j),
+g AS (SELECT *, CASE WHEN bye OR opponent_id IS NULL OR opponent_name IS NULL OR strpos(raw_details, opponent_name) = 0 THEN NULL
+  ELSE trim(regexp_extract(substr(raw_details, strpos(raw_details, opponent_name) + length(opponent_name)), '\(([^)]*)\)', 1)) END AS team FROM n)
+SELECT id, own_name, opponent_name, coalesce(o_team, CASE WHEN length(team) > 3 THEN team END) AS opponent_team FROM g
 """
 
 
@@ -160,16 +160,29 @@ SELECT id, CASE outcome WHEN 'W' THEN wrestler_id WHEN 'L' THEN opponent_id END
 """
 
 
+_WEIGHT = "CASE WHEN id % 3 = 0 THEN '120' ELSE concat(wrestler_id % 5 + 1, 'A 120') END"
+_DONE = {"early": "2025"}
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bouts; two of three are in a weight category of a division, and one season's places are known."""
+    return enrich.final_state_bouts(bouts(spark, sf_dir).withColumn("weight_category", F.expr(_WEIGHT)), _DONE)
+
+
 def priority_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.final_state_bouts(bouts(spark, sf_dir)).select("season", "wrestler_id", "match_order", "id", "place")
+    return _placed(spark, sf_dir).select("season", "wrestler_id", "match_order", "id", "is_state_tournament_qualifier", "place", "count_matches")
 
 
 PRIORITY_ARGMAX = f"""
-WITH b AS ({BOUTS_SQL}), m AS (SELECT season, wrestler_id, coalesce(max(CASE WHEN round LIKE '%1st Place%' THEN match_order END), max(CASE WHEN round LIKE '%3rd Place%' THEN match_order END),
-  max(CASE WHEN round LIKE '%5th Place%' THEN match_order END), max(match_order)) AS match_order FROM b GROUP BY ALL)
-SELECT season, wrestler_id, match_order, id, CASE WHEN round LIKE '%1st Place%' THEN CASE outcome WHEN 'W' THEN '1st' WHEN 'L' THEN '2nd' ELSE 'tbd' END
-  WHEN round LIKE '%3rd Place%' THEN CASE outcome WHEN 'W' THEN '3rd' WHEN 'L' THEN '4th' ELSE 'tbd' END WHEN round LIKE '%5th Place%' THEN CASE outcome WHEN 'W' THEN '5th' WHEN 'L' THEN '6th' ELSE 'tbd' END ELSE 'other' END AS place
-FROM b JOIN m USING (season, wrestler_id, match_order)
+WITH d AS (SELECT *, CASE WHEN season = 'early' THEN 'state_qualifier_2025' ELSE 'other' END AS is_state_tournament_qualifier,
+  CASE WHEN season = 'early' AND round LIKE '%1st Place Match%' AND outcome = 'W' THEN '1st_state_place_2025' WHEN season = 'early' AND round LIKE '%1st Place Match%' AND outcome = 'L' THEN '2nd_state_place_2025'
+    WHEN season = 'early' AND round LIKE '%3rd Place Match%' AND outcome = 'W' THEN '3rd_state_place_2025' WHEN season = 'early' AND round LIKE '%3rd Place Match%' AND outcome = 'L' THEN '4th_state_place_2025'
+    WHEN season = 'early' AND round LIKE '%5th Place Match%' AND outcome = 'W' THEN '5th_state_place_2025' WHEN season = 'early' AND round LIKE '%5th Place Match%' AND outcome = 'L' THEN '6th_state_place_2025'
+    WHEN season = 'early' THEN 'other_2025' ELSE 'tbd' END AS place
+  FROM (SELECT *, {_WEIGHT} AS weight_category FROM ({BOUTS_SQL})) WHERE event LIKE '%State Championships%' AND weight_category LIKE '%A%'),
+m AS (SELECT season, wrestler_id, coalesce(max(CASE WHEN round LIKE '%1st Place Match%' THEN match_order END), max(CASE WHEN round LIKE '%3rd Place Match%' THEN match_order END),
+  max(CASE WHEN round LIKE '%5th Place Match%' THEN match_order END), max(match_order)) AS match_order, count(*) AS count_matches FROM d GROUP BY ALL)
+SELECT season, wrestler_id, match_order, id, is_state_tournament_qualifier, place, count_matches FROM d JOIN m USING (season, wrestler_id, match_order)
 """
 
 
@@ -209,14 +222,14 @@ SELECT season, weight_category, first_place_id, second_place_id, {_PRIOR} FROM p
 
 
 def finalist_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = enrich.final_state_bouts(bouts(spark, sf_dir)).withColumn("bracket", F.col("wrestler_id") % 2)
+    placed = _placed(spark, sf_dir).withColumn("bracket", F.col("wrestler_id") % 2)
     return reports.finalist_pairs(placed, ["season", "bracket"])
 
 
 FINALIST_PAIRS = f"""
 WITH p AS ({PRIORITY_ARGMAX})
 SELECT season, a.wrestler_id % 2 AS bracket, a.wrestler_id AS winner_id, b.wrestler_id AS runner_up_id FROM p a JOIN p b USING (season)
-WHERE a.wrestler_id % 2 = b.wrestler_id % 2 AND a.place = '1st' AND b.place = '2nd'
+WHERE a.wrestler_id % 2 = b.wrestler_id % 2 AND a.place LIKE '1st%' AND b.place LIKE '2nd%'
 """
 
 

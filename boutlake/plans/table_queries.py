@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boutlake.functions import compat, parse
-from boutlake.operators import enrich, matching, ratings, reports, tasks, upsert
+from boutlake.operators import enrich, matching, ordered, ratings, reports, tasks, upsert
 from boutlake.plans.adapters import read
 from boutlake.sources import readers
 from boutlake.streaming import refresh
@@ -189,17 +189,6 @@ SELECT s_name AS team, s_suppkey + 40 AS team_id, CASE WHEN d.event IS NULL THEN
 """
 
 
-def lag_lead_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.team_neighbours(read(spark, sf_dir, "part").select(F.col("p_name").alias("team")))
-
-
-LAG_LEAD_ALIAS = """
-WITH t AS (SELECT DISTINCT p_name AS team, trim(regexp_replace(lower(p_name), '[^0-9a-z ]', ' ', 'g')) AS team_clean FROM part),
-n AS (SELECT *, lag(team_clean) OVER w AS before, lead(team_clean) OVER w AS after FROM t WINDOW w AS (ORDER BY team_clean, team))
-SELECT *, CASE WHEN split_part(before, ' ', 1) = split_part(team_clean, ' ', 1) THEN 1 ELSE 0 END AS like_before, CASE WHEN split_part(after, ' ', 1) = split_part(team_clean, ' ', 1) THEN 1 ELSE 0 END AS like_after FROM n
-"""
-
-
 def window_over_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = read(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.min("o_custkey").alias("least"))
     return df.withColumn("n_low", F.sum(F.when(F.col("least") <= 3, F.col("n")).otherwise(0)).over(Window.partitionBy()))
@@ -408,20 +397,6 @@ def html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 HTML_ROWS = "SELECT user_id AS page_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS row_index, event_type || ' one' AS kind, event_id AS wrestler_id FROM events"
 
 
-def expand_event_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("Team "), F.col("o_custkey"), F.lit(" @ Club "), F.col("o_orderkey"))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("North "), F.col("o_custkey") % 60, F.lit(" South "), F.col("o_orderkey") % 50)).otherwise(F.lit("Winter Open"))
-    return enrich.schedule_teams(read(spark, sf_dir, "orders").select("o_orderkey", name.alias("event_name")))
-
-
-EXPAND_EVENT_TEAMS = """
-WITH d AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN concat('Team ', o_custkey, ' @ Club ', o_orderkey) WHEN 1 THEN concat('North ', o_custkey % 60, ' South ', o_orderkey % 50) ELSE 'Winter Open' END AS event_name, o_custkey FROM orders),
-i AS (SELECT *, unnest(CASE WHEN o_orderkey % 3 = 2 THEN [1] ELSE [1, 2] END) AS team_index FROM d)
-SELECT o_orderkey, event_name, CASE WHEN o_orderkey % 3 = 2 THEN 'tournament' ELSE 'dual' END AS event_kind, CAST(team_index AS BIGINT) AS team_index,
-  CASE o_orderkey % 3 WHEN 0 THEN split_part(event_name, ' @ ', team_index) WHEN 1 THEN CASE team_index WHEN 1 THEN 'North' ELSE 'South' END ELSE event_name END AS team,
-  CASE WHEN o_orderkey % 3 = 1 THEN CAST(CASE team_index WHEN 1 THEN o_custkey % 60 ELSE o_orderkey % 50 END AS BIGINT) END AS team_score FROM i
-"""
-
-
 def team_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_team_count(read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey"])
 
@@ -509,44 +484,6 @@ SELECT o_custkey, string_agg(o_orderpriority, ',' ORDER BY CASE o_orderpriority
 """
 
 
-def alias_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    teams = read(spark, sf_dir, "part").select(F.when(F.col("p_size") <= 25, "2025").otherwise("2026").alias("season"), F.concat("p_type", F.lit(" "), "p_brand", F.when(F.col("p_size") <= 25, " High").otherwise("")).alias("team"))
-    return matching.alias_pairs(teams.distinct(), ("2025", "2026"))
-
-
-ALIAS_PAIRS = """
-WITH s AS (SELECT p_type || ' ' || p_brand || CASE WHEN p_size <= 25 THEN ' High' ELSE '' END AS team, bool_or(p_size <= 25) AS x, bool_or(p_size > 25) AS y FROM part GROUP BY 1), c AS (SELECT *, trim(regexp_replace(lower(team), '[^0-9a-z ]', ' ', 'g')) AS k FROM s),
-n AS (SELECT *, lead(team) OVER w AS t2, lead(k) OVER w AS k2, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM c WINDOW w AS (ORDER BY k, team))
-SELECT CASE WHEN NOT y AND NOT x2 THEN team ELSE t2 END AS team_raw, CASE WHEN NOT y AND NOT x2 THEN t2 ELSE team END AS team_canonical FROM n
-WHERE split_part(k, ' ', 1) = split_part(k2, ' ', 1) AND k <> '' AND ((NOT y AND NOT x2) OR (NOT x AND NOT y2))
-"""
-
-
-def latest_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read(spark, sf_dir, "part")
-    athletes = part.select(F.col("p_partkey").alias("wrestler_id"), F.col("p_name").alias("name"), F.substring("p_brand", 1, 7).alias("school"))
-    ranks = part.select(F.upper("p_name").alias("ranked_name"), F.col("p_brand").alias("ranked_school"), F.col("p_type").alias("division"), F.col("p_size").alias("rank"), (F.col("p_partkey") % 4).alias("week"))
-    return matching.latest_rankings(athletes, ranks)
-
-
-LATEST_RANKING = """
-WITH a AS (SELECT p_partkey AS wrestler_id, p_name AS name, substr(p_brand, 1, 7) AS school FROM part), r AS (SELECT lower(p_name) AS k, p_brand AS rs, p_type AS division, p_size AS rank, p_partkey % 4 AS week FROM part),
-b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, rs ORDER BY week DESC, rank, division DESC) AS n FROM r) WHERE n = 1),
-j AS (SELECT wrestler_id, name, school, division, rank, week, row_number() OVER (PARTITION BY wrestler_id ORDER BY week DESC NULLS LAST, rank, rs DESC) AS n FROM a LEFT JOIN b ON k = lower(name) AND (starts_with(lower(school), lower(rs)) OR starts_with(lower(rs), lower(school))))
-SELECT wrestler_id, name, school, division, rank, week FROM j WHERE n = 1
-"""
-
-
-def name_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").select("p_partkey", matching.name_difference(F.col("p_type"), F.col("p_name")).alias("hint"))
-
-
-NAME_DIFFERENCE = """
-WITH p AS (SELECT p_partkey, p_type AS a, p_name AS b, list_max([i for i in range(0, least(length(p_type), length(p_name)) + 1) if substr(p_type, 1, i) = substr(p_name, 1, i)]) AS n FROM part)
-SELECT p_partkey, CASE WHEN a = b THEN 'same' ELSE substr(a, 1, n) || '[' || substr(a, n + 1) || '|' || substr(b, n + 1) || ']' END AS hint FROM p
-"""
-
-
 def seed_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", tasks.task_id(F.lit("2026"), F.col("c_mktsegment"), F.col("c_custkey").cast("string")).alias("task_id"))
 
@@ -654,7 +591,7 @@ SELECT * FROM u WHERE task_set_id IN (SELECT task_set_id FROM (SELECT task_set_i
 
 
 def generated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert.with_ids(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_custkey", "o_orderkey"], 100)
+    return ordered.with_ids(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_custkey", "o_orderkey"], 100)
 
 
 QUERIES = {
@@ -666,7 +603,7 @@ QUERIES = {
     "rollup_counts": (rollup_counts, "SELECT o_orderstatus, count(*) AS n, CAST(grouping(o_orderstatus) AS BIGINT) AS level FROM orders GROUP BY ROLLUP (o_orderstatus)"),
     "rollup_two_keys": (rollup_two_keys, "SELECT o_orderstatus, o_orderpriority, count(*) AS n, CAST(grouping(o_orderstatus, o_orderpriority) AS BIGINT) AS level FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)"),
     "conditional_pivot": (conditional_pivot, CONDITIONAL_PIVOT), "group_concat_summary": (group_concat_summary, GROUP_CONCAT_SUMMARY), "latest_by_group": (latest_by_group, LATEST_BY_GROUP),
-    "division_from_text": (division_from_text, DIVISION_FROM_TEXT), "lag_lead_alias": (lag_lead_alias, LAG_LEAD_ALIAS), "window_over_agg": (window_over_agg, WINDOW_OVER_AGG),
+    "division_from_text": (division_from_text, DIVISION_FROM_TEXT), "window_over_agg": (window_over_agg, WINDOW_OVER_AGG),
     "grand_total_window": (grand_total_window, GRAND_TOTAL_WINDOW), "presence_overlap": (presence_overlap, PRESENCE_OVERLAP),
     "dup_key_check": (dup_key_check, "SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1"),
     "logical_duplicates": (logical_duplicates, "SELECT o_custkey, lower(trim(coalesce(nullif(o_orderpriority, '5-LOW'), ''))) AS priority, count(*) AS n FROM orders GROUP BY ALL HAVING count(*) > 1"),
@@ -682,12 +619,12 @@ QUERIES = {
     "keep_last_n": (keep_last_n, KEEP_LAST_N),
     "most_recent_flag": (most_recent_flag, "SELECT o_orderkey, o_orderpriority, CAST(month(o_orderdate) AS INT) AS month, CASE WHEN month(o_orderdate) = max(month(o_orderdate)) OVER (PARTITION BY o_orderpriority) THEN 1 ELSE 0 END AS is_latest FROM orders"),
     "carry_flags": (carry_flags, CARRY_FLAGS), "date_range_parse": (date_range_parse, DATE_RANGE_PARSE), "mountain_time": (mountain_time, MOUNTAIN_TIME), "day_series": (day_series, DAY_SERIES),
-    "url_param": (url_param, URL_PARAM), "html_rows": (html_rows, HTML_ROWS), "expand_event_teams": (expand_event_teams, EXPAND_EVENT_TEAMS),
+    "url_param": (url_param, URL_PARAM), "html_rows": (html_rows, HTML_ROWS), 
     "team_count": (team_count, "SELECT l_orderkey, l_linenumber, count(*) OVER w AS n_teams, CASE WHEN count(*) OVER w = 2 THEN 1 ELSE 0 END AS is_dual FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)"),
     "queue_transitions": (queue_transitions, QUEUE_TRANSITIONS), "queue_progress": (queue_progress, QUEUE_PROGRESS),
     "paged_export_order": (paged_export_order, "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 50 OFFSET 30"),
-    "custom_rank_concat": (custom_rank_concat, CUSTOM_RANK_CONCAT), "alias_pairs": (alias_pairs, ALIAS_PAIRS), "latest_ranking": (latest_ranking, LATEST_RANKING),
-    "name_difference": (name_difference, NAME_DIFFERENCE), "seed_tasks": (seed_tasks, SEED_TASKS),
+    "custom_rank_concat": (custom_rank_concat, CUSTOM_RANK_CONCAT), 
+    "seed_tasks": (seed_tasks, SEED_TASKS),
     "optional_filters": (optional_filters, "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 100000"),
     "events_windowed": (events_windowed, EVENTS_WINDOWED), "list_refresh": (list_refresh, LIST_REFRESH),
     "school_candidates": (school_candidates, SCHOOL_CANDIDATES), "alias_join": (alias_join, ALIAS_JOIN), "carry_everywhere": (carry_everywhere, CARRY_EVERYWHERE),

@@ -14,11 +14,10 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
-from boutlake.schemas import RANKINGS
-
-# Weights in pounds that a ranking may be about.
-WEIGHTS = (90, 300)
+from boutlake.operators.rankings import ranking_entries, week_of
+from boutlake.sources.pages import lateral
 
 
 def scan(spark: SparkSession, path: str, *predicates: Column) -> DataFrame:
@@ -34,10 +33,15 @@ def page(df: DataFrame, order: list[str], start: int, size: int) -> DataFrame:
     return df.orderBy(*order).offset(start).limit(size)
 
 
-def read_links(spark: SparkSession, path: str, column: str = "name_link") -> DataFrame:
-    """A column of a CSV file with header, by name without regard to case; blank values are left out."""
+def read_links(spark: SparkSession, path: str, column: str = "name_link", start_at: int = 0, limit: int | None = None) -> DataFrame:
+    """A column of a CSV file with header, by name without regard to case; blank values are left out.
+
+    start_at and limit count the values that are left, in the file's order.
+    """
     df = spark.read.csv(path, header=True, multiLine=True, escape='"', ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
-    return df.select(F.trim(F.col(column)).alias(column)).where(F.col(column) != "")
+    df = df.select(F.trim(F.col(column)).alias(column)).where(F.col(column) != "")
+    df = df.offset(start_at) if start_at else df
+    return df if limit is None else df.limit(limit)
 
 
 def count_rows(spark: SparkSession, path: str) -> int:
@@ -126,54 +130,24 @@ def bout_rows(pages: DataFrame) -> DataFrame:
 
 
 def document_lines(data: bytes) -> list[str]:
-    """Paragraphs of a DOCX file."""
+    """Paragraphs of a DOCX file; tabs in runs stay."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         root = ElementTree.fromstring(z.read("word/document.xml"))
     space = root.tag.partition("}")[0] + "}"
-    return ["".join(t.text or "" for t in p.iter(space + "t")).strip() for p in root.iter(space + "p")]
+    text = lambda e: {f"{space}t": e.text or "", f"{space}tab": "\t"}.get(e.tag, "")
+    return ["".join(text(e) for r in p.iter(f"{space}r") for e in r).strip() for p in root.iter(f"{space}p")]
 
 
-def week_of(name: str) -> int | None:
-    found = re.search(r"week[\s_-]*(\d+)", name, re.I)
-    return int(found[1]) if found else None
+@udtf(returnType="line_no int, line string", useArrow=False)
+class docx_lines:  # noqa: N801
+    """Paragraphs of a DOCX file's bytes, numbered."""
 
-
-def ranking_rows(lines: list[str]) -> list[tuple[str | None, int, int, str, str | None, str]]:
-    """Division, weight, rank, name, school and line of each entry.
-
-    "Class 4A" and the like set the division; a weight alone, or before "lbs" or "pounds", sets the
-    weight if it is in bounds; "1. Ann Lee, North" and "Ann Lee, North;" are entries, ranked as numbered
-    or in order. Lines without a comma name an athlete without a school.
-    """
-    out: list[tuple[str | None, int, int, str, str | None, str]] = []
-    division, weight, rank = None, None, 0
-    for line in lines:
-        text = line.strip().rstrip(";").strip()
-        if not text:
-            continue
-        if found := re.fullmatch(r"(?:class\s+|division\s+)?([1-5]A)", text, re.I):
-            division, weight = found[1].upper(), None
-        elif found := re.fullmatch(r"(\d{2,3})(?:\s*(?:lbs?\.?|pounds))?:?", text, re.I):
-            number = int(found[1])
-            weight, rank = (number if WEIGHTS[0] <= number <= WEIGHTS[1] else None), 0
-        elif weight is not None:
-            found = re.match(r"(\d{1,2})[.)-]\s*", text)
-            rank = int(found[1]) if found else rank + 1
-            name, _, school = text[found.end() if found else 0 :].partition(",")
-            if name.strip():
-                out.append((division, weight, rank, " ".join(name.split()), " ".join(school.split()) or None, line))
-    return out
+    def eval(self, content: bytes | None):
+        yield from enumerate(document_lines(bytes(content)) if content is not None else [], 1)
 
 
 def read_rankings(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of all DOCX files under path; the file's name gives the week."""
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = []
-            for name, data in zip(part["path"], part["content"], strict=True):
-                file = name.rpartition("/")[2]
-                rows += [(week_of(file), *r, file) for r in ranking_rows(document_lines(bytes(data)))]
-            yield pd.DataFrame(rows, columns=[x.split()[0] for x in RANKINGS.split(", ")])
-
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").load(path).select("path", "content").mapInPandas(run, RANKINGS)
+    """Entries of all DOCX files under path whose names hold a week; see ranking_entries."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").load(path).select(F.substring_index("path", "/", -1).alias("source_file"), "content")
+    files = files.withColumn("week", week_of(F.col("source_file"))).where("week IS NOT NULL")
+    return ranking_entries(lateral(files, docx_lines, "content"))

@@ -41,12 +41,36 @@ def test_enrichment_keeps_rows(spark):
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [(1, 9, "p", "r"), (1, None, "p", None), (7, 1, None, "p")]))
 
 
-def test_schedule_and_placements(spark):
-    df = spark.createDataFrame([("North @ South",), ("North 16 South 0",), ("Winter Open",)], "event_name string")
-    got = {(r["team"], r["team_index"], r["team_score"], r["event_kind"]) for r in enrich.schedule_teams(df).collect()}
-    assert got == {("North", 1, None, "dual"), ("South", 2, None, "dual"), ("North", 1, 16, "dual"), ("South", 2, 0, "dual"), ("Winter Open", 1, None, "tournament")}
-    p = lambda r, o: spark.range(1).select(enrich.placement(F.lit(r), F.lit(o))).first()[0]
-    assert [p("1st Place Match", "W"), p("1st Place Match", "L"), p("5th Place Match", "L"), p("3rd Place Match", "T"), p("Final", "W"), p(None, "W")] == ["1st", "2nd", "6th", "tbd", "other", "other"]
+def test_placements(spark):
+    p = lambda s, r, o: spark.range(1).select(enrich.placement(F.lit(s), F.lit(r), F.lit(o), {"2024-25": "2025"})).first()[0]
+    rounds = [("1st Place Match", "W"), ("1st Place Match", "L"), ("5th Place Match", "L"), ("3rd Place Match", "T"), ("Final", "W"), (None, "W")]
+    assert [p("2024-25", r, o) for r, o in rounds] == ["1st_state_place_2025", "2nd_state_place_2025", "6th_state_place_2025", "other_2025", "other_2025", "other_2025"]
+    assert p("2025-26", "1st Place Match", "W") == "tbd"
+
+
+def test_final_state_bouts_are_at_state_alone(spark):
+    kind = "season string, wrestler_id int, match_order int, event string, round string, weight_category string, outcome string"
+    state, rows = "4A State Championships", []
+    rows += [("2024-25", 1, 5, state, "3rd Place Match", "4A 120", "W"), ("2024-25", 1, 6, state, "Final", "4A 120", "L"), ("2024-25", 1, 9, "Winter Open", "1st Place Match", "4A 120", "W")]
+    rows += [("2024-25", 2, 5, state, "1st Place Match", "120", "W"), ("2025-26", 1, 3, state, None, "4A 126", "W"), ("2024-25", 3, 1, state, "Round 1", "4A 120", "W"), ("2024-25", 3, 2, state, "Round 2", "4A 120", "W")]
+    got = enrich.final_state_bouts(spark.createDataFrame(rows, kind), {"2024-25": "2025"}).select("season", "wrestler_id", "match_order", "place", "is_state_tournament_qualifier", "count_matches")
+    assert sorted(map(tuple, got.collect())) == [("2024-25", 1, 5, "3rd_state_place_2025", "state_qualifier_2025", 2), ("2024-25", 3, 2, "other_2025", "state_qualifier_2025", 2), ("2025-26", 1, 3, "tbd", "other", 1)]
+
+
+def test_opponents_are_listed_or_read_from_the_line(spark):
+    people = spark.createDataFrame([(1, "Ann Lee", "North, CO"), (2, "Bo Ray", None), (3, None, "East, CO"), (4, "Di Fox", "GJ")], "wrestler_id int, name string, team string")
+    line = "Final - Ann Lee (North) over Cy Day (West High) (Dec 5-2)"
+    rows = [(1, 1, 9, line), (2, 1, None, line), (3, 1, 3, line), (4, 1, 2, line), (5, 9, 8, line), (6, 1, 9, "Final - Ann Lee received a bye over Cy Day (West High)"), (7, 1, 4, line), (8, 1, 9, None), (9, 1, 9, "Final - Cy Day (KC) over Ann Lee (North) (Fall)"), (10, 2, 1, "Bo Ray (X) over Ann Lee (North)")]
+    got = enrich.with_opponents(spark.createDataFrame(rows, "id int, wrestler_id int, opponent_id int, raw_details string"), people)
+    assert {r.id: (r.opponent_name, r.opponent_team) for r in got.collect()} == {
+        1: ("Cy Day", "West High"), 2: (None, None), 3: ("Cy Day", "East, CO"), 4: ("Bo Ray", None), 5: (None, None), 6: (None, None), 7: ("Di Fox", "GJ"), 8: (None, None), 9: ("Cy Day", None), 10: ("Ann Lee", "North, CO")}
+
+
+def test_event_driven_athletes_of_a_state(spark):
+    events = spark.createDataFrame([("s", "c", 1, "North, CO"), ("s", "c", None, "South, CO"), ("s", "c", 3, "East, WY"), ("s", "c", None, None)], "season string, category string, team_id int, team_name string")
+    people = spark.createDataFrame([("s", "c", i, t, n) for i, t, n in [(10, 1, "x"), (11, 2, "South, CO"), (12, 3, "East, WY")]], "season string, category string, wrestler_id int, team_id int, team string")
+    assert {r.wrestler_id for r in enrich.athletes_with_events(events, people, state="CO").collect()} == {10, 11}
+    assert {r.wrestler_id for r in enrich.athletes_with_events(events, people).collect()} == {10, 11, 12}
 
 
 def test_elo(spark):
@@ -65,12 +89,6 @@ def test_round_factor_tests_final_first(spark):
     assert [f("Semifinal"), f("Semis"), f("Cons. 2"), f("Consolation")] == [1.25, 1.15, 1.0, 1.05]
 
 
-def test_team_neighbours(spark):
-    teams = matching.team_neighbours(spark.createDataFrame([("Palmer H.S., CO",), ("Palmer High",), ("Zed",), ("Paz",), (None,)], "team string")).collect()
-    assert {(r["team_clean"], r["before"], r["after"], r["like_before"], r["like_after"]) for r in teams} == {
-        ("palmer h s   co", None, "palmer high", 0, 1), ("palmer high", "palmer h s   co", "paz", 1, 0), ("paz", "palmer high", "zed", 0, 0), ("zed", "paz", None, 0, 0)}
-
-
 def test_texts_that_hold_one_another(spark):
     left, right = ["North High", "N", "ab", "", None, "Abba", "x North High School"], ["north", "North High", "b", "ABBA ", "", None, "zz"]
     rows = matching.theta_pairs(spark.createDataFrame([(x,) for x in left * 2], "a string"), spark.createDataFrame([(x,) for x in right * 2], "b string"), "a", "b").collect()
@@ -174,17 +192,6 @@ def test_pages(spark):
     assert readers.grid_rows(df, "wrestler_id").count() == 2
 
 
-def test_rankings(spark, tmp_path):
-    lines = ["Class 4A", "120", "1. Ann Lee, North", "2. Bo  Ray, South;", "Cy", "400", "Dee, East", "Class 5A", "15", "126 lbs", "Fay Oh, West"]
-    body = "".join(f"<w:p><w:r><w:t>{x}</w:t></w:r></w:p>" for x in lines)
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w") as z:
-        z.writestr("word/document.xml", f'<w:document xmlns:w="urn:w"><w:body>{body}</w:body></w:document>')
-    (tmp_path / "rankings week 1.docx").write_bytes(data.getvalue())
-    got = readers.read_rankings(spark, str(tmp_path)).select("week", "division", "weight", "rank", "name", "school").collect()
-    assert sorted(map(tuple, got), key=str) == sorted([(1, "4A", 120, 1, "Ann Lee", "North"), (1, "4A", 120, 2, "Bo Ray", "South"), (1, "4A", 120, 3, "Cy", None), (1, "5A", 126, 1, "Fay Oh", "West")], key=str)
-
-
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "quoted", line\nbreak'), (2, None)], "k int, name_link string")
     writers.write_csv(df, str(tmp_path / "out"), rows_per_file=1, gzip=True)
