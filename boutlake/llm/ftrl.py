@@ -1,10 +1,10 @@
 """Logistic regression over hashed word n-grams, fitted with FTRL-proximal updates.
 
-The fit reads a bounded sample of labelled rows (``Model.max_train_rows``): those whose id's hash lies
-under a threshold, so each task picks its own. They are written once and dealt into shards of about
-``shard_bytes`` of text by the hash. Each shard runs its own pass of updates in hash order and the weights
-are averaged, so neither the driver nor a task holds more than that, however long texts are. The L1 term
-leaves few weights other than zero; only those travel to the scoring tasks, which read every whole text once.
+The fit reads a bounded sample of labelled rows (``Model.max_train_rows``): those whose hash of id and text lies
+under a threshold, so each task picks its own. They are written once, equal rows of one id once, and dealt
+into shards of about ``shard_bytes`` of text by the hash. Each shard runs its own pass of updates in hash order and
+the weights are averaged in Spark, so neither the driver nor a task holds more than that, however long texts are.
+The L1 term leaves few weights other than zero; only those travel to the scoring tasks, which read every whole text once.
 """
 
 from __future__ import annotations
@@ -29,6 +29,9 @@ SHAPES[48:58] = SHAPES[48]
 #: Multipliers that tell the kinds of features apart.
 KINDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
+#: Weights are averaged as multiples of one part of this.
+_FIXED = float(1 << 36)
+
 
 @dataclass(frozen=True)
 class Model:
@@ -110,35 +113,42 @@ class Model:
         return at, w[at], float(bias_of())
 
     def fitted(self, docs: DataFrame, labels: DataFrame, label: str) -> Model:
-        """This model fitted on at most max_train_rows labelled rows.
+        """This model fitted on at most max_train_rows labelled texts; equal rows of one id count once.
 
         docs: doc_id, text. labels: doc_id and the 0/1 column named by label; null ids and labels
         are left out, repeated ids take the larger label. An empty sample gives a model that scores 0.5.
         """
         known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-        known = materialize(known.withColumn("place", F.xxhash64(F.lit(self.seed), "doc_id")), "labels")
+        texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").withColumn("hash", F.xxhash64("text"))
+        # Rows are drawn, not ids: an id may have any number of texts, and a text any number of equal rows.
+        keys = texts.select("doc_id", "hash").groupBy("doc_id", "hash").count().join(known, "doc_id")
+        keys = materialize(keys.select("doc_id", "hash", "y", F.xxhash64(F.lit(self.seed), "doc_id", "hash").alias("place")), "labels")
+        n = keys.count()
         # A share of the hashes that more than max_train_rows rows will not fall into, four deviations off.
         most = max(1.0, self.max_train_rows - 4 * self.max_train_rows**0.5)
-        share = min(1.0, most / max(1, known.count())) if known.count() > self.max_train_rows else 1.0
-        sample = known.where(F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30)))
-        # At most max_train_rows rows of three numbers, so this broadcast has a fixed bound.
-        rows = materialize(docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "training")
+        share = min(1.0, most / n) if n > self.max_train_rows else 1.0
+        sample = keys.where(F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30)))
+        # At most max_train_rows rows of four numbers, so this broadcast has a fixed bound.
+        rows = texts.join(F.broadcast(sample), ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"])
+        rows = materialize(rows.drop("hash"), "training")
         held = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         rows = rows.withColumn("shard", F.pmod(F.shiftrightunsigned("place", 30), F.lit(max(1, -(-held // self.shard_bytes)))))
+        bias = 1 << self.bits  # the coordinate after the features'
 
         def fit(t: pa.Table) -> pa.Table:
             t = t.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
             at, w, b = self.train(binary_texts(t["text"].combine_chunks()), t["y"].to_pylist())
-            return pa.table({"at": pa.array([at.tolist()], pa.list_(pa.int64())), "weight": pa.array([w.tolist()], pa.list_(pa.float64())), "bias": pa.array([b])})
-
-        # One row for each shard, each with at most 2 ** bits weights, few of them other than zero.
-        parts = rows.groupBy("shard").applyInArrow(fit, "at array<long>, weight array<double>, bias double").collect()
-        total = np.zeros(1 << self.bits)
-        for p in parts:
-            total[p["at"]] += np.array(p["weight"]) / len(parts)
-        at = np.flatnonzero(np.abs(total) > 1e-6)
+            return pa.table({"at": np.append(at, [bias, bias + 1]), "weight": np.append(w, [b, 1.0])})
+
+        # Sums of whole numbers are the same in any order. At most 2 ** bits rows, few of them other than zero.
+        fixed = F.sum(F.round(F.col("weight") * _FIXED).cast("long")).alias("sum")
+        sums = rows.groupBy("shard").applyInArrow(fit, "at long, weight double").groupBy("at").agg(fixed).where("sum <> 0").toArrow()
+        total = np.zeros(bias + 2)
+        total[sums["at"].to_numpy()] = sums["sum"].to_numpy() / _FIXED
+        total /= max(1.0, total[-1])
+        at = np.flatnonzero(np.abs(total[:bias]) > 1e-6)
         state = {k: getattr(self, k) for k in self.__dataclass_fields__}
-        return Model(**state | {"at": at, "weight": total[at], "bias": float(sum(p["bias"] for p in parts) / max(1, len(parts)))})
+        return Model(**state | {"at": at, "weight": total[at], "bias": float(total[bias])})
 
     def scores(self, dense: np.ndarray, texts: list[bytes]) -> np.ndarray:
         doc, at, n = self.features(texts)

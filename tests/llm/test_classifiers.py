@@ -1,5 +1,6 @@
 """Both classifiers against plain FTRL over features that are not hashed, and the quality classifier's own contract."""
 
+import os
 import random
 
 import brute
@@ -41,21 +42,53 @@ def test_a_fit_takes_rows_in_hash_order(spark):
     docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string").repartition(4)
     labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, toxic int")
     model = Model(kind="skip", l1=0.3)
-    order = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64(F.lit(model.seed), "doc_id")).collect()}
+    order = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64(F.lit(model.seed), "doc_id", F.xxhash64("text"))).collect()}
     data.sort(key=lambda x: order[x[0]])
     at, w, b = model.train([t.encode() for _, t, _ in data], [y for *_, y in data])
     fitted = model.fitted(docs, labels, "toxic")
     assert fitted.at.tolist() == at[np.abs(w) > 1e-6].tolist() and np.allclose(fitted.weight, w[np.abs(w) > 1e-6]) and abs(fitted.bias - b) < 1e-12
 
 
-def test_a_fit_stays_within_its_bound_of_rows(spark):
-    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
-    known = docs.select("doc_id", F.lit(1).alias("toxic"))
-    model = Model(kind="skip", max_train_rows=900, shard_bytes=900)
-    place = known.select(F.pmod(F.xxhash64(F.lit(model.seed), "doc_id"), F.lit(1 << 30)).alias("p"))
-    share = (900 - 4 * 900**0.5) / 5000
-    assert 500 < place.where(F.col("p") < int(share * (1 << 30))).count() <= 900
-    assert 0.5 < model.fitted(docs, known, "toxic").scored(docs.limit(1)).first().score <= 1
+def counted(path):
+    """A model whose tasks leave files with the number of rows that they train on."""
+
+    class Counted(Model):
+        def train(self, texts, labels):
+            with open(f"{path}/{os.getpid()}-{random.getrandbits(60)}", "w") as f:
+                f.write(str(len(texts)))
+            return Model.train(self, texts, labels)
+
+    return Counted
+
+
+@pytest.mark.parametrize("ids", ["id", "7L"])
+def test_a_fit_stays_within_its_bound_of_rows(spark, tmp_path, ids):
+    """Whether each row has an id of its own or one labelled id holds them all; equal rows of an id are one."""
+    docs = spark.range(5000).selectExpr(f"{ids} AS doc_id", "concat('a b', id) AS text")
+    docs = docs.unionAll(docs).unionAll(spark.sql("SELECT 7L AS doc_id, 'the same' AS text FROM range(3000)"))
+    known = spark.range(5000).selectExpr("id AS doc_id", "1 AS toxic")
+    fitted = counted(str(tmp_path))(kind="skip", max_train_rows=900, shard_bytes=900).fitted(docs, known, "toxic")
+    rows = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert 500 < sum(rows) <= 900 and len(rows) > 4 and max(rows) < 400
+    assert 0.5 < fitted.scored(docs.limit(1)).first().score <= 1
+
+
+def test_weights_are_the_mean_over_shards(spark):
+    data = [(i, t, int("Vile" in t)) for i, t in enumerate(texts(6, 300))]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, toxic int")
+    model = Model(kind="skip", l1=0.3, shard_bytes=6000)
+    n = -(-sum(len(t.encode()) for _, t, _ in data) // model.shard_bytes)
+    place = {r[0]: (r[2], r[1]) for r in docs.select("doc_id", F.xxhash64(F.lit(7), "doc_id", F.xxhash64("text")).alias("p"), F.pmod(F.shiftrightunsigned("p", 30), F.lit(n))).collect()}
+    dense, bias = np.zeros(1 << model.bits), 0.0
+    for shard in range(n):
+        rows = sorted((x for x in data if place[x[0]][0] == shard), key=lambda x: place[x[0]][1])
+        at, w, b = model.train([t.encode() for _, t, _ in rows], [y for *_, y in rows])
+        dense[at] += w / n
+        bias += b / n
+    fitted = model.fitted(docs, labels, "toxic")
+    assert n > 2 and fitted.at.tolist() == np.flatnonzero(np.abs(dense) > 1e-6).tolist()
+    assert np.allclose(fitted.weight, dense[fitted.at], atol=1e-9) and abs(fitted.bias - bias) < 1e-9
 
 
 def test_quality_classifier(spark):
