@@ -2,19 +2,62 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
-# Accented letters of western names and the plain letters they compare as.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+#: Letters that differ in case, marks or width are equal under it, however they are composed.
+COLLATION = "UNICODE_CI_AI"
 # Classes of the soundex code, 0 for letters without one.
 SOUNDEX = dict(zip("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "01230120022455012623010202", strict=True))
 
 
+def name_key(c: Column) -> Column:
+    """Key for joining and grouping names: white space collapsed, compared by COLLATION; null stays null."""
+    return F.collate(F.trim(F.regexp_replace(c, r"[\s\x{A0}]+", " ")), COLLATION)
+
+
+@pandas_udf(StringType())
+def _unmarked(texts: pd.Series) -> pd.Series:
+    """Compatibility decomposition without combining marks."""
+    return texts.map(lambda x: "".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch)), na_action="ignore")
+
+
 def norm_key(c: Column) -> Column:
-    """Key for comparing names: lower case, no accents, single spaces; null stays null."""
-    return F.trim(F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), r"[\s\x{A0}]+", " "))
+    """c in lower case, decomposed, without marks and with single spaces, for texts and files that know no collation; null stays null."""
+    return F.trim(F.regexp_replace(F.lower(_unmarked(c)), r"[\s\x{A0}]+", " "))
+
+
+def number_text(c: Column, places: int = 0) -> Column:
+    """A number with grouped thousands and so many places, as "12,345.60"."""
+    return F.format_number(c, places)
+
+
+def day_of_week(c: Column) -> Column:
+    """1 for Sunday to 7 for Saturday."""
+    return F.dayofweek(c)
+
+
+# Patterns of a JavaScript date library and the ones that stand for them here, longest first.
+_DATE_PARTS = {"YYYY": "yyyy", "YY": "yy", "MMMM": "MMMM", "MMM": "MMM", "MM": "MM", "M": "M", "DD": "dd", "D": "d", "dddd": "EEEE", "ddd": "EEE", "HH": "HH", "H": "H", "hh": "hh", "h": "h", "mm": "mm", "ss": "ss", "SSS": "SSS", "A": "a"}
+
+
+def date_text(c: Column, pattern: str) -> Column:
+    """A timestamp by a pattern such as "YYYY-MM-DD hh:mm A"; what stands in square brackets, and marks, are taken as they are."""
+    out, i = "", 0
+    while i < len(pattern):
+        if pattern[i] == "[" and "]" in pattern[i:]:
+            end = pattern.index("]", i)
+            out, i = out + "'" + pattern[i + 1 : end].replace("'", "''") + "'", end + 1
+            continue
+        part = next((p for p in _DATE_PARTS if pattern.startswith(p, i)), None)
+        out += _DATE_PARTS[part] if part else ("'" + pattern[i].replace("'", "''") + "'" if pattern[i].isalpha() or pattern[i] == "'" else pattern[i])
+        i += len(part or " ")
+    return F.date_format(c, out)
 
 
 def b2i(condition: Column) -> Column:

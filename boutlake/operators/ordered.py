@@ -14,34 +14,44 @@ MOST_RANGES = 4096
 SAMPLED = 16
 
 
-def with_ranges(df: DataFrame, order: Sequence[str], rows_each: int = RANGE_ROWS) -> DataFrame:
-    """df with __range, a number that rises with the order's keys; ranges hold about rows_each rows.
+def cuts_of(df: DataFrame, order: Sequence[str], rows_each: int = RANGE_ROWS) -> list[tuple]:
+    """Keys that cut df into ranges of about rows_each rows, in order: at most MOST_RANGES - 1 of its own keys.
 
-    Cut points are keys of df by their hash, at most MOST_RANGES * SAMPLED of them by expectation, so every
-    run of the plan cuts alike. All columns of the order make the key: a frequent first value is cut by the
-    next one. Equal keys share a range. Nulls come first.
+    They are drawn by the keys' hashes, at most MOST_RANGES * SAMPLED of them by expectation, so every run cuts alike.
     """
     n = df.count()
     ranges = max(1, min(MOST_RANGES, ceil(n / rows_each)))
-    key = F.struct(*order)
-    cuts = []
-    if ranges > 1:
-        share = min(1.0, SAMPLED * ranges / n)
-        sample = df.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
-        keys = sample.orderBy(*order).collect()
-        cuts = [keys[i * len(keys) // ranges] for i in range(1, ranges) if keys]
+    if ranges == 1:
+        return []
+    share = min(1.0, SAMPLED * ranges / n)
+    sample = df.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
+    keys = sample.orderBy(*order).collect()
+    return [tuple(keys[i * len(keys) // ranges]) for i in range(1, ranges) if keys]
+
+
+def range_of(df: DataFrame, order: Sequence[str], cuts: Sequence[tuple]) -> DataFrame:
+    """df with __range: how many of the cuts are not above the row's key. A key is compared with about 2 * sqrt(len(cuts)) of them."""
     if not cuts:
         return df.withColumn("__range", F.lit(0))
-    width = isqrt(len(cuts)) + 1
-    groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    key, width = F.struct(*order), isqrt(len(cuts)) + 1
+    groups = [list(cuts[i : i + width]) for i in range(0, len(cuts), width)]
     element = f"struct<{','.join(f'`{c}`:{df.schema[c].dataType.simpleString()}' for c in order)}>"
     table = df.sparkSession.createDataFrame([([g[0] for g in groups], groups)], f"__heads array<{element}>, __groups array<array<{element}>>")
-    # One row. Keys are compared with about 2 * sqrt(ranges) cuts.
+    # One row.
     both = df.join(F.broadcast(table), F.lit(True), "left").withColumn("__g", F.size(F.filter("__heads", lambda c: c <= key)))
     inside = F.size(F.filter(F.get("__groups", F.col("__g") - 1), lambda c: c <= key))
     return both.withColumn("__range", F.when(F.col("__g") == 0, 0).otherwise((F.col("__g") - 1) * width + inside)).drop("__heads", "__groups", "__g")
 
 
+def with_ranges(df: DataFrame, order: Sequence[str], rows_each: int = RANGE_ROWS) -> DataFrame:
+    """df with __range, a number that rises with the order's keys; ranges hold about rows_each rows.
+
+    All columns of the order make the key: a frequent first value is cut by the next one. Equal keys share a
+    range. Nulls come first.
+    """
+    return range_of(df, order, cuts_of(df, order, rows_each))
+
+
 def with_neighbours(df: DataFrame, order: Sequence[str], columns: dict[str, tuple[str, str]], rows_each: int = RANGE_ROWS) -> DataFrame:
     """df with columns of the rows before and after each in a total order: column -> its two new names.
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boutlake.plans import bout_queries, list_queries, table_queries
+from boutlake.plans import bout_queries, list_queries, store_queries, table_queries
 
-ALL = bout_queries.QUERIES | table_queries.QUERIES | list_queries.QUERIES
+ALL = bout_queries.QUERIES | table_queries.QUERIES | list_queries.QUERIES | store_queries.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

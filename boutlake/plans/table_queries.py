@@ -239,15 +239,18 @@ def union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "customer").where("c_custkey % 5 <> 0").select("c_custkey", "c_name", "c_acctbal", F.expr(OLD).alias("created_at"), F.expr(OLD).alias("updated_at"))
+    """All customers; a fifth under keys that the source does not hold."""
+    return read(spark, sf_dir, "customer").select(F.expr(_TARGET_KEY).alias("c_custkey"), "c_name", "c_acctbal", F.expr(OLD).alias("created_at"), F.expr(OLD).alias("updated_at"))
 
 
 def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.when(F.col("c_custkey") % 7 == 0, F.lit("")).when(F.col("c_custkey") % 11 == 0, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name"))
-    return read(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select("c_custkey", name.alias("c_name"), F.when(F.col("c_custkey") % 13 != 0, F.col("c_acctbal")).alias("c_acctbal"))
+    """All customers; a third under keys that the target does not hold."""
+    name = F.when(F.col("c_custkey") % 7 == 0, "").when(F.col("c_custkey") % 11 == 0, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name"))
+    return read(spark, sf_dir, "customer").select(F.expr(_SOURCE_KEY).alias("c_custkey"), name.alias("c_name"), F.when(F.col("c_custkey") % 13 != 0, F.col("c_acctbal")).alias("c_acctbal"))
 
 
-_SOURCE = "SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN c_name || '!' ELSE c_name END AS c_name, CASE WHEN c_custkey % 13 <> 0 THEN c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 3 <> 0"
+_TARGET_KEY, _SOURCE_KEY = "CASE WHEN c_custkey % 5 = 0 THEN -1 - c_custkey ELSE c_custkey END", "CASE WHEN c_custkey % 3 = 0 THEN -1000000000 - c_custkey ELSE c_custkey END"
+_SOURCE = f"SELECT {_SOURCE_KEY} AS c_custkey, CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN c_name || '!' ELSE c_name END AS c_name, CASE WHEN c_custkey % 13 <> 0 THEN c_acctbal END AS c_acctbal FROM customer"
 
 
 def upsert_changed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +258,7 @@ def upsert_changed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 UPSERT_CHANGED_ONLY = f"""
-WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 5 <> 0), s AS ({_SOURCE}),
+WITH t AS (SELECT {_TARGET_KEY} AS c_custkey, c_name, c_acctbal FROM customer), s AS ({_SOURCE}),
 j AS (SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey, t.c_custkey IS NOT NULL AS in_t, s.c_custkey IS NOT NULL AS in_s,
   CASE WHEN s.c_custkey IS NULL OR trim(coalesce(s.c_name, '')) = '' THEN t.c_name ELSE s.c_name END AS c_name, CASE WHEN s.c_custkey IS NULL THEN t.c_acctbal ELSE s.c_acctbal END AS c_acctbal, t.c_name AS tn, t.c_acctbal AS ta FROM t FULL JOIN s ON t.c_custkey = s.c_custkey),
 a AS (SELECT *, CASE WHEN in_s AND NOT in_t THEN 'inserted' WHEN in_s AND (c_name IS DISTINCT FROM tn OR c_acctbal IS DISTINCT FROM ta) THEN 'updated' WHEN in_s THEN 'unchanged' ELSE 'kept' END AS action FROM j)

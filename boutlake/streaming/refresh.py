@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from boutlake.operators.upsert import replace_scope, upsert
+from boutlake.sources.store import Store
 
 Load = Callable[[], DataFrame]
 Save = Callable[[DataFrame], None]
@@ -26,6 +27,18 @@ def upsert_stream(stream: DataFrame, load: Load, save: Save, keys: Sequence[str]
     return stream.writeStream.foreachBatch(merge).outputMode("append")
 
 
+def merge_stream(stream: DataFrame, store: Store, name: str, tracked: Sequence[str], keep_good: Sequence[str] = ()) -> DataStreamWriter:
+    """Each batch is merged into a store of buckets, of which only those with a changed row are written again.
+
+    The store keeps the number of the last batch of name: one that runs again is left out.
+    """
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        store.merge(batch, tracked, F.current_timestamp(), keep_good, (name, epoch))
+
+    return stream.writeStream.foreachBatch(merge).outputMode("append")
+
+
 def snapshot_stream(stream: DataFrame, load: Load, save: Save, scope: Sequence[str]) -> DataStreamWriter:
     """Each batch replaces the rows of the scopes that it holds."""
 
