@@ -5,8 +5,9 @@ commonest words made of letters. A document's distance from each is the Jensen-S
 divergence in bits, 0 to 1). How far is too far follows from the language's own documents: beyond the upper
 quartile of their distances by so many times the spread between the quartiles (``CHARACTER_SPREADS``,
 ``WORD_SPREADS``). Quartiles are those of all texts that are judged, each different text once, in steps of a
-thousandth. Texts too short to say are not judged: ``guard`` words at least; nor are those of a language with
-fewer than ``least_texts`` of them.
+thousandth; those of all languages together count as ``pooled`` more texts of each, so that a language of few
+texts is judged too. The word limit is also at most ``own_share`` of the distance that a text with none of its
+language's common words has. Texts too short to say are not judged: ``guard`` words at least.
 
 DataFrame functions throughout, and two passes over the texts: one counts words and classes of each language,
 combined in each task before they are shuffled; the other counts within each text and measures. Quartiles and
@@ -35,7 +36,8 @@ CHARACTER_SPREADS = 6
 CHARACTER_SPREAD = 0.02
 WORD_SPREADS = 2
 WORD_SPREAD = 0.05
-LEAST_TEXTS = 20
+#: Texts of all languages together that count beside a language's own.
+POOLED = 20
 #: Steps of a distance for its quartiles.
 STEPS = 1000
 #: Part of the word distance of a text with none of its language's common words.
@@ -142,38 +144,46 @@ def measured(docs: DataFrame, refs: DataFrame) -> DataFrame:
     }).drop("_r", "_classes", "_shares")
 
 
-def distance_limits(judged: DataFrame, column: str, spreads: float, least_spread: float, name: str, least_texts: int = LEAST_TEXTS) -> DataFrame:
-    """judged (lang, text_key, column) → lang, name: the upper quartile plus so many spreads; no row for languages with too few texts.
+def _quartiles(steps: DataFrame, by: list[str]) -> DataFrame:
+    """steps (by, step, n) → by, texts, q1, q3: the steps' upper ends that a quarter and three quarters of the texts do not exceed."""
+    whole = Window.partitionBy(*by)
+    rows = steps.withColumns({"upto": F.sum("n").over(whole.orderBy("step")), "texts": F.sum("n").over(whole)})
+    quartile = lambda k: (F.min(F.when(4 * F.col("upto") >= k * F.col("texts"), F.col("step"))) + 1) / F.lit(float(STEPS))
+    return rows.groupBy(*by).agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("texts").alias("texts"))
+
 
-    Distances are counted in steps, so a language has at most STEPS + 1 rows whatever its documents.
+def distance_quartiles(judged: DataFrame, column: str, pooled: int = POOLED) -> DataFrame:
+    """judged (lang, text_key, column) → lang, q1, q3: quartiles of each language's distances, each different text once.
+
+    Those of all languages together count as ``pooled`` more texts of each, so a language of few texts is judged much like the
+    others and one of many by itself. Distances are counted in steps, so a language has at most STEPS + 1 rows whatever its documents.
     """
     step = F.floor(F.col(column) * STEPS).cast("long")
     steps = judged.select("lang", "text_key", step.alias("step")).distinct().groupBy("lang", "step").agg(F.count("*").alias("n"))
-    whole = Window.partitionBy("lang")
-    steps = steps.withColumns({"upto": F.sum("n").over(whole.orderBy("step")), "texts": F.sum("n").over(whole)})
-    quartile = lambda k: (F.min(F.when(4 * F.col("upto") >= k * F.col("texts"), F.col("step"))) + 1) / F.lit(float(STEPS))
-    found = steps.groupBy("lang").agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("texts").alias("texts")).where(F.col("texts") >= least_texts)
-    return found.select("lang", (F.col("q3") + spreads * F.greatest(F.col("q3") - F.col("q1"), F.lit(least_spread))).alias(name))
+    every = steps.groupBy("step").agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
+    pool = _quartiles(every, ["all"]).select(F.col("q1").alias("p1"), F.col("q3").alias("p3"))
+    # One row.
+    found = _quartiles(steps, ["lang"]).join(F.broadcast(pool), F.lit(True), "left")
+    return found.select("lang", *(((F.col("texts") * F.col(q) + pooled * F.col(p)) / (F.col("texts") + pooled)).alias(q) for q, p in (("q1", "p1"), ("q3", "p3"))))
 
 
 def judge_quality(
-    docs: DataFrame, guard: int = GUARD, character_spreads: float = CHARACTER_SPREADS, word_spreads: float = WORD_SPREADS, least_texts: int = LEAST_TEXTS, own_share: float | None = None,
+    docs: DataFrame, guard: int = GUARD, character_spreads: float = CHARACTER_SPREADS, word_spreads: float = WORD_SPREADS, pooled: int = POOLED, own_share: float = OWN_SHARE,
 ) -> DataFrame:
     """For each row of docs: doc_id, the counts, base_failed, both distances, far_characters, far_words, kept.
 
-    With own_share, each language's word limit is at most that share of the distance which a text with
-    none of its common words has, but one spread beyond the upper quartile at least.
+    A language's word limit is at most own_share of the distance which a text with none of its common words
+    has, but one spread beyond the upper quartile at least.
     """
     # Written, so that the planner knows their size: it broadcasts few and deals out many by lang.
     refs = materialize(language_references(docs), "language-references")
     rows = materialize(measured(docs, refs), "measures")
     judged = (F.col("n_words") >= guard) & ~F.col("base_failed")
-    limits = distance_limits(rows.where(judged), "character_distance", character_spreads, CHARACTER_SPREAD, "character_limit", least_texts)
-    limits = limits.join(distance_limits(rows.where(judged), "word_distance", word_spreads, WORD_SPREAD, "word_limit", least_texts), "lang")
-    if own_share is not None:
-        limits = limits.join(distance_limits(rows.where(judged), "word_distance", 1, WORD_SPREAD, "word_floor", least_texts), "lang")
-    rows = rows.join(materialize(limits, "distance-limits"), "lang", "left")
-    word_limit = F.col("word_limit") if own_share is None else F.least("word_limit", F.greatest(own_share * F.col("none_distance"), F.col("word_floor")))
+    spread = lambda least: F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
+    characters = distance_quartiles(rows.where(judged), "character_distance", pooled).select("lang", (F.col("q3") + character_spreads * spread(CHARACTER_SPREAD)).alias("character_limit"))
+    words = distance_quartiles(rows.where(judged), "word_distance", pooled).select("lang", (F.col("q3") + word_spreads * spread(WORD_SPREAD)).alias("word_limit"), (F.col("q3") + spread(WORD_SPREAD)).alias("word_floor"))
+    rows = rows.join(materialize(characters.join(words, "lang"), "distance-limits"), "lang", "left")
+    word_limit = F.least("word_limit", F.greatest(own_share * F.col("none_distance"), F.col("word_floor")))
     rows = rows.withColumns({
         "far_characters": F.coalesce((F.col("n_words") >= guard) & (F.col("character_distance") > F.col("character_limit")), F.lit(False)),
         "far_words": F.coalesce((F.col("n_words") >= guard) & (F.col("word_distance") > word_limit), F.lit(False)),
@@ -189,11 +199,6 @@ def op5_quality_rules(documents: DataFrame) -> DataFrame:
     return judge_quality(documents).select(*RESULT)
 
 
-def op5_quality_rules_own_limit(documents: DataFrame) -> DataFrame:
-    """By a word limit that is also relative to each language's own common words."""
-    return judge_quality(documents, own_share=OWN_SHARE).select(*RESULT)
-
-
 _STEPS = (("[a-z]+", "t", "a"), ("[A-Z]+", "a", "b"), ("[0-9]+", "b", "c"), (r"[\x20\x09-\x0D]+", "c", "e"), (r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+", "e", "f"))
 _PART = "CASE WHEN {a} > 0 THEN {a} * log2({a} / (({a} + {b}) / 2)) ELSE 0 END"
 
@@ -203,12 +208,15 @@ def _distance_sql(p: str, q: str) -> str:
     return f"sqrt(greatest(0, list_sum(list_transform(list_zip({p}, {q}), lambda z: {terms}))))"
 
 
-def _limit_sql(column: str, spreads: float, least_spread: float, name: str) -> str:
-    """CTEs that end in name (lang, top): the limit of a distance for each language."""
-    quartile = lambda k: f"(min(step) FILTER (WHERE 4 * upto >= {k} * texts) + 1) / {STEPS}.0::DOUBLE"
+def _quartile_sql(column: str, name: str) -> str:
+    """CTEs that end in name (lang, q1, q3): quartiles of a distance for each language, those of all as POOLED more texts."""
+    def both(rows: str) -> str:
+        of = lambda k: f"(min(step) FILTER (WHERE 4 * upto >= {k} * texts) + 1) / {STEPS}.0::DOUBLE"
+        return f"SELECT lang, {of(1)} AS q1, {of(3)} AS q3, max(texts) AS texts FROM (SELECT lang, step, CAST(sum(n) OVER (PARTITION BY lang ORDER BY step) AS BIGINT) AS upto, CAST(sum(n) OVER (PARTITION BY lang) AS BIGINT) AS texts FROM {rows}) GROUP BY lang"
+
     return f"""{name}0 AS (SELECT lang, step, count(*) AS n FROM (SELECT DISTINCT lang, t, CAST(floor({column} * {STEPS}) AS BIGINT) AS step FROM z WHERE n_words >= {GUARD} AND NOT base_failed) GROUP BY ALL),
-{name}1 AS (SELECT lang, step, CAST(sum(n) OVER (PARTITION BY lang ORDER BY step) AS BIGINT) AS upto, CAST(sum(n) OVER (PARTITION BY lang) AS BIGINT) AS texts FROM {name}0),
-{name} AS (SELECT lang, q3 + {spreads} * greatest(q3 - q1, {least_spread}::DOUBLE) AS top FROM (SELECT lang, {quartile(1)} AS q1, {quartile(3)} AS q3, max(texts) AS texts FROM {name}1 GROUP BY lang) WHERE texts >= {LEAST_TEXTS})"""
+{name}1 AS ({both(f"(SELECT '' AS lang, step, CAST(sum(n) AS BIGINT) AS n FROM {name}0 GROUP BY step)")}), {name}2 AS ({both(f"{name}0")}),
+{name} AS (SELECT b.lang, (b.texts * b.q1 + {POOLED} * a.q1) / (b.texts + {POOLED}) AS q1, (b.texts * b.q3 + {POOLED} * a.q3) / (b.texts + {POOLED}) AS q3 FROM {name}2 b, {name}1 a)"""
 
 
 OP5_SQL = f"""
@@ -223,12 +231,14 @@ u AS (SELECT r.lang, classes, list(word ORDER BY place) FILTER (WHERE word IS NO
 x AS (SELECT row, i, count(*) OVER (PARTITION BY row, g) AS many FROM (SELECT row, i, array_to_string(w[i:i + {SPAN - 1}], ' ') AS g FROM (SELECT row, w, unnest(range(1, len(w) - {SPAN - 2})) AS i FROM q WHERE len(w) >= {SPAN}))),
 y AS (SELECT row, count(DISTINCT j) AS n_repeat_words FROM (SELECT row, i + unnest(range({SPAN})) AS j FROM x WHERE many > 1) GROUP BY row),
 o AS (SELECT q.*, coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) AS n_words, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines,
-  [{", ".join(f"k{i}::DOUBLE / greatest(n, 1)" for i in range(1, 7))}] AS own, classes, shares, list_transform(coalesce(common, []), lambda c: len(list_filter(w, lambda x: x = c))::DOUBLE / greatest(len(w), 1)) AS held
+  [{", ".join(f"k{i}::DOUBLE / greatest(n, 1)" for i in range(1, 7))}] AS own, classes, common, shares, list_transform(coalesce(common, []), lambda c: len(list_filter(w, lambda x: x = c))::DOUBLE / greatest(len(w), 1)) AS held
   FROM q JOIN u USING (lang) LEFT JOIN y USING (row)),
 z AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed, {_distance_sql("own", "classes")} AS cd,
-  {_distance_sql("list_append(held, 1 - coalesce(list_sum(held), 0))", "list_append(shares, 1 - coalesce(list_sum(shares), 0))")} AS wd FROM o),
-{_limit_sql("cd", CHARACTER_SPREADS, CHARACTER_SPREAD, "cl")},
-{_limit_sql("wd", WORD_SPREADS, WORD_SPREAD, "wl")}
+  {_distance_sql("list_append(held, 1 - coalesce(list_sum(held), 0))", "list_append(shares, 1 - coalesce(list_sum(shares), 0))")} AS wd,
+  {_distance_sql("list_append(list_transform(coalesce(common, []), lambda c: 0.0::DOUBLE), 1.0::DOUBLE)", "list_append(shares, 1 - coalesce(list_sum(shares), 0))")} AS nd FROM o),
+{_quartile_sql("cd", "cl")},
+{_quartile_sql("wd", "wl")}
 SELECT doc_id, n_words, CAST(n - k4 AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT coalesce(n_words >= {GUARD} AND (cd > cl.top OR wd > wl.top), false) AS kept FROM z LEFT JOIN cl USING (lang) LEFT JOIN wl USING (lang)
+  NOT base_failed AND NOT coalesce(n_words >= {GUARD} AND (cd > cl.q3 + {CHARACTER_SPREADS} * greatest(cl.q3 - cl.q1, {CHARACTER_SPREAD}::DOUBLE)
+  OR wd > least(wl.q3 + {WORD_SPREADS} * greatest(wl.q3 - wl.q1, {WORD_SPREAD}::DOUBLE), greatest({OWN_SHARE}::DOUBLE * nd, wl.q3 + greatest(wl.q3 - wl.q1, {WORD_SPREAD}::DOUBLE)))), false) AS kept FROM z LEFT JOIN cl USING (lang) LEFT JOIN wl USING (lang)
 """

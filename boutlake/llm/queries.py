@@ -23,7 +23,6 @@ def queries() -> dict[str, Query]:
         "op3_secret_scan": _over(secret_scan.op3_secret_scan, "documents"),
         "op4_source_mixing": _over(mixing.op4_source_mixing, "documents"),
         "op5_quality_rules": _over(quality_rules.op5_quality_rules, "documents"),
-        "op5_quality_rules_own_limit": _over(quality_rules.op5_quality_rules_own_limit, "documents"),
         "op6_best_fit_packing": _over(packing.op6_best_fit_packing, "documents"),
         "op7_embedding_near_dedup": _over(embedding_dedup.op7_embedding_near_dedup, "embeddings"),
         "op8_line_dedup": _over(line_dedup.op8_line_dedup, "documents"),
