@@ -1,6 +1,6 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
-Each document draws the key -ln(u) / w, with u a hash of its id and w its quality weight, and documents
+Each document draws the key -ln(u) / w, with u a hash of its id and text and w its quality weight, and documents
 of a source are taken in key order until their sizes reach the source's budget of words. A budget beyond
 the source's size takes complete epochs first and then a fraction in key order; the last document of the
 fraction is taken for as many words as are left.
@@ -14,7 +14,7 @@ once and never shuffled. Rows that repeat a source, id and text are one group wi
 they do not crowd a bucket.
 
 A null text has size 0, like one without words, and a very long one is read whole; null sources are one
-source, last in order; a null id hashes like the word null; ids keep their type. Repeated rows are documents
+source, last in order; a null id counts as the word null beside the text; ids keep their type. Repeated rows are documents
 of their own. Ties in the key go by doc_id and the text's hash. A weight that is null or not above zero
 counts as the least positive one, so its documents come last. One row a source passes through one task, which
 places them and levels their targets; repeats are put in order among themselves by a window. Extra columns, whatever their names, are left
@@ -68,7 +68,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 def _mixed_groups(docs: DataFrame, weights: tuple[int, ...], share: float, most: int, quality: Column | None, seed: str) -> DataFrame:
     """doc_id, text_key, source, size, source_size, target, repeats, copies (complete, of each) and extra (words of further ones, of all repeats together)."""
-    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("double")
+    # Drawn by id and text, so that many texts under one id, or none, do not draw alike.
+    drawn = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
+    drawn = F.conv(F.substring(drawn, 1, 13), 16, 10).cast("double")
     u = (drawn + 1.0) / float(1 << 52)
     weight = letter_share(F.col("text")) if quality is None else F.greatest(F.coalesce(quality.cast("double"), F.lit(0.0)), F.lit(LEAST_WEIGHT))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
@@ -138,7 +140,7 @@ def op4_source_mixing(documents: DataFrame) -> DataFrame:
 
 OP4_SQL = """
 WITH d AS (SELECT doc_id, source, text, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-  -ln((CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 1.0::DOUBLE) / 4503599627370496.0::DOUBLE)
+  -ln((CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))), 1, 13) AS BIGINT) + 1.0::DOUBLE) / 4503599627370496.0::DOUBLE)
   / (0.05::DOUBLE + length(regexp_replace(coalesce(text, ''), '[^\\p{L}]+', '', 'g'))::DOUBLE / greatest(length(coalesce(text, '')), 1)) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][(place - 1) % 3 + 1] AS weight, 2 * source_size AS cap FROM s),
