@@ -11,7 +11,9 @@ task, not once a document. What is shuffled is about ten bytes a window, and the
 for the join with their intervals.
 
 Rows of one doc_id and text are one document; a null text has no words; a row without doc_id is neither
-smaller nor larger than any other, keeps all words and removes none. Extra columns are left out.
+smaller nor larger than any other, keeps all words and removes none. Whole numbers are ids as they are; ids of
+any other type with an order, texts too, are numbered in that order first and come back as they were. Very
+long texts are taken whole, and an empty table gives an empty result. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
-from boutlake.llm.common import Words, binary_texts, mixed, planned_parts, slices, spans_hashed
+from boutlake.llm.common import Words, binary_texts, materialize, mixed, planned_parts, slices, spans_hashed
+from boutlake.operators.ordered import with_ids
 
 SIZE = 50
 #: Windows that a task holds before it resolves and sends them.
@@ -154,11 +158,11 @@ def _decide(size: int):
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, buckets: int | None = None) -> DataFrame:
-    """doc_id, text_key, begin, end: word ranges that windows of smaller documents also hold.
+    """doc_id (long), text_key, begin, end: word ranges that windows of smaller documents also hold.
 
     Ranges of a document may touch or overlap; text_key is xxhash64 of the text.
     """
-    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     buckets = buckets or max(planned_parts(rows, BUCKET_BYTES), 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +200,7 @@ def dedup_substrings(docs: DataFrame, size: int = SIZE, buckets: int | None = No
         squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             texts = pa.array([squeeze.compress(x) for x in binary_texts(batch["text"])], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], texts], ["doc_id", "text_key", "packed"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["number"], batch["text_key"], texts], ["doc_id", "number", "text_key", "packed"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,12 +210,28 @@ def dedup_substrings(docs: DataFrame, size: int = SIZE, buckets: int | None = No
             kept, n, gone = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    spans = repeated_spans(docs, size, buckets).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(pack, "doc_id long, text_key long, packed binary")
-    return rows.join(spans, ["doc_id", "text_key"], "left").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
+    numbered = _numbered(docs)
+    spans = repeated_spans(numbered, size, buckets).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    own = "own_id" if "own_id" in numbered.columns else "doc_id"
+    kind = numbered.schema[own].dataType.simpleString()
+    rows = numbered.select(F.col("doc_id").alias("number"), F.xxhash64("text").alias("text_key"), F.col(own).alias("doc_id"), "text").mapInArrow(pack, f"doc_id {kind}, number long, text_key long, packed binary")
+    spans = spans.withColumnRenamed("doc_id", "number")
+    return rows.join(spans, ["number", "text_key"], "left").mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept string")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """doc_id as a long, and text; ids of another type are numbered in their order and stay as own_id."""
+    rows = docs.select("doc_id", "text")
+    if isinstance(docs.schema["doc_id"].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    ids = with_ids(materialize(rows.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("own_id")).distinct(), "ids"), ["own_id"])
+    ids = materialize(ids, "numbers")
+    rows = rows.withColumnRenamed("doc_id", "own_id").join(ids.withColumnRenamed("own_id", "of"), F.col("own_id") == F.col("of"), "left")
+    return rows.select(F.col("id").cast("long").alias("doc_id"), "own_id", "text")
 
 
 def op2_substring_dedup(documents: DataFrame) -> DataFrame:
+    """Words, words removed and digest of what is left of every document; nulls, ties and repeats as in the module."""
     return dedup_substrings(documents).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
