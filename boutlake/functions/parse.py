@@ -20,6 +20,7 @@ PARTICLES_1 = ("de", "da", "del", "der", "di", "du", "van", "von", "la", "le", r
 # Signs of a win without a bout.
 FORFEIT_PLAIN = (" forfeit", " for.", " fft", "injury default")
 FORFEIT_WORDS = r"\bmff\b|\bmed(?:ical)?\s*for(?:feit)?\b|\binj\.?\s*def\.?(?:\b|\s|\)|$)|\b(?:dq|disqualification)\b"
+FORFEIT_STRICT = r"\b(?:for\.|fft|forfeit)\b|\b(?:mff|med(?:ical)?\s*for(?:feit)?)\b|\b(?:inj\.?\s*def\.?|injury\s*default)\b|\b(?:dq|disqualification)\b"
 SUFFIX = r"\s*,?\s*(?:Jr\.?|Sr\.?|II|III|IV|V|VI)\s*$"
 OVER = " over "
 
@@ -72,22 +73,30 @@ def with_bout(df: DataFrame, strict: bool = False) -> DataFrame:
     """df (raw_details, wrestler_name, wrestler_team) with round, result, score, sides, flags and outcome.
 
     Precedence: bye, exhibition (U), tie, forfeit by an unknown opponent (W), then the side on which the
-    athlete alone is named; all else is U. Every row but byes and exhibitions counts in the record.
+    athlete alone is named; all else is U. Every row but byes and exhibitions counts in the record. strict
+    takes whole words for signs, full names for sides around " over " or " def.", and varsity only where a
+    line's first segment begins with it.
     """
     df = df.withColumn("line", one_line(F.col("raw_details")))
     line, low = F.col("line"), F.lower("line")
-    bye = low.rlike(r"\bbye\b") if strict else low.rlike(r"\breceived a bye\b") | low.contains(" bye")
-    tie = low.rlike(r"\b(?:tie|draw)\b") if strict else low.contains(" tie") | low.contains(" draw")
-    forfeit = low.rlike(FORFEIT_WORDS)
-    for plain in FORFEIT_PLAIN:
-        forfeit = forfeit | low.contains(plain)
+    if strict:
+        bye, tie, exhibition, varsity = (low.rlike(p) for p in (r"\bbye\b", r"\b(?:tie|draw)\b", r"\bexhibition\b", r"^varsity\b.* - "))
+        forfeit = low.rlike(FORFEIT_STRICT)
+        who = F.lower(F.coalesce("wrestler_name", F.lit("")))
+        at = F.when(F.instr(low, OVER) > 0, F.instr(low, OVER)).otherwise(F.instr(low, " def."))
+        sides = [F.coalesce((at > 0) & part.contains(who), F.lit(False)) for part in (F.substr(low, F.lit(1), at - 1), F.substr(low, at))]
+    else:
+        bye = low.rlike(r"\breceived a bye\b") | low.contains(" bye")
+        tie = low.contains(" tie") | low.contains(" draw")
+        exhibition, varsity, forfeit = low.contains("exhibition"), low.contains("varsity"), low.rlike(FORFEIT_WORDS)
+        for plain in FORFEIT_PLAIN:
+            forfeit = forfeit | low.contains(plain)
+        sides = [mentions(_half(line, after), F.col("wrestler_name"), F.col("wrestler_team")) for after in (False, True)]
     no = lambda c: b2i(F.coalesce(c, F.lit(False)))
     df = df.withColumns({
-        "round": round_of(line), "result": result_of(line), "score_details": score_of(line),
-        "me_before": b2i(mentions(_half(line, False), F.col("wrestler_name"), F.col("wrestler_team"))),
-        "me_after": b2i(mentions(_half(line, True), F.col("wrestler_name"), F.col("wrestler_team"))),
-        "is_bye": no(bye), "is_exhibition": no(low.contains("exhibition")), "is_tie": no(tie),
-        "is_unknown_forfeit": no(low.rlike(r"\bover\s+unknown\s*\(\s*for\.\s*\)")), "is_forfeit": no(forfeit), "is_varsity": no(low.contains("varsity")),
+        "round": round_of(line), "result": result_of(line), "score_details": score_of(line), "me_before": b2i(sides[0]), "me_after": b2i(sides[1]),
+        "is_bye": no(bye), "is_exhibition": no(exhibition), "is_tie": no(tie),
+        "is_unknown_forfeit": no(low.rlike(r"\bover\s+unknown\s*\(\s*for\.\s*\)")), "is_forfeit": no(forfeit), "is_varsity": no(varsity),
     })
     side = F.when(F.col("me_before") > F.col("me_after"), "W").when(F.col("me_before") < F.col("me_after"), "L").otherwise("U")
     outcome = (

@@ -167,6 +167,17 @@ def cross_season_summary(athletes: DataFrame, seasons: tuple[str, str]) -> DataF
     return df.withColumn("one_to_one", b2i((F.col("n_ids_0") == 1) & (F.col("n_ids_1") == 1)))
 
 
+def carried_flags(summary: DataFrame, columns: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
+    """summary (ids_1, n_ids_0, n_ids_1, columns) → wrestler_id and columns of people with exactly one id in each season.
+
+    The id is the first of the later season's list. With required, those columns are not null either. Equal rows once.
+    """
+    rows = summary.where("n_ids_0 = 1 AND n_ids_1 = 1 AND ids_1 <> ''")
+    for c in required:
+        rows = rows.where(F.col(c).isNotNull())
+    return rows.select(F.substring_index("ids_1", ",", 1).try_cast("long").alias("wrestler_id"), *columns).distinct()
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 

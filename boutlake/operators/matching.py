@@ -50,33 +50,37 @@ def theta_pairs(left: DataFrame, right: DataFrame, left_on: str, right_on: str)
     return one.unionByName(_held(right, left, right_on, left_on)).distinct()
 
 
-def best_candidates(names: DataFrame, candidates: DataFrame, least: int = 4) -> DataFrame:
+def best_candidates(names: DataFrame, candidates: DataFrame, least: int = 4, same_weight: bool = False) -> DataFrame:
     """names (list_id, name, school) × candidates (candidate, other) → the best candidate of each name, and its score.
 
     Schools must hold one another; the part of a list's school before a comma counts. The last word of the
     name must be within the candidate, or both must sound alike. A point each: the first word is within the
     candidate, the last word is, both sound alike, either school holds the other (two if they are equal).
-    Weight plays no part: athletes change it. Ties go to the least candidate, then school. Names without a
+    Weight plays no part, for athletes change it, unless same_weight asks that a column weight of both be equal. Ties go to the least candidate, then school. Names without a
     match of least points are left out, as are null and blank names and schools.
 
     Distinct names meet distinct candidates by equality: of related schools and sound, and of related schools
     and a last word that the candidate holds.
     """
     a = names.withColumns({"name_norm": norm_name(F.col("name")), "school_norm": norm_name(F.substring_index("school", ",", 1))}).where("name_norm <> ''")
-    people = a.select("name_norm", "school_norm").distinct().withColumns({"last": last_of(F.col("name_norm"), " "), "sound": soundex_full("name_norm")})
-    b = candidates.select("candidate", "other", norm_name(F.col("candidate")).alias("c_norm"), norm_name(F.col("other")).alias("other_norm")).distinct()
-    related = people.join(theta_pairs(people, b, "school_norm", "other_norm"), "school_norm")
-    by_sound = related.join(b.withColumn("sound", soundex_full("c_norm")), ["other_norm", "sound"])
-    by_last = related.join(b.join(_held(b, people, "c_norm", "last"), "c_norm"), ["other_norm", "last"])
-    columns = ["name_norm", "school_norm", "last", "candidate", "other", "c_norm", "other_norm"]
+    weight = ["weight"] if same_weight else []
+    people = a.select("name_norm", "school_norm", *weight).distinct().withColumns({"last": last_of(F.col("name_norm"), " "), "sound": soundex_full("name_norm")})
+    b = candidates.select("candidate", "other", norm_name(F.col("candidate")).alias("c_norm"), norm_name(F.col("other")).alias("other_norm"), *weight).distinct()
+    schools = theta_pairs(people, b, "school_norm", "other_norm")
+    # Schools and sounds, schools and last words meet before names do: there are far fewer of them.
+    of_sound = people.select("school_norm", "sound", *weight).distinct().join(schools, "school_norm")
+    by_sound = people.join(of_sound.join(b.withColumn("sound", soundex_full("c_norm")), ["other_norm", "sound", *weight]), ["school_norm", "sound", *weight])
+    of_last = people.select("school_norm", "last", *weight).distinct().join(schools, "school_norm")
+    by_last = people.join(of_last.join(b.join(_held(b, people, "c_norm", "last"), "c_norm"), ["other_norm", "last", *weight]), ["school_norm", "last", *weight])
+    columns = ["name_norm", "school_norm", *weight, "last", "candidate", "other", "c_norm", "other_norm"]
     pairs = by_sound.select(columns).unionByName(by_last.select(columns))
     points = [
         F.col("c_norm").contains(F.substring_index("name_norm", " ", 1)), F.col("c_norm").contains(F.col("last")), soundex_full("name_norm") == soundex_full("c_norm"),
         F.col("other_norm").contains(F.col("school_norm")), F.col("school_norm").contains(F.col("other_norm")),
     ]
     pairs = pairs.withColumn("score", sum((b2i(x) for x in points), F.lit(0))).where(F.col("score") >= least)
-    best = pairs.groupBy("name_norm", "school_norm").agg(F.min(F.struct((-F.col("score")).alias("s"), "candidate", "other")).alias("best"))
-    return a.join(best, ["name_norm", "school_norm"]).select("list_id", "name", "best.candidate", (-F.col("best.s")).alias("score"))
+    best = pairs.groupBy("name_norm", "school_norm", *weight).agg(F.min(F.struct((-F.col("score")).alias("s"), "candidate", "other")).alias("best"))
+    return a.join(best, ["name_norm", "school_norm", *weight]).select("list_id", "name", "best.candidate", (-F.col("best.s")).alias("score"))
 
 
 def name_fixes(found: DataFrame, manual: DataFrame | None = None) -> DataFrame:

@@ -86,7 +86,8 @@ def elo_summary(rated: DataFrame, pool: Sequence[str] = ("season",)) -> DataFram
     theirs = rated.select(*pool, "bout_no", F.col("opponent_id").alias("wrestler_id"), F.col("o_before").alias("before"), F.col("o_after").alias("after"), F.col("r_before").alias("other"))
     df = mine.unionByName(theirs).groupBy(*pool, "wrestler_id").agg(
         F.count("*").alias("bouts"), F.min_by("before", "bout_no").alias("first"), F.max_by("after", "bout_no").alias("last"),
-        F.round(F.avg("other"), 6).alias("schedule"), F.round(F.regr_slope("after", "bout_no"), 6).alias("slope"))
+        # Ratings have three places, so their sum in thousandths is exact whatever its order.
+        F.round(F.sum(F.round(F.col("other") * 1000).cast("long")) / F.count("*") / 1000, 6).alias("schedule"), F.round(F.regr_slope("after", "bout_no"), 6).alias("slope"))
     return df.withColumn("delta", F.round(F.col("last") - F.col("first"), 3))
 
 

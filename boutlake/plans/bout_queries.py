@@ -257,6 +257,24 @@ def elo_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings.composite(ratings.elo_summary(_rated(spark, sf_dir)), "last", "delta", "schedule", ["season"])
 
 
+_K = "24.0::DOUBLE * (1 + 0.5::DOUBLE * percent_rank() OVER (PARTITION BY season ORDER BY start)) * CASE WHEN lower(coalesce(round, '')) LIKE '%final%' THEN 1.25::DOUBLE WHEN lower(coalesce(round, '')) LIKE '%semi%' THEN 1.15::DOUBLE WHEN lower(coalesce(round, '')) LIKE '%quarter%' THEN 1.1::DOUBLE WHEN lower(coalesce(round, '')) LIKE '%consol%' THEN 1.05::DOUBLE ELSE 1.0::DOUBLE END"
+#: Each step of the recursion is a season's next bout, with the ratings of all its athletes as one list.
+_FOLDED = f"""RECURSIVE b AS (SELECT season, id, wrestler_id + 1 AS w, opponent_id + 1 AS o, CASE outcome WHEN 'W' THEN 1 ELSE 0 END AS won, row_number() OVER (PARTITION BY season ORDER BY start, id) AS bout_no, round({_K}, 3) AS k
+  FROM ({BOUTS_SQL}) WHERE outcome IN ('W', 'L') AND wrestler_id <> opponent_id),
+f AS (SELECT season, 0::BIGINT AS bout_no, 0::BIGINT AS id, 0::BIGINT AS w, 0::BIGINT AS o, 0.0::DOUBLE AS r_before, 0.0::DOUBLE AS o_before, 0.0::DOUBLE AS r_after, 0.0::DOUBLE AS o_after, list_transform(range((SELECT greatest(max(w), max(o)) FROM b)), lambda x: 1500.0::DOUBLE) AS r FROM b GROUP BY season
+  UNION ALL SELECT season, bout_no, id, w, o, r_before, o_before, r_after, o_after, list_concat(r[:least(w, o) - 1], [CASE WHEN w < o THEN r_after ELSE o_after END], r[least(w, o) + 1:greatest(w, o) - 1], [CASE WHEN w < o THEN o_after ELSE r_after END], r[greatest(w, o) + 1:])
+  FROM (SELECT *, round(r_before + change, 3) AS r_after, round(o_before - change, 3) AS o_after FROM (SELECT b.season, b.bout_no, b.id, b.w, b.o, f.r, f.r[b.w] AS r_before, f.r[b.o] AS o_before, b.k * (b.won - 1 / (1 + pow(10, (f.r[b.o] - f.r[b.w]) / 400))) AS change FROM f JOIN b ON b.season = f.season AND b.bout_no = f.bout_no + 1)))"""
+ELO_RATINGS = f"WITH {_FOLDED} SELECT season, bout_no, id, r_before, o_before, r_after, o_after FROM f WHERE bout_no > 0"
+ELO_SUMMARY = f"""
+WITH {_FOLDED}, s AS (SELECT season, bout_no, w - 1 AS wrestler_id, r_before AS before, r_after AS after, o_before AS other FROM f WHERE bout_no > 0 UNION ALL SELECT season, bout_no, o - 1, o_before, o_after, r_before FROM f WHERE bout_no > 0),
+g AS (SELECT season, wrestler_id, count(*) AS bouts, arg_min(before, bout_no) AS first, arg_max(after, bout_no) AS last, round(sum(CAST(round(other * 1000) AS BIGINT)) / count(*) / 1000, 6) AS schedule, round(regr_slope(after, bout_no), 6) AS slope FROM s GROUP BY ALL),
+d AS (SELECT *, round(last - first, 3) AS delta FROM g),
+z AS (SELECT *, avg(delta) OVER p AS da, stddev_pop(delta) OVER p AS ds, avg(schedule) OVER p AS sa, stddev_pop(schedule) OVER p AS ss FROM d WINDOW p AS (PARTITION BY season))
+SELECT season, wrestler_id, bouts, first, last, schedule, slope, delta, round(0.7::DOUBLE * last + 0.2::DOUBLE * CASE WHEN ds > 0 THEN (delta - da) / ds ELSE 0 END + 0.1::DOUBLE * CASE WHEN ss > 0 THEN (schedule - sa) / ss ELSE 0 END, 6) AS score FROM z
+"""
+TOP_RATINGS = f"SELECT * FROM ({ELO_SUMMARY}) ORDER BY score DESC, season, wrestler_id LIMIT 25"
+
+
 def top_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return elo_summary(spark, sf_dir).orderBy(F.col("score").desc(), "season", "wrestler_id").limit(25)
 
@@ -331,20 +349,29 @@ SELECT id, CASE WHEN t IS NOT NULL THEN list_reduce(list_prepend(CAST(0 AS BIGIN
 
 
 def parse_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse.with_bout(bout_text(spark, sf_dir), strict=True).select("id", "is_bye", "is_tie")
+    return parse.with_bout(bout_text(spark, sf_dir), strict=True).select("id", "me_before", "me_after", "is_bye", "is_exhibition", "is_tie", "is_unknown_forfeit", "is_forfeit", "is_varsity", "outcome", "counts_in_record")
 
 
 PARSE_STRICT = rf"""
-WITH {_LINES}
-SELECT id, CASE WHEN regexp_matches(lower(l), '\bbye\b') THEN 1 ELSE 0 END AS is_bye, CASE WHEN regexp_matches(lower(l), '\b(?:tie|draw)\b') THEN 1 ELSE 0 END AS is_tie FROM x
+WITH {_LINES}, h AS (SELECT *, lower(l) AS w, lower(coalesce(wrestler_name, '')) AS me FROM x),
+k AS (SELECT *, CASE WHEN strpos(w, ' over ') > 0 THEN strpos(w, ' over ') ELSE strpos(w, ' def.') END AS token FROM h),
+s AS (SELECT *, CASE WHEN token > 0 THEN substr(w, 1, token - 1) END AS b, CASE WHEN token > 0 THEN substr(w, token) END AS a FROM k),
+f AS (SELECT id, CASE WHEN contains(b, me) THEN 1 ELSE 0 END AS me_before, CASE WHEN contains(a, me) THEN 1 ELSE 0 END AS me_after,
+  CASE WHEN regexp_matches(w, '\bbye\b') THEN 1 ELSE 0 END AS is_bye, CASE WHEN regexp_matches(w, '\bexhibition\b') THEN 1 ELSE 0 END AS is_exhibition,
+  CASE WHEN regexp_matches(w, '\b(?:tie|draw)\b') THEN 1 ELSE 0 END AS is_tie, CASE WHEN regexp_matches(w, '\bover\s+unknown\s*\(\s*for\.\s*\)') THEN 1 ELSE 0 END AS is_unknown_forfeit,
+  CASE WHEN regexp_matches(w, '\b(?:for\.|fft|forfeit)\b|\b(?:mff|med(?:ical)?\s*for(?:feit)?)\b|\b(?:inj\.?\s*def\.?|injury\s*default)\b|\b(?:dq|disqualification)\b') THEN 1 ELSE 0 END AS is_forfeit,
+  CASE WHEN regexp_matches(w, '^varsity\b.* - ') THEN 1 ELSE 0 END AS is_varsity FROM s)
+SELECT *, CASE WHEN is_bye = 1 THEN 'bye' WHEN is_exhibition = 1 THEN 'U' WHEN is_tie = 1 THEN 'T' WHEN is_unknown_forfeit = 1 THEN 'W'
+  WHEN me_before > me_after THEN 'W' WHEN me_before < me_after THEN 'L' ELSE 'U' END AS outcome, 1 - greatest(is_bye, is_exhibition) AS counts_in_record FROM f
 """
 
+
 QUERIES = {
     "running_record": (running_record, RUNNING_RECORD), "final_match_flags": (final_match_flags, FINAL_MATCH_FLAGS), "parse_round": (parse_round, PARSE_ROUND),
     "parse_result_score": (parse_result_score, PARSE_RESULT_SCORE), "parse_sides_outcome": (parse_sides_outcome, PARSE_SIDES_OUTCOME), "parse_names": (parse_names, PARSE_NAMES),
     "opponent_resolution": (opponent_resolution, OPPONENT_RESOLUTION), "winner": (winner, WINNER), "priority_argmax": (priority_argmax, PRIORITY_ARGMAX),
     "pair_head_to_head": (pair_head_to_head, PAIR_HEAD_TO_HEAD), "finalist_pairs": (finalist_pairs, FINALIST_PAIRS), "percent_rank_k": (percent_rank_k, PERCENT_RANK_K),
-    "elo_ratings": (elo_ratings, None), "elo_summary": (elo_summary, None), "top_ratings": (top_ratings, None), "regr_slope": (regr_slope, REGR_SLOPE),
+    "elo_ratings": (elo_ratings, ELO_RATINGS), "elo_summary": (elo_summary, ELO_SUMMARY), "top_ratings": (top_ratings, TOP_RATINGS), "regr_slope": (regr_slope, REGR_SLOPE),
     "bout_index": (bout_index, BOUT_INDEX), "parse_strict": (parse_strict, PARSE_STRICT),
     "match_order_backfill": (match_order_backfill, MATCH_ORDER_BACKFILL), "soundex_match": (soundex_match, SOUNDEX_MATCH), "fuzzy_best_match": (fuzzy_best_match, FUZZY_BEST_MATCH),
     "finalist_report": (finalist_report, FINALIST_REPORT),

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boutlake.operators import matching
+from boutlake.operators import enrich, matching
 from boutlake.operators.rankings import ranking_entries, with_latest_week
 from boutlake.plans.adapters import read
-from boutlake.sources import pages
+from boutlake.plans.bout_queries import _sound
+from boutlake.sources import pages, readers
 
 
 def lag_lead_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,8 +189,55 @@ l AS (SELECT page_id, unnest(found) AS link, unnest(range(1, len(found) + 1)) AS
 SELECT page_id, CAST(i AS INT) AS link_index, regexp_extract(link, 'href="([^"]*)"', 1) AS href, trim(regexp_extract(link, '>([^<]*)<', 1)) AS text FROM l
 """
 
+def bout_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as rows of athletes' pages of one season each, and back."""
+    row = """concat('<tr><td>', date_format(ts, 'MM/dd/yyyy'), '</td><td>Open&nbsp; ', event_type, '</td><td>120</td><td>Final - <a href="/p?wrestlerId=', user_id, '">Me</a> (N) over <a href="/p?x=1&amp;wrestlerId=', user_id * 7 + event_id, '">You</a></td></tr>')"""
+    rows = read(spark, sf_dir, "events").selectExpr("user_id", "event_id div 200 AS page", "event_id", f"{row} AS row")
+    made = rows.groupBy("user_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "row"))), lambda r: r["row"]), "").alias("rows"))
+    made = made.select(F.col("user_id").alias("wrestler_id"), F.concat(F.lit("<tr><th>Date</th><th>Event</th><th>Weight</th><th>Result</th></tr><tr><td colspan=4>head</td></tr>"), "rows").alias("html"))
+    return readers.bout_rows(made)
+
+
+BOUT_PAGES = """
+SELECT user_id AS wrestler_id, CAST(row_number() OVER (PARTITION BY user_id, event_id // 200 ORDER BY event_id) AS INT) AS match_order, strftime(ts, '%m/%d/%Y') AS date_raw, 'Open ' || event_type AS event, '120' AS weight_category,
+  'Final - Me (N) over You' AS raw_details, CASE WHEN user_id * 7 + event_id <> user_id THEN user_id * 7 + event_id END AS opponent_id FROM events
+"""
+
+
+def carry_one_to_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as people, their orders as ids of two seasons; flags of the first for those with one id in each."""
+    df = read(spark, sf_dir, "orders").selectExpr("o_custkey AS name", "'T' AS team", "CASE WHEN o_orderstatus = 'F' THEN '2025' ELSE '2026' END AS season", "o_orderkey % 4 AS wrestler_id", "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 > 0 THEN o_orderpriority END AS place")
+    flags = df.groupBy("name").agg(F.max("place").alias("place"))
+    return enrich.carried_flags(enrich.cross_season_summary(df, ("2025", "2026")).join(flags, "name"), ["name", "place"], ["place"])
+
+
+CARRY_ONE_TO_ONE = """
+WITH d AS (SELECT o_custkey AS name, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS s, o_orderkey % 4 AS w, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 > 0 THEN o_orderpriority END AS place FROM orders)
+SELECT max(w) FILTER (WHERE s = 1) AS wrestler_id, name, max(place) AS place FROM d GROUP BY name HAVING count(DISTINCT w) FILTER (WHERE s = 0) = 1 AND count(DISTINCT w) FILTER (WHERE s = 1) = 1 AND max(place) IS NOT NULL
+"""
+
+
+def fuzzy_same_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As fuzzy_best_match, of candidates of the same weight alone."""
+    part = read(spark, sf_dir, "part").withColumn("weight", F.expr("100 + p_size % 4"))
+    names = part.select(F.col("p_partkey").alias("list_id"), F.col("p_name").alias("name"), F.concat("p_type", F.lit(", CO")).alias("school"), "weight")
+    found = part.select(F.concat("p_name", F.lit("s")).alias("candidate"), F.expr("CASE WHEN p_size > 25 THEN concat(p_type, ' High') ELSE p_type END").alias("other"), "weight")
+    return matching.best_candidates(names, found, same_weight=True).withColumn("score", F.col("score").cast("long"))
+
+
+FUZZY_SAME_WEIGHT = f"""
+WITH r AS (SELECT DISTINCT p_name || 's' AS candidate, CASE WHEN p_size > 25 THEN p_type || ' High' ELSE p_type END AS other, 100 + p_size % 4 AS weight FROM part),
+rn AS (SELECT *, {_NORM.format("candidate")} AS rname, {_NORM.format("other")} AS rschool, {_sound(_NORM.format("candidate"))} AS rsound FROM r),
+n AS (SELECT DISTINCT p_name AS name, p_type || ', CO' AS school, 100 + p_size % 4 AS weight FROM part), ln AS (SELECT *, {_NORM.format("name")} AS lname, {_NORM.format("split_part(school, ',', 1)")} AS lschool, {_sound(_NORM.format("name"))} AS lsound FROM n),
+c AS (SELECT name, school, ln.weight, candidate, other, CAST(CAST(contains(rname, split_part(lname, ' ', 1)) AS INT) + CAST(contains(rname, split_part(lname, ' ', -1)) AS INT) + CAST(lsound = rsound AS INT) + CAST(contains(rschool, lschool) AS INT) + CAST(contains(lschool, rschool) AS INT) AS BIGINT) AS score
+  FROM ln JOIN rn ON ln.weight = rn.weight AND (contains(rschool, lschool) OR contains(lschool, rschool)) WHERE lsound = rsound OR contains(rname, split_part(lname, ' ', -1))),
+k AS (SELECT *, row_number() OVER (PARTITION BY name, school, weight ORDER BY score DESC, candidate, other) AS rank FROM c)
+SELECT p_partkey AS list_id, name, candidate, score FROM part JOIN k ON p_name = name AND school = p_type || ', CO' AND weight = 100 + p_size % 4 WHERE rank = 1 AND score >= 4
+"""
+
 QUERIES = {
     "lag_lead_alias": (lag_lead_alias, LAG_LEAD_ALIAS), "alias_pairs": (alias_pairs, ALIAS_PAIRS), "ranking_grammar": (ranking_grammar, RANKING_GRAMMAR), "latest_ranking": (latest_ranking, LATEST_RANKING),
     "name_difference": (name_difference, NAME_DIFFERENCE), "athlete_pages": (athlete_pages, ATHLETE_PAGES), "schedule_pages": (schedule_pages, SCHEDULE_PAGES),
     "expand_event_teams": (expand_event_teams, EXPAND_EVENT_TEAMS), "page_links": (page_links, PAGE_LINKS),
+    "bout_pages": (bout_pages, BOUT_PAGES), "carry_one_to_one": (carry_one_to_one, CARRY_ONE_TO_ONE), "fuzzy_same_weight": (fuzzy_same_weight, FUZZY_SAME_WEIGHT),
 }
