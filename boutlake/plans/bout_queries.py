@@ -267,7 +267,7 @@ f AS (SELECT season, 0::BIGINT AS bout_no, 0::BIGINT AS id, 0::BIGINT AS w, 0::B
 ELO_RATINGS = f"WITH {_FOLDED} SELECT season, bout_no, id, r_before, o_before, r_after, o_after FROM f WHERE bout_no > 0"
 ELO_SUMMARY = f"""
 WITH {_FOLDED}, s AS (SELECT season, bout_no, w - 1 AS wrestler_id, r_before AS before, r_after AS after, o_before AS other FROM f WHERE bout_no > 0 UNION ALL SELECT season, bout_no, o - 1, o_before, o_after, r_before FROM f WHERE bout_no > 0),
-g AS (SELECT season, wrestler_id, count(*) AS bouts, arg_min(before, bout_no) AS first, arg_max(after, bout_no) AS last, round(sum(CAST(round(other * 1000) AS BIGINT)) / count(*) / 1000, 6) AS schedule, round(regr_slope(after, bout_no), 6) AS slope FROM s GROUP BY ALL),
+g AS (SELECT season, wrestler_id, count(*) AS bouts, arg_min(before, bout_no) AS first, arg_max(after, bout_no) AS last, round(sum(CAST(round(other * 1000) AS BIGINT)) / count(*) / 1000, 6) AS schedule, CASE WHEN count(*) > 1 THEN round(regr_slope(after, bout_no), 6) END AS slope FROM s GROUP BY ALL),
 d AS (SELECT *, round(last - first, 3) AS delta FROM g),
 z AS (SELECT *, avg(delta) OVER p AS da, stddev_pop(delta) OVER p AS ds, avg(schedule) OVER p AS sa, stddev_pop(schedule) OVER p AS ss FROM d WINDOW p AS (PARTITION BY season))
 SELECT season, wrestler_id, bouts, first, last, schedule, slope, delta, round(0.7::DOUBLE * last + 0.2::DOUBLE * CASE WHEN ds > 0 THEN (delta - da) / ds ELSE 0 END + 0.1::DOUBLE * CASE WHEN ss > 0 THEN (schedule - sa) / ss ELSE 0 END, 6) AS score FROM z

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from boutlake.operators.reports import table_signature
 
 ROWS_PER_FILE = 50_000
+_MODE = threading.Lock()
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, gzip: bool = False, mode: str = "overwrite") -> None:
@@ -23,9 +25,15 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_table(df: DataFrame, name: str, partition: Sequence[str] = (), mode: str = "overwrite") -> None:
     """A Parquet table; with partitions, an overwrite of a table that exists replaces only those that df holds."""
     if partition and mode == "overwrite" and df.sparkSession.catalog.tableExists(name):
-        # insertInto takes columns by place; the option holds for this write alone.
-        spark = df.sparkSession
-        df.select(*spark.table(name).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+        # insertInto takes columns by place and its mode from the session, which gets its own back; one write at a time does so.
+        spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+        with _MODE:
+            before = spark.conf.get(key)
+            spark.conf.set(key, "dynamic")
+            try:
+                df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+            finally:
+                spark.conf.set(key, before)
         return
     writer = df.write.format("parquet").mode(mode)
     (writer.partitionBy(*partition) if partition else writer).saveAsTable(name)
