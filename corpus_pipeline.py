@@ -2,7 +2,9 @@
 
 Each stage takes what its predecessor kept, and its result is written as Parquet before the next
 reads it. Repeated rows stay rows of their own until the near-duplicate stage leaves one of each group;
-the mix may then repeat a document, and each repeat is packed. n_chars follows the text.
+the mix may then repeat a document, and each repeat is packed. n_chars follows the text. Very long texts are
+taken whole in every stage, an empty table passes through all of them, and columns beside those of documents
+are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,28 +28,41 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it learns from labels of rows that are not held out."""
+    """Documents that the classifier accepts; it learns from labels of rows that are not held out.
+
+    A null text is judged as an empty one; without labels every document scores 0.5 and stays.
+    """
     model = fit_quality(docs, table(spark, sf_dir, "labels").where(~held_out()))
     return model.accepted(docs, GOOD_AT)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of repeated three-line passages."""
+    """All documents, without later copies of repeated three-line passages.
+
+    Null and empty texts stay as they are, and so do rows without doc_id.
+    """
     return _counted(dedup_lines(docs, counts=False))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least id."""
+    """One document of each group of near-duplicates, the one with the least id.
+
+    Null and empty texts have one fingerprint and are one group; a row without doc_id
+    stays only where none of its group has one.
+    """
     return drop_near_duplicates(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; at most one a source is cut."""
+    """Documents as often as the mix takes them; at most one a source is cut.
+
+    Documents without words, null texts among them, have nothing to take; null sources are one source.
+    """
     return _counted(mixed_documents(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in their sequences."""
+    """The pieces of all documents in their sequences; a null or empty text would be the one piece of its end token."""
     import public_tokenizers
 
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
