@@ -73,6 +73,23 @@ def test_event_driven_athletes_of_a_state(spark):
     assert {r.wrestler_id for r in enrich.athletes_with_events(events, people).collect()} == {10, 11, 12}
 
 
+def test_flags_are_carried_one_to_one(spark):
+    rows = [("a", "T", "1", 5), ("a", "T", "2", 50), ("b", "T", "1", 6), ("b", "T", "2", 60), ("b", "T", "2", 61), ("c", "T", "1", 7), ("d", "T", "1", 8), ("d", "T", "2", 80)]
+    summary = enrich.cross_season_summary(spark.createDataFrame(rows, "name string, team string, season string, wrestler_id int"), ("1", "2"))
+    flags = spark.createDataFrame([("a", "1st"), ("b", "2nd"), ("c", "3rd"), ("d", None)], "name string, place string")
+    both = summary.join(flags, "name")
+    assert sorted(map(tuple, enrich.carried_flags(both, ["place"]).collect()), key=str) == [(50, "1st"), (80, None)]
+    assert [tuple(r) for r in enrich.carried_flags(both, ["place"], ["place"]).collect()] == [(50, "1st")]
+
+
+def test_candidates_of_one_weight(spark):
+    names = spark.createDataFrame([(1, "Ann Lee", "North, CO", 106), (2, "Ann Lee", "North, CO", 113), (3, "Ann Lee", "North, CO", None)], "list_id int, name string, school string, weight int")
+    found = spark.createDataFrame([("Ann Leah", "North", 106), ("Anne Lee", "North High", 113)], "candidate string, other string, weight int")
+    got = matching.best_candidates(names, found, 3, same_weight=True).collect()
+    assert {(r.list_id, r.candidate) for r in got} == {(1, "Ann Leah"), (2, "Anne Lee")}
+    assert {r.candidate for r in matching.best_candidates(names, found, 3).collect()} == {"Ann Leah"}
+
+
 def test_elo(spark):
     b = spark.createDataFrame([("s", 1, 1, 10, 20, 1, 24.0), ("s", 2, 2, 20, 30, 0, 30.0), ("t", 1, 3, 10, 20, 0, 24.0)], "season string, bout_no long, id long, wrestler_id long, opponent_id long, won int, k double")
     got = {r["id"]: r for r in ratings.elo(b).collect()}

@@ -59,6 +59,18 @@ def test_list_names_and_records(spark):
     assert [tuple(r) for r in rows] == [("Ann", "Lee", 12, 3, 0.8), (None, "Ann", None, None, None), (None, None, 0, 0, None)]
 
 
+def test_strict_outcomes(spark):
+    """Whole words for signs, full names for sides, also around "def."."""
+    lines = {
+        "Varsity - Final - Ann Lee (North) over Bo Ray (South) (Dec 5-2)": ("W", 1, 1), "Final - Bo Ray (South) def. Ann Lee (North) (Fall)": ("L", 1, 0), "Final - Lee (North) over Bo Ray (South)": ("U", 1, 0),
+        "Final - Ann Lee over Byers (Tieman)": ("W", 1, 0), "Ann Lee received a bye": ("bye", 0, 0), "Ann Lee and Bo Ray wrestled to a draw": ("T", 1, 0), "Exhibition - Ann Lee over Bo": ("U", 0, 0),
+        "JV - Varsity - Ann Lee over Unknown (For.)": ("W", 1, 0), "Ann Lee vs. Bo Ray": ("U", 1, 0), "varsity": ("U", 1, 0), None: ("U", 1, 0)}
+    df = spark.createDataFrame([(x, "Ann Lee", "North, CO") for x in lines], "raw_details string, wrestler_name string, wrestler_team string")
+    assert {r.raw_details: (r.outcome, r.counts_in_record, r.is_varsity) for r in parse.with_bout(df, strict=True).collect()} == lines
+    nameless = spark.createDataFrame([("Final - A over B", None, "North"), ("Final - North over B", None, "North, CO")], df.schema)
+    assert {(r.me_before, r.outcome) for r in parse.with_bout(nameless).collect()} == {(0, "U")}
+
+
 @pytest.mark.parametrize(("text", "start", "end"), [("12/05/2025", "2025-12-05", "2025-12-05"), ("12/05 - 12/06/2025", "2025-12-05", "2025-12-06"), ("1/2/25 - 1/3/26", "2025-01-02", "2026-01-03"), ("3/5-7/2025", "2025-03-05", "2025-03-07"), ("02/30/2025", None, None), ("", None, None), (None, None, None)])
 def test_dates(spark, text, start, end):
     df = spark.createDataFrame([(text,)], "t string")
