@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boutlake.functions import compat
+from boutlake.operators import enrich
 from boutlake.plans.adapters import read
 from boutlake.plans.table_queries import NOW, UPSERT_CHANGED_ONLY, _source, _target
+from boutlake.sources import readers, writers
 from boutlake.sources.export import export_csv, read_export
 from boutlake.sources.shared import shared_path
 from boutlake.sources.store import Store
@@ -84,7 +86,59 @@ SELECT o_orderkey, format('{:,.1f}', CAST(o_totalprice AS DOUBLE)) AS price, str
   strftime(CAST(o_orderdate AS TIMESTAMP), '%y.') || month(o_orderdate) || '.' || day(o_orderdate) AS short, CAST(dayofweek(CAST(o_orderdate AS TIMESTAMP)) + 1 AS INT) AS weekday FROM orders
 """
 
+def csv_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all customers written as CSV, blank ones among them, and read as a list; with the number of rows written."""
+    path = shared_path(spark, "links")
+    df = read(spark, sf_dir, "customer").selectExpr("c_custkey", "CASE WHEN c_custkey % 9 = 0 THEN '  ' WHEN c_custkey % 7 > 0 THEN concat(' http://x/', c_name, '?a=\"', c_nationkey, '\" ') END AS name_link", "concat('a', chr(10), c_mktsegment) AS note")
+    writers.write_csv(df, path)
+    return readers.read_links(spark, path, "NAME_LINK").withColumn("n_rows", F.lit(readers.count_rows(spark, path)).cast("long"))
+
+
+CSV_LINKS = """SELECT concat('http://x/', c_name, '?a="', c_nationkey, '"') AS NAME_LINK, (SELECT count(*) FROM customer) AS n_rows FROM customer WHERE c_custkey % 9 <> 0 AND c_custkey % 7 > 0"""
+
+
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "orders-json")
+    writers.write_json(read(spark, sf_dir, "orders").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 4 > 0 THEN o_orderstatus END AS status", "concat('é\"', o_orderpriority) AS label"), path)
+    return spark.read.schema("o_orderkey long, status string, label string").json(path)
+
+
+JSON_ROUND_TRIP = """SELECT o_orderkey, CASE WHEN o_orderkey % 4 > 0 THEN o_orderstatus END AS status, concat('é"', o_orderpriority) AS label FROM orders"""
+
+
+def us_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates as M/D/YYYY, days that no month has, and other text."""
+    text = "CASE o_orderkey % 5 WHEN 0 THEN '2/30/2025' WHEN 1 THEN o_orderpriority WHEN 2 THEN NULL ELSE concat(month(o_orderdate), '/', day(o_orderdate), '/', year(o_orderdate)) END"
+    return read(spark, sf_dir, "orders").select("o_orderkey", compat.us_date(F.expr(text)).cast("string").alias("day"))
+
+
+US_DATES = "SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 2 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day FROM orders"
+
+
+def plain_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = "CASE p_partkey % 4 WHEN 0 THEN concat(' JOSÉ', chr(160), ' ', p_name) WHEN 1 THEN concat('Ñandú ', upper(p_name)) WHEN 2 THEN NULL ELSE concat('Ǻçé  ', p_name) END"
+    return read(spark, sf_dir, "part").select("p_partkey", compat.norm_key(F.expr(name)).alias("plain"))
+
+
+PLAIN_NAMES = "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN concat('jose ', lower(p_name)) WHEN 1 THEN concat('nandu ', lower(p_name)) WHEN 2 THEN NULL ELSE concat('ace ', lower(p_name)) END AS plain FROM part"
+
+
+def state_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of teams of one state with an event, by the team's id or by its name."""
+    events = read(spark, sf_dir, "events").selectExpr("'s' AS season", "'c' AS category", "CASE WHEN event_id % 2 = 0 THEN user_id END AS team_id", f"{_TEAM_OF.format('user_id')} AS team_name")
+    people = read(spark, sf_dir, "customer").selectExpr("'s' AS season", "'c' AS category", "c_custkey AS wrestler_id", "CAST(c_nationkey AS BIGINT) AS team_id", f"{_TEAM_OF.format('c_custkey')} AS team")
+    return enrich.athletes_with_events(events, people, state="CO").select("wrestler_id", "team_id", "team")
+
+
+_TEAM_OF = "concat('Team ', {0}, CASE WHEN {0} % 3 = 0 THEN ', WY' ELSE ', CO' END)"
+STATE_SCAN = f"""
+WITH e AS (SELECT DISTINCT CASE WHEN event_id % 2 = 0 THEN user_id END AS team_id, {_TEAM_OF.format("user_id")} AS team_name FROM events WHERE user_id % 3 <> 0),
+p AS (SELECT c_custkey AS wrestler_id, CAST(c_nationkey AS BIGINT) AS team_id, {_TEAM_OF.format("c_custkey")} AS team FROM customer)
+SELECT DISTINCT p.* FROM p JOIN e ON e.team_id = p.team_id OR (e.team_id IS NULL AND e.team_name = p.team)
+"""
+
 QUERIES = {
     "store_merge": (store_merge, STORE_MERGE), "store_sync": (store_sync, STORE_SYNC), "store_page": (store_page, STORE_PAGE), "csv_round_trip": (csv_round_trip, CSV_ROUND_TRIP),
     "name_keys": (name_keys, NAME_KEYS), "formatted_values": (formatted_values, FORMATTED_VALUES),
+    "csv_links": (csv_links, CSV_LINKS), "json_round_trip": (json_round_trip, JSON_ROUND_TRIP), "us_dates": (us_dates, US_DATES), "plain_names": (plain_names, PLAIN_NAMES), "state_scan": (state_scan, STATE_SCAN),
 }
