@@ -9,10 +9,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boutlake.operators.groups import connected_groups
+
 # How much more a round counts; the first text that a round holds decides.
 ROUND_FACTORS = (("final", 1.25), ("semi", 1.15), ("quarter", 1.10), ("consol", 1.05))
 START = Decimal("1500.000")
 STEP = Decimal("0.001")
+#: Bouts of a pool beyond which its connected groups are folded apart.
+SPLIT_ABOVE = 1_000_000
 RATED = "bout_no long, id long, wrestler_id long, opponent_id long, k double, r_before double, o_before double, r_after double, o_after double"
 
 
@@ -55,29 +59,39 @@ def rate(b: tuple, rating: dict[int, Decimal]) -> tuple:
     return (b.bout_no, b.id, b.wrestler_id, b.opponent_id, b.k, float(a), float(o), float(a2), float(o2))
 
 
-def elo(bouts: DataFrame, pool: Sequence[str] = ("season",)) -> DataFrame:
+def elo(bouts: DataFrame, pool: Sequence[str] = ("season",), split_above: int = SPLIT_ABOVE) -> DataFrame:
     """bouts (pool, bout_no, id, wrestler_id, opponent_id, won 0/1, k) → ratings around each bout.
 
-    Each bout depends on those before it, so a pool is folded by one task, in sorted batches: it holds
-    one rating an athlete, never the pool's bouts. Pools that share no athlete may be split further.
+    Each bout depends on those before it of either athlete. Pools of at most split_above bouts are folded by one task
+    each; in larger ones each group of athletes whom bouts connect is, for groups do not touch one another. A task
+    reads sorted batches: it holds one rating an athlete, never the bouts.
     """
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in bouts.schema.fields if f.name in pool)
+    kinds = {f.name: f"{f.name} {f.dataType.simpleString()}" for f in bouts.schema.fields if f.name in pool}
     names = [*pool, *(x.split()[0] for x in RATED.split(", "))]
+    rows = bouts.select(*pool, "bout_no", "id", "wrestler_id", "opponent_id", "won", "k")
+    large = rows.groupBy(*pool).agg(F.count("*").alias("__n")).where(F.col("__n") > split_above)
+    if large.limit(1).count():
+        side = lambda c: F.struct(*pool, F.col(c).cast("long").alias("athlete"))
+        links = rows.join(large, list(pool), "left_semi").select(side("wrestler_id").alias("a"), side("opponent_id").alias("b"))
+        groups = connected_groups(links).select(F.col("key").alias("__key"), F.col("key_group.athlete").alias("__group"))
+        rows = rows.join(groups, side("wrestler_id") == F.col("__key"), "left").drop("__key")
+    else:
+        rows = rows.withColumn("__group", F.lit(None).cast("long"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, rating = None, {}
         for part in parts:
-            rows = []
-            for b in part.itertuples(index=False):
-                key = tuple(getattr(b, p) for p in pool)
+            out = []
+            group = part["__group"].fillna(-1).astype("int64")
+            for b, g in zip(part.drop(columns="__group").itertuples(index=False), group, strict=True):
+                key = (*(getattr(b, p) for p in pool), g)
                 if key != now:
                     now, rating = key, {}
-                rows.append((*key, *rate(b, rating)))
-            yield pd.DataFrame(rows, columns=names)
+                out.append((*key[:-1], *rate(b, rating)))
+            yield pd.DataFrame(out, columns=names)
 
-    ordered = bouts.select(*pool, "bout_no", "id", "wrestler_id", "opponent_id", "won", "k").repartition(*pool).sortWithinPartitions(*pool, "bout_no")
-    fields = {x.split()[0]: x for x in kinds.split(", ")}
-    return ordered.mapInPandas(run, ", ".join([*(fields[p] for p in pool), RATED]))
+    ordered = rows.repartition(*pool, "__group").sortWithinPartitions(*pool, "__group", "bout_no")
+    return ordered.mapInPandas(run, ", ".join([*(kinds[p] for p in pool), RATED]))
 
 
 def elo_summary(rated: DataFrame, pool: Sequence[str] = ("season",)) -> DataFrame:

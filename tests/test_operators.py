@@ -1,10 +1,12 @@
 import io
+import random
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from boutlake.operators import enrich, matching, ratings, reports, tasks, upsert
+from boutlake.operators.groups import connected_groups
 from boutlake.sources import readers, writers
 from boutlake.streaming import refresh
 
@@ -101,6 +103,41 @@ def test_elo(spark):
     assert {r["score"] for r in z.collect()} == {0.7}
 
 
+def test_elo_of_groups_apart_is_that_of_the_whole_pool(spark):
+    r = random.Random(5)
+    rows = []
+    for n in range(300):
+        lo = r.choice([0, 10, 20, 30])  # athletes of four groups that never meet
+        a, b = r.sample(range(lo, lo + 8), 2)
+        rows.append((r.choice(["s", "t", None]), n, n, a, b, r.randrange(2), 24.0 + n % 5))
+    df = spark.createDataFrame(rows, "season string, bout_no long, id long, wrestler_id long, opponent_id int, won int, k double").where("season IS NOT NULL")
+    whole = ratings.elo(df, split_above=10_000)
+    apart = ratings.elo(df, split_above=20)
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_groups_are_what_links_connect(spark):
+    r = random.Random(3)
+    chain = [(f"c{i:03}", f"c{i + 1:03}") for i in range(60)]
+    star = [("s000", f"s{i:03}") for i in range(1, 50)]
+    mixed = [(f"m{r.randrange(40):03}", f"m{r.randrange(40):03}") for _ in range(35)]
+    links = chain + star + mixed + [("alone", "alone"), ("n", None)]
+    r.shuffle(links)
+    up = {x: x for pair in links if None not in pair for x in pair}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        if b is not None:
+            a, b = root(a), root(b)
+            up[max(a, b)] = min(a, b)
+    got = connected_groups(spark.createDataFrame(links, "a string, b string"))
+    assert {x.key: x.key_group for x in got.collect()} == {x: root(x) for x in up}
+
+
 def test_round_factor_tests_final_first(spark):
     f = lambda r: spark.range(1).select(ratings.round_factor(F.lit(r))).first()[0]
     assert [f("Semifinal"), f("Semis"), f("Cons. 2"), f("Consolation")] == [1.25, 1.15, 1.0, 1.05]
