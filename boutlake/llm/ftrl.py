@@ -14,10 +14,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boutlake.llm.common import BYTE_VALUES, Words, binary_texts, materialize, mixed, slices
+from boutlake.llm.common import BYTE_VALUES, SLICE_BYTES, Words, binary_texts, materialize, mixed, slices
 
 #: Left out of words for the "skip" kind, so that "word," is "word".
 MARKS = b".,;:!?\"'()[]{}*#$%&|<>-_"
@@ -78,8 +79,8 @@ class Model:
     def value(self, count: np.ndarray, n: np.ndarray) -> np.ndarray:
         return np.ones(len(count)) if self.kind == "skip" else np.sqrt(count / n)
 
-    def train(self, texts: list[bytes], labels: list[int]) -> tuple[np.ndarray, np.ndarray, float]:
-        """Feature numbers and weights other than zero, and the bias, after all epochs over these rows in turn."""
+    def prepared(self, texts: list[bytes], labels: list[int]) -> list[tuple[np.ndarray, np.ndarray | float, int]]:
+        """Feature numbers, their values and the label of each text."""
         rows = []
         for i, j in slices(texts):
             doc, at, n = self.features(texts[i:j])
@@ -89,6 +90,14 @@ class Model:
                 s = slice(ends[k], ends[k + 1])
                 x = 1.0 if self.kind == "skip" else self.value(counts[s], max(1, n[k])).astype(np.float32)
                 rows.append(((keys[s] & ((1 << self.bits) - 1)).astype(np.int32), x, labels[i + k]))
+        return rows
+
+    def train(self, texts: list[bytes], labels: list[int]) -> tuple[np.ndarray, np.ndarray, float]:
+        """Feature numbers and weights other than zero, and the bias, after all epochs over these rows in turn."""
+        return self.learned(self.prepared(texts, labels))
+
+    def learned(self, rows: list[tuple[np.ndarray, np.ndarray | float, int]]) -> tuple[np.ndarray, np.ndarray, float]:
+        """As train, from prepared rows."""
         size = 1 << self.bits
         z, sq, bias_z, bias_sq = np.zeros(size + 1), np.zeros(size + 1), 0.0, 0.0
 
@@ -136,8 +145,15 @@ class Model:
         bias = 1 << self.bits  # the coordinate after the features'
 
         def fit(t: pa.Table) -> pa.Table:
-            t = t.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
-            at, w, b = self.train(binary_texts(t["text"].combine_chunks()), t["y"].to_pylist())
+            # Texts are copied a slice at a time.
+            order = pa.compute.sort_indices(t, [("place", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
+            bytes_each = pa.compute.binary_length(t["text"].cast(pa.binary())).to_numpy()[order.to_numpy()]
+            slice_of = np.cumsum(bytes_each) // SLICE_BYTES
+            rows = []
+            for k in np.unique(slice_of):
+                part = t.select(["text", "y"]).take(order.filter(pa.array(slice_of == k)))
+                rows += self.prepared(binary_texts(part["text"].combine_chunks()), part["y"].to_pylist())
+            at, w, b = self.learned(rows)
             return pa.table({"at": np.append(at, [bias, bias + 1]), "weight": np.append(w, [b, 1.0])})
 
         # Sums of whole numbers are the same in any order. At most 2 ** bits rows, few of them other than zero.

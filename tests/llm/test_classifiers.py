@@ -53,10 +53,10 @@ def counted(path):
     """A model whose tasks leave files with the number of rows that they train on."""
 
     class Counted(Model):
-        def train(self, texts, labels):
+        def learned(self, rows):
             with open(f"{path}/{os.getpid()}-{random.getrandbits(60)}", "w") as f:
-                f.write(str(len(texts)))
-            return Model.train(self, texts, labels)
+                f.write(str(len(rows)))
+            return Model.learned(self, rows)
 
     return Counted
 
