@@ -7,7 +7,9 @@ all, so a tile meets only tiles within that distance; all other pairs are skippe
 tiles is compared whole, with exclusive-or and bit counts in numpy, and yields links that span its
 components rather than every link. No candidate is capped, and equal fingerprints are one node.
 
-Names of tiles are paired first and dealt evenly over tasks; only then do fingerprints follow.
+Names of tiles are paired first and dealt evenly over tasks; only then do fingerprints follow. Work grows with the
+square of the distinct fingerprints: of random ones one pair in 25 is compared, so a million make 2.0e10
+comparisons and a hundred million 2.0e14.
 
 Null and empty texts have fingerprint zero and link like any other; very long texts are read whole. Rows
 without doc_id take their group's component, which is null where no row of the group has an id. doc_id may
