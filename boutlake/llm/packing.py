@@ -6,8 +6,9 @@ longest remaining length is completed again and again: undominated fillings of t
 enumerated and tried depth first, sequence after sequence. Best-fit-decreasing is the first incumbent; a
 branch whose waste adds up to more than a better solution may have is cut, and so is one that comes back
 to pieces already seen. The search ends at a lower bound, which proves the result, or after ``NODES``
-nodes, ``FILLING_NODES`` for each list of fillings, of which ``KEPT`` are tried: then the best solution so
-far stands, never worse than best fit. These limits bound the driver's time whatever the corpus.
+nodes without a better solution, ``FILLING_NODES`` for each list of fillings, of which ``KEPT`` are tried. Sequences with
+waste are then searched again by themselves with higher limits, and the best solution so far stands, never
+worse than best fit. These limits bound the driver's time whatever the corpus.
 
 The plan, a bounded table of lengths, ranks and places, is joined to the pieces by rank within length.
 Ranks have two levels, so a length that most pieces share is spread over tasks.
@@ -36,10 +37,15 @@ from boutlake.llm.common import binary_texts, materialize
 
 CAPACITY = 2048
 END = 0
-#: Nodes of the search over sequences, and of each search for fillings; fillings kept of each.
-NODES = 20_000
-FILLING_NODES = 500
-KEPT = 8
+#: Nodes of the search over all sequences without a better solution, nodes of each search for fillings, and fillings kept of each.
+NODES = 3_000
+FILLING_NODES = 60
+KEPT = 3
+#: The same for the searches over sequences with waste, and how many of these follow one another.
+REST_NODES = 1_000
+REST_FILLING_NODES = 200
+REST_KEPT = 4
+RESTS = 6
 RANKED = 50_000
 #: How byte-level files split a text before they merge.
 SPLIT = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -217,13 +223,13 @@ def fillings(room: int, left: np.ndarray, most_waste: int, free: int = 0, nodes:
     return [(after, items) for _, _, after, items in found]
 
 
-def complete_bins(counts: dict[int, int], capacity: int, best: Plan, bound: int, nodes: int) -> Plan:
+def complete_bins(counts: dict[int, int], capacity: int, best: Plan, bound: int, nodes: int, filling_nodes: int = FILLING_NODES, kept: int = KEPT) -> Plan:
     """The best plan of a depth-first search over sequences that starts with best as incumbent.
 
     Each node fills the longest piece left, by its undominated fillings in turn, each as often as the
     counts and the waste allow, then each once. A branch ends where its waste so far, or the pieces
     longer than half a sequence, rule out fewer sequences than the incumbent's, or where the same pieces
-    were left after no more sequences. The search ends at the bound or after so many nodes.
+    were left after no more sequences. The search ends at the bound, or after so many nodes without a better plan.
     """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
@@ -243,7 +249,7 @@ def complete_bins(counts: dict[int, int], capacity: int, best: Plan, bound: int,
             return []
         seen[state] = used
         left[longest] -= 1
-        ways = fillings(capacity - longest, left, spare, spare // max(1, fewest - 1 - used))
+        ways = fillings(capacity - longest, left, spare, spare // max(1, fewest - 1 - used), filling_nodes, kept)
         left[longest] += 1
         out = []
         for lost, items in ways:
@@ -253,7 +259,8 @@ def complete_bins(counts: dict[int, int], capacity: int, best: Plan, bound: int,
         return [*out, *((p, 1, lost) for p, n, lost in out if n > 1)]
 
     frames = [iter(choices())] if total else []
-    while frames and nodes and fewest > bound:
+    since = 0
+    while frames and since < nodes and fewest > bound:
         step = next(frames[-1], None)
         # The incumbent may have improved since these choices were listed.
         if step is not None and waste + step[1] * step[2] > (fewest - 1) * capacity - total:
@@ -267,7 +274,7 @@ def complete_bins(counts: dict[int, int], capacity: int, best: Plan, bound: int,
                 for x, k in pattern:
                     left[x] += n * k
             continue
-        nodes -= 1
+        since += 1
         pattern, n, lost = step
         for x, k in pattern:
             left[x] -= n * k
@@ -276,16 +283,40 @@ def complete_bins(counts: dict[int, int], capacity: int, best: Plan, bound: int,
         if left.any():
             frames.append(iter(choices()))
         else:
-            best, fewest = list(path), used
+            best, fewest, since = list(path), used, 0
             frames.append(iter(()))
     return best
 
 
-def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
-    """How to fill as few sequences as found: patterns of lengths, and how many sequences follow each."""
+def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, rest_nodes: int = REST_NODES) -> Plan:
+    """How to fill as few sequences as found: patterns of lengths, and how many sequences follow each.
+
+    A quick search completes all sequences; those that it fills without waste are then kept, and slower ones go
+    over the others, beside as many full ones with the shortest pieces, as long as that saves a sequence.
+    """
     best, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
     if sum(n for _, n in best) > bound:
         best = complete_bins(counts, capacity, best, bound, nodes)
+    for _ in range(RESTS):
+        fewest = sum(n for _, n in best)
+        if fewest == bound:
+            break
+        full = [(p, n) for p, n in best if sum(x * k for x, k in p) == capacity]
+        rest = [(p, n) for p, n in best if sum(x * k for x, k in p) < capacity]
+        some = sum(n for _, n in rest)
+        for p, n in sorted(full, key=lambda s: (s[0][-1][0], s)):
+            if some:
+                full.remove((p, n))
+                full += [(p, n - some)] if n > some else []
+                rest.append((p, min(n, some)))
+                some -= min(n, some)
+        left: Counter[int] = Counter()
+        for p, n in rest:
+            left.update({x: k * n for x, k in p})
+        found = complete_bins(left, capacity, rest, lower_bound(left, capacity), rest_nodes, REST_FILLING_NODES, REST_KEPT)
+        if sum(n for _, n in full) + sum(n for _, n in found) == fewest:
+            break
+        best = full + found
     return best
 
 

@@ -191,6 +191,21 @@ def tokenizer():
     return path, lambda text: t.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_plans_hold_all_pieces_and_no_more_sequences_than_best_fit(seed):
+    r = random.Random(seed)
+    capacity = r.choice([60, 256, 2048])
+    counts = Counter(min(capacity, 1 + int(r.expovariate(1 / (capacity * r.choice([0.1, 0.3, 0.5]))))) for _ in range(r.choice([50, 900, 5000])))
+    counts = Counter({x: n * r.choice([1, 40]) for x, n in counts.items()})
+    plan = packing.pack_lengths(counts, capacity, nodes=300, rest_nodes=60)
+    held = Counter()
+    for pattern, n in plan:
+        assert sum(x * k for x, k in pattern) <= capacity
+        held.update({x: k * n for x, k in pattern})
+    assert held == counts
+    assert packing.lower_bound(counts, capacity) <= sum(n for _, n in plan) <= sum(n for _, n in packing.best_fit(counts, capacity))
+
+
 def test_packing(docs, tokenizer):
     path, encode = tokenizer
     got = packing.pack_documents(docs, path).collect()
