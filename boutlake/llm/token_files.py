@@ -45,7 +45,7 @@ FILE_BYTES = 64 << 20
 #: Blocks that a reader decodes at a time.
 READ_BLOCKS = 1024
 #: Distinct pieces, and ids of them, whose encoding a task remembers.
-CACHED_PIECES, CACHED_IDS = 1 << 17, 1 << 20
+CACHED_PIECES, CACHED_IDS = 1 << 18, 1 << 21
 _GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 #: Fixed value: how the word-end vocabulary's file splits a text. No match holds white space.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -69,6 +69,19 @@ def splits_at_gaps(spec: dict) -> bool:
     )
 
 
+class _Numbers(dict):
+    """A number for each key, given out when it is first asked for; new holds the keys since it was last emptied."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        self.new.append(key)
+        return number
+
+
 class Encoder:
     """Ids of texts by a file of the tokenizers library; strings of special tokens are ordinary text.
 
@@ -80,7 +93,7 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -91,10 +104,15 @@ class Encoder:
             vocab, suffix = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+            # Pieces are in lower case and split already, so the same model takes them between spaces.
+            self.plain = Tokenizer.from_file(path)
+            self.plain.encode_special_tokens = True
+            self.plain.normalizer = normalizers.Sequence([])
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.flat, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
@@ -104,21 +122,28 @@ class Encoder:
         """Adds the ids of pieces, and of words after a line feed."""
         alone = [x for x in new if x[0] == "\n"]
         plain = [x for x in new if x[0] != "\n"]
-        ids = self._encoded([" ".join(plain)])[0]
+        ids = np.array(self.plain.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(self.ends[ids]) + 1
         parts = self._encoded(alone) if alone else []
-        self.number.update(zip(plain + alone, range(len(self.number), len(self.number) + len(new)), strict=True))
-        self.flat = np.concatenate([self.flat, ids, *parts])
-        self.size = np.concatenate([self.size, np.diff(ends, prepend=0), np.array([len(x) for x in parts], np.int64)])
+        size = np.concatenate([np.diff(ends, prepend=0), np.array([len(x) for x in parts], np.int64)])
+        if alone:  # back in the order of new
+            is_alone = np.array([x[0] == "\n" for x in new])
+            order = np.argsort(np.concatenate([np.flatnonzero(~is_alone), np.flatnonzero(is_alone)]))
+            flat = np.concatenate([ids, *parts])
+            first = (np.cumsum(size) - size)[order]
+            size = size[order]
+            ids = flat[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        self.flat, self.size = np.concatenate([self.flat, ids]), np.concatenate([self.size, size])
         self.first = np.cumsum(self.size) - self.size
 
     def _looked_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces, one after the other, and how many each has."""
         if len(self.number) > CACHED_PIECES or len(self.flat) > CACHED_IDS:
             self._forget()
-        if new := [x for x in dict.fromkeys(pieces) if x not in self.number]:
-            self._learn(new)
         which = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        if new := self.number.new:
+            self._learn(new)
+            self.number.new = []
         size = self.size[which]
         skip = self.first[which] - (np.cumsum(size) - size)
         return self.flat[np.repeat(skip, size) + np.arange(size.sum())], size
