@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, isqrt
+from math import ceil
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,17 +30,18 @@ def cuts_of(df: DataFrame, order: Sequence[str], rows_each: int = RANGE_ROWS) ->
 
 
 def range_of(df: DataFrame, order: Sequence[str], cuts: Sequence[tuple]) -> DataFrame:
-    """df with __range: how many of the cuts are not above the row's key. A key is compared with about 2 * sqrt(len(cuts)) of them."""
+    """df with __range: how many of the cuts are not above the row's key. A key is compared with about log2(len(cuts)) of them.
+
+    The cuts are one value of the plan, a scalar subquery: rows of a join with them would each copy them all.
+    """
     if not cuts:
         return df.withColumn("__range", F.lit(0))
-    key, width = F.struct(*order), isqrt(len(cuts)) + 1
-    groups = [list(cuts[i : i + width]) for i in range(0, len(cuts), width)]
     element = f"struct<{','.join(f'`{c}`:{df.schema[c].dataType.simpleString()}' for c in order)}>"
-    table = df.sparkSession.createDataFrame([([g[0] for g in groups], groups)], f"__heads array<{element}>, __groups array<array<{element}>>")
-    # One row.
-    both = df.join(F.broadcast(table), F.lit(True), "left").withColumn("__g", F.size(F.filter("__heads", lambda c: c <= key)))
-    inside = F.size(F.filter(F.get("__groups", F.col("__g") - 1), lambda c: c <= key))
-    return both.withColumn("__range", F.when(F.col("__g") == 0, 0).otherwise((F.col("__g") - 1) * width + inside)).drop("__heads", "__groups", "__g")
+    table = df.sparkSession.createDataFrame([(list(cuts),)], f"__cuts array<{element}>").scalar()
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))))
+    # The key is an element of an array, so that it is made once and not for each comparison; beyond the last cut there is null.
+    below = lambda key: F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get("__cuts", n + step - 1) <= key, n + step).otherwise(n))
+    return df.withColumn("__cuts", table).withColumn("__range", F.get(F.transform(F.array(F.struct(*order)), below), F.lit(0))).drop("__cuts")
 
 
 def with_ranges(df: DataFrame, order: Sequence[str], rows_each: int = RANGE_ROWS) -> DataFrame:

@@ -3,6 +3,7 @@
 import io
 import random
 import zipfile
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +29,20 @@ def test_ranges_rise_with_the_order_and_cut_frequent_values(keyed):
     assert max(ranges.count(x) for x in set(ranges)) < 80
 
 
+def test_rows_are_placed_without_copies_of_the_cuts(spark):
+    kind = "a double, b string, t timestamp, n int"
+    keys = [(x, s, datetime(2026, 1, 1, 0, 0, 0, m)) for x in (None, -1.5, 0.0, 2.0, float("inf"), float("nan")) for s in (None, "", "a", "b") for m in (1, 7)]
+    rows = [(*k, i) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows[::-1], kind).repartition(3)
+    for step in (1, 2, 5, 48):
+        cuts = keys[::step]
+        placed = ordered.range_of(df, ["a", "b", "t"], cuts)
+        assert "Join" not in placed._jdf.queryExecution().optimizedPlan().toString()  # each row of a join would hold all cuts
+        assert {r.n: r["__range"] for r in placed.collect()} == {i: i // step + 1 for i in range(len(keys))}
+    assert {r["__range"] for r in ordered.range_of(df, ["a", "b", "t"], [(3.0, "", keys[0][2])]).where("a < 9").collect()} == {0}
+    assert ordered.range_of(df, ["a"], [(0.0,), (0.0,), (2.0,)]).where("__range = 2").count() == 8
+
+
 def test_neighbours_across_ranges(keyed):
     df, rows = keyed
     for each in (7, 50, 1000):
