@@ -86,6 +86,15 @@ def test_a_sync_copies_the_ranges_that_differ(spark):
         store.sync(source.drop("n"))
 
 
+def test_a_sync_does_not_join_its_source_to_the_cuts(spark):
+    source = spark.range(3000).selectExpr("id AS k", "concat('v', id) AS v")
+    store = Store.create(source, shared_path(spark, "t"), ["k"], part_rows=100)
+    state = store.state()
+    placed = store._placed(store._bounded(source, state, [3, 4]), state).where(F.col("__part").isin([3, 4]))
+    assert len(state.cuts) > 20 and "Join" not in placed._jdf.queryExecution().optimizedPlan().toString()
+    assert placed.count() == state.parts[3].rows + state.parts[4].rows
+
+
 def test_a_sync_goes_on_where_it_stopped(spark, monkeypatch):
     source = spark.range(1000).selectExpr("id AS k", "id * 2 AS v")
     store = Store.create(source, shared_path(spark, "t"), ["k"], part_rows=100)
