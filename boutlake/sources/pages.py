@@ -1,4 +1,4 @@
-"""Web pages into typed rows: table functions called by lateral join, one page at a time.
+"""Web pages into typed rows: functions from a page to its rows, called on batches of pages.
 
 Python reads the markup alone; numbers, names, records, dates and events are made from its text by column
 expressions, so they are tested and optimised like any others.
@@ -6,13 +6,14 @@ expressions, so they are tested and optimised like any others.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
 from boutlake.functions.compat import b2i, date_range
+from boutlake.sources.markup import feed, rows_of
 
 # Classes of a grid's rows, and names under which links carry ids, in the order they are tried.
 ROW, OTHER_ROW = "dataGridRow", "dataGridAltRow"
@@ -71,8 +72,7 @@ class _Grid(HTMLParser):
 
 def _rows(markup: str | None, element: str, within: str | None = None) -> list[tuple[list[str], list[_Cell]]]:
     parser = _Grid(element, within)
-    parser.feed(markup or "")
-    parser.close()
+    feed(parser, markup)
     return parser.rows
 
 
@@ -97,50 +97,51 @@ class _Links(HTMLParser):
             self.found[-1][1] += data
 
 
-@udtf(returnType="row_index int, texts array<string>, links array<string>", useArrow=False)
-class athlete_cells:  # noqa: N801
-    """Texts and links of the divisions inside the cells of a list's rows."""
+def row_source(kind: str) -> Callable:
+    """Marks a function that gives rows with the columns of kind for one value; see lateral."""
 
-    def eval(self, html: str | None):
-        n = 0
-        for classes, cells in _rows(html, "div", "td"):
-            if ROW in classes:
-                n += 1
-                yield n, [c.text.strip() for c in cells], [c.href for c in cells]
+    def mark(found: Callable) -> Callable:
+        found.kind = kind
+        return found
 
+    return mark
 
-@udtf(returnType="row_index int, date_raw string, event_name string, event_js string", useArrow=False)
-class schedule_cells:  # noqa: N801
-    """Date, event and link of a schedule's rows of three cells or more; rows with neither date nor event count but are left out."""
 
-    def eval(self, html: str | None):
-        n = 0
-        for classes, cells in _rows(html, "td"):
-            if len(cells) < 3 or not (ROW in classes or OTHER_ROW in classes):
-                continue
+@row_source("row_index int, texts array<string>, links array<string>")
+def athlete_cells(html: str | None) -> Iterator[tuple]:
+    """Texts and links of the divisions inside the cells of a list's rows."""
+    n = 0
+    for classes, cells in _rows(html, "div", "td"):
+        if ROW in classes:
             n += 1
-            date, event = cells[1].text.strip(), (cells[2].label or cells[2].text).strip()
-            if date or event:
-                yield n, date, event, cells[2].href or ""
+            yield n, [c.text.strip() for c in cells], [c.href for c in cells]
 
 
-@udtf(returnType="link_index int, href string, text string, in_new_window boolean", useArrow=False)
-class page_links:  # noqa: N801
+@row_source("row_index int, date_raw string, event_name string, event_js string")
+def schedule_cells(html: str | None) -> Iterator[tuple]:
+    """Date, event and link of a schedule's rows of three cells or more; rows with neither date nor event count but are left out."""
+    n = 0
+    for classes, cells in _rows(html, "td"):
+        if len(cells) < 3 or not (ROW in classes or OTHER_ROW in classes):
+            continue
+        n += 1
+        date, event = cells[1].text.strip(), (cells[2].label or cells[2].text).strip()
+        if date or event:
+            yield n, date, event, cells[2].href or ""
+
+
+@row_source("link_index int, href string, text string, in_new_window boolean")
+def page_links(html: str | None) -> Iterator[tuple]:
     """Every link of a page in order, with its text."""
-
-    def eval(self, html: str | None):
-        parser = _Links()
-        parser.feed(html or "")
-        parser.close()
-        for i, (href, text, new) in enumerate(parser.found, 1):
-            yield i, href, " ".join(text.split()), new
+    parser = _Links()
+    feed(parser, html)
+    for i, (href, text, new) in enumerate(parser.found, 1):
+        yield i, href, " ".join(text.split()), new
 
 
-def lateral(pages: DataFrame, rows, html: str = "html") -> DataFrame:
-    """pages without html, joined to the rows that a table function makes of each page's html."""
-    kept = [c for c in pages.columns if c != html]
-    both = pages.lateralJoin(rows(F.col(html).outer()))
-    return both.drop(html).select(*kept, *(c for c in both.columns if c not in pages.columns))
+def lateral(pages: DataFrame, rows: Callable, html: str = "html") -> DataFrame:
+    """pages without html, once for each of the rows that a row_source gives for the page's html."""
+    return rows_of(pages, html, rows, rows.kind)
 
 
 def link_number(link: Column, names: tuple[str, ...]) -> Column:
