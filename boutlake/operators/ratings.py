@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from decimal import ROUND_HALF_UP, Decimal
+from math import floor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,8 @@ from boutlake.operators.groups import connected_groups
 
 # How much more a round counts; the first text that a round holds decides.
 ROUND_FACTORS = (("final", 1.25), ("semi", 1.15), ("quarter", 1.10), ("consol", 1.05))
-START = Decimal("1500.000")
+#: A first rating, in thousandths.
+START = 1_500_000
 STEP = Decimal("0.001")
 #: Bouts of a pool beyond which its connected groups are folded apart.
 SPLIT_ABOVE = 1_000_000
@@ -49,14 +51,21 @@ def with_k(bouts: DataFrame, base: float = 24.0, late: float = 0.5, pool: Sequen
     return df.select(*bouts.columns, "bout_no", "k")
 
 
-def rate(b: tuple, rating: dict[int, Decimal]) -> tuple:
-    """A bout's row with ratings before and after, kept to three places after each bout."""
-    a, o = rating.get(b.wrestler_id, START), rating.get(b.opponent_id, START)
-    expected = 1 / (1 + 10 ** (float(o - a) / 400))
-    change = Decimal(repr(b.k * (b.won - expected)))
-    a2, o2 = ((x).quantize(STEP, ROUND_HALF_UP) for x in (a + change, o - change))
-    rating[b.wrestler_id], rating[b.opponent_id] = a2, o2
-    return (b.bout_no, b.id, b.wrestler_id, b.opponent_id, b.k, float(a), float(o), float(a2), float(o2))
+def moved(points: int, change: float) -> int:
+    """Thousandths after a change, as the decimals of its shortest text round: to the nearest, halves away from zero."""
+    x = change * 1000
+    whole = floor(x + 0.5)
+    if abs(x - whole) < 0.499999:  # far from a half, so that the float's own error plays no part
+        return points + whole
+    return int(((Decimal(points) / 1000 + Decimal(repr(change))).quantize(STEP, ROUND_HALF_UP)) * 1000)
+
+
+def rate(athlete: int, other: int, k: float, won: int, rating: dict[int, int]) -> tuple[float, float, float, float]:
+    """Ratings of both before and after a bout; they are kept in whole thousandths after each."""
+    a, o = rating.get(athlete, START), rating.get(other, START)
+    change = k * (won - 1 / (1 + 10 ** ((o - a) / 1000 / 400)))
+    rating[athlete], rating[other] = a2, o2 = moved(a, change), moved(o, -change)
+    return a / 1000, o / 1000, a2 / 1000, o2 / 1000
 
 
 def elo(bouts: DataFrame, pool: Sequence[str] = ("season",), split_above: int = SPLIT_ABOVE) -> DataFrame:
@@ -78,17 +87,18 @@ def elo(bouts: DataFrame, pool: Sequence[str] = ("season",), split_above: int =
     else:
         rows = rows.withColumn("__group", F.lit(None).cast("long"))
 
+    kept = [*pool, "bout_no", "id", "wrestler_id", "opponent_id", "k"]
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, rating = None, {}
         for part in parts:
+            keys = zip(*(part[p] for p in pool), part["__group"].fillna(-1).astype("int64"), strict=True)
             out = []
-            group = part["__group"].fillna(-1).astype("int64")
-            for b, g in zip(part.drop(columns="__group").itertuples(index=False), group, strict=True):
-                key = (*(getattr(b, p) for p in pool), g)
+            for key, *bout in zip(keys, *(part[c].tolist() for c in ("wrestler_id", "opponent_id", "k", "won")), strict=True):
                 if key != now:
                     now, rating = key, {}
-                out.append((*key[:-1], *rate(b, rating)))
-            yield pd.DataFrame(out, columns=names)
+                out.append(rate(*bout, rating))
+            yield pd.concat([part[kept].reset_index(drop=True), pd.DataFrame(out, columns=names[len(kept) :], dtype="float64")], axis=1)
 
     ordered = rows.repartition(*pool, "__group").sortWithinPartitions(*pool, "__group", "bout_no")
     return ordered.mapInPandas(run, ", ".join([*(kinds[p] for p in pool), RATED]))

@@ -1,6 +1,7 @@
 import io
 import random
 import zipfile
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -276,3 +277,11 @@ def test_partition_overwrite_keeps_the_other_partitions(spark):
         assert sorted((r["season"], r["id"]) for r in spark.table(name).collect()) == [("a", 3), ("a", 4), ("b", 2)]
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_ratings_round_as_decimals_do():
+    r = random.Random(9)
+    for _ in range(20_000):
+        points, change = r.randrange(-3000, 3_000_000), r.choice([r.uniform(-45, 45), r.randrange(-90_000, 90_000) / 2000, r.randrange(-90, 90) / 2000])
+        wanted = (Decimal(points) / 1000 + Decimal(repr(change))).quantize(Decimal("0.001"), ROUND_HALF_UP)
+        assert ratings.moved(points, change) == int(wanted * 1000)
