@@ -3,7 +3,9 @@
 import random
 from html.parser import HTMLParser
 
-from boutlake.sources import markup, readers
+import pyarrow as pa
+
+from boutlake.sources import markup, pages, readers
 
 PIECES = ["<tr>", "</tr>", "<TD class='x y'>", "</td >", '<a href="/p?a=1&amp;wrestlerId=5">', "<a href='/t?x=1&teamId=3&copy=2&notit;' target=\"_blank\">", "</a>", " text ", "&nbsp;", "&amp", "&#65", "&", "&lt;b&gt;"]
 PIECES += ["<br/>", "<div  id=3 hidden>", "x > y", "\n", "é ", "<td colspan=4>", "<td a=\"\" A='q&quot;'>", "&copyx", "<hr a=b/>"]
@@ -39,6 +41,19 @@ def test_plain_markup_gives_the_events_of_a_parser():
     assert plain > 1000
 
 
+def test_rows_leave_a_task_in_small_batches(spark, monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array(["x", "y"])], ["k", "html"])
+    schema = pa.schema([("k", pa.int64()), ("n", pa.int32())])
+    monkeypatch.setattr(markup, "ROWS_AT_ONCE", 3)
+    made = list(markup._made(batch, [0, 0, 1, 1, 1, 1, 1], [(i,) for i in range(7)], schema))
+    assert [b.num_rows for b in made] == [3, 3, 1] and [x for b in made for x in b["k"].to_pylist()] == [7, 7, 8, 8, 8, 8, 8]
+    html = "<table>" + "<tr><td>a</td><td><a href='/p?i=1'>b</a></td></tr>" * 9000 + "</table>"
+    rows = readers.grid_rows(spark.createDataFrame([(1, html), (2, None), (3, "<tr><td>z")], "page_id int, html string")).collect()
+    assert [r.row_index for r in rows if r.page_id == 1] == list(range(1, 9001)) and len(rows) == 9000
+    links = pages.lateral(spark.createDataFrame([(None, "u", "<a href='x'>1</a>"), (2, None, None)], "page_id int, u string, html string"), pages.page_links)
+    assert list(map(tuple, links.collect())) == [(None, "u", 1, "x", "1", False)]
+
+
 def test_numbers_of_links():
     links = ["/p?id=5", "http://x.y/p?a=1&amp;id=6", "/p?i%64=7", "/p?id=+8", "/p?id=&id=9#id=10"]
     assert [readers.link_id([x], "id", 5) for x in links] == [None, 6, 7, None, 9] and readers.link_id(links, "id") == 5
