@@ -57,3 +57,10 @@ def test_rows_leave_a_task_in_small_batches(spark, monkeypatch):
 def test_numbers_of_links():
     links = ["/p?id=5", "http://x.y/p?a=1&amp;id=6", "/p?i%64=7", "/p?id=+8", "/p?id=&id=9#id=10"]
     assert [readers.link_id([x], "id", 5) for x in links] == [None, 6, 7, None, 9] and readers.link_id(links, "id") == 5
+
+
+def test_schedules_and_lists_of_teams_are_read_in_batches(spark):
+    one = spark.createDataFrame([("j", "<a target='_blank' href='/t?teamId=4'>T</a>")], "event_js string, html string")
+    for df in (pages.schedule_rows(one), pages.event_teams(one)):
+        assert "MapInArrow" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert pages.event_teams(one).first().teams[0].team_id == 4
