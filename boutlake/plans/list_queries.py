@@ -145,7 +145,7 @@ def schedule_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", team.alias("li")))), lambda r: r["li"]), "").alias("html"))
     lists = lists.select(F.concat(F.lit("javascript:openEvent("), "l_orderkey", F.lit(")")).alias("event_js"), "html")
     teams = pages.schedule_teams(pages.schedule_rows(made))
-    found = pages.classify_events(pages.expand_teams(teams, pages.event_teams(lists)), ["page_id"])
+    found = pages.classify_events(pages.expand_teams(teams, pages.event_teams(lists), ["page_id"]), ["page_id"])
     return found.withColumns({c: F.col(c).cast("string") for c in ("start_date", "end_date")})
 
 

@@ -6,14 +6,14 @@ expressions, so they are tested and optimised like any others.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boutlake.functions.compat import b2i, date_range
-from boutlake.sources.markup import feed, rows_of
+from boutlake.sources.markup import feed, plain_links, rows_of
 
 # Classes of a grid's rows, and names under which links carry ids, in the order they are tried.
 ROW, OTHER_ROW = "dataGridRow", "dataGridAltRow"
@@ -23,6 +23,9 @@ TEAM_IDS = ("teamId", "teamID", "teamid", "clubId", "clubID", "organizationId",
 PARTICLES = ("van", "von", "de", "da", "del", "der", "di", "du", "la", "le")
 SUFFIX = r"(?i)(?:,?\s+(?:Jr\.?|Sr\.?|II|III|IV|V|VI))$"
 
+#: Parts into which rows without a key of a join are dealt.
+APART = 1024
+
 
 class _Cell:
     """Text of an element, and target and text of the first link in it."""
@@ -77,7 +80,7 @@ def _rows(markup: str | None, element: str, within: str | None = None) -> list[t
 
 
 class _Links(HTMLParser):
-    """Target, text and window of every link."""
+    """Attributes and text of every link."""
 
     def __init__(self) -> None:
         super().__init__()
@@ -86,7 +89,7 @@ class _Links(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "a":
-            self.found.append([dict(attrs).get("href") or "", "", dict(attrs).get("target") == "_blank"])
+            self.found.append([dict(attrs), ""])
             self.inside = True
 
     def handle_endtag(self, tag: str) -> None:
@@ -97,6 +100,15 @@ class _Links(HTMLParser):
             self.found[-1][1] += data
 
 
+def _links(markup: str | None) -> Iterable[Sequence]:
+    found = plain_links(markup)
+    if found is None:
+        parser = _Links()
+        feed(parser, markup)
+        found = parser.found
+    return found
+
+
 def row_source(kind: str) -> Callable:
     """Marks a function that gives rows with the columns of kind for one value; see lateral."""
 
@@ -133,10 +145,16 @@ def schedule_cells(html: str | None) -> Iterator[tuple]:
 @row_source("link_index int, href string, text string, in_new_window boolean")
 def page_links(html: str | None) -> Iterator[tuple]:
     """Every link of a page in order, with its text."""
-    parser = _Links()
-    feed(parser, html)
-    for i, (href, text, new) in enumerate(parser.found, 1):
-        yield i, href, " ".join(text.split()), new
+    for i, (attributes, text) in enumerate(_links(html), 1):
+        yield i, attributes.get("href") or "", " ".join(text.split()), attributes.get("target") == "_blank"
+
+
+@row_source("indexes array<int>, texts array<string>, links array<string>")
+def team_links(html: str | None) -> Iterator[tuple]:
+    """Places, texts and targets of the links of a list of teams, those that open a window and carry a teamId, in one row a page."""
+    found = [(i, text, href) for i, href, text, new in page_links(html) if new and "teamId=" in href]
+    if found:
+        yield tuple(map(list, zip(*found, strict=True)))
 
 
 def lateral(pages: DataFrame, rows: Callable, html: str = "html") -> DataFrame:
@@ -197,11 +215,11 @@ def schedule_rows(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def event_teams(popups: DataFrame, html: str = "html") -> DataFrame:
     """popups (event_js, html) → event_js and its teams in order: the links that open a window and carry a teamId."""
-    links = lateral(popups.select("event_js", F.col(html).alias("__html")), page_links, "__html")
-    links = links.where(F.col("in_new_window") & F.col("href").contains("teamId="))
-    team = F.struct("link_index", F.col("text").alias("team_name_raw"), F.regexp_extract("href", r"(?i)teamId=(\d+)", 1).try_cast("long").alias("team_id"))
+    links = lateral(popups.select("event_js", F.col(html).alias("__html")), team_links, "__html")
+    number = lambda link: F.regexp_extract(link, r"(?i)teamId=(\d+)", 1).try_cast("long")
+    teams = F.transform(F.arrays_zip("indexes", "texts", "links"), lambda t: F.struct(t["indexes"].alias("link_index"), t["texts"].alias("team_name_raw"), number(t["links"]).alias("team_id")))
     # A popup's links, once for an event whatever the number of its rows.
-    return links.groupBy("event_js").agg(F.array_sort(F.collect_set(team)).alias("teams"))
+    return links.groupBy("event_js").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(teams)))).alias("teams"))
 
 
 def schedule_teams(events: DataFrame) -> DataFrame:
@@ -227,16 +245,19 @@ def schedule_teams(events: DataFrame) -> DataFrame:
     return rows.select(*events.columns, "event_key", "__t.*", "event_team_count", "event_type")
 
 
-def expand_teams(rows: DataFrame, teams: DataFrame) -> DataFrame:
+def expand_teams(rows: DataFrame, teams: DataFrame, page: Sequence[str] = ()) -> DataFrame:
     """rows of schedule_teams, those whose link opens a list of teams replaced by a row for each team of it.
 
     teams: event_js, teams (array of team_name_raw, team_id) as event_teams gives them. Names with "@" stay, and so do
-    events whose list is unknown or empty. Role and score stay; two teams make a dual.
+    events whose list is unknown or empty. Role and score stay; two teams make a dual. page: the columns that tell
+    pages apart, by which rows that open no list are dealt to tasks; without them it is by all columns.
     """
     js = F.col("event_js")
     opens = ~F.col("event_name").contains("@") & js.startswith("javascript:") & js.contains("openEvent")
     known = teams.where(F.size("teams") > 0).select(F.col("event_js").alias("__js"), F.col("teams").alias("__teams"))
-    both = rows.join(known, opens & (js == F.col("__js")), "left")
+    # Rows that open no list meet none; by their own links, which most lack, all of them would go to one task.
+    apart = F.pmod(F.xxhash64(*(page or [c for c, kind in rows.dtypes if "map<" not in kind])), F.lit(APART)).cast("string")
+    both = rows.withColumn("__key", F.when(opens, js).otherwise(apart)).join(known, opens & (F.col("__key") == F.col("__js")), "left").drop("__key")
     both = both.select("*", F.posexplode_outer("__teams").alias("__i", "__t"))
     listed, n = F.col("__js").isNotNull(), F.size("__teams")
     return both.withColumns({

@@ -4,6 +4,7 @@ import random
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from boutlake.sources import markup, pages, readers
 
@@ -64,3 +65,31 @@ def test_schedules_and_lists_of_teams_are_read_in_batches(spark):
     for df in (pages.schedule_rows(one), pages.event_teams(one)):
         assert "MapInArrow" in df._jdf.queryExecution().optimizedPlan().toString()
     assert pages.event_teams(one).first().teams[0].team_id == 4
+
+
+def test_links_of_plain_markup_are_those_of_a_parser(monkeypatch):
+    r, pieces = random.Random(4), [*PIECES, "<a href=x />", "<A HREF='1' href=\"2\">", "</A >", "<b>", "</b>", "<abbr>", "&am", "p;", "<a>", "<a target=_blank href='?teamId=7'>"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randrange(14))) for _ in range(4000)]
+    found = [(list(pages.page_links(x)), list(pages.team_links(x))) for x in texts]
+    assert sum(markup.plain_links(x) is not None for x in texts) > 1000 and sum(len(t) for _, t in found) > 100
+    monkeypatch.setattr(pages, "plain_links", lambda _: None)
+    assert found == [(list(pages.page_links(x)), list(pages.team_links(x))) for x in texts]
+
+
+def test_a_list_of_teams_leaves_python_as_one_row():
+    html = "<a target='_blank' href='/t?teamId=4'> T  U</a><a href='/t?teamId=5'>x</a><a target='_blank' href='/t?teamId=6'>V</a>"
+    assert list(pages.team_links(html)) == [([1, 3], ["T U", "V"], ["/t?teamId=4", "/t?teamId=6"])] and list(pages.team_links("<a>")) == []
+
+
+def test_events_that_open_no_list_are_spread_over_tasks(spark):
+    for key, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(key, value)
+    try:
+        events = spark.createDataFrame([(i, f"A{i} @ B", None if i % 3 else "") for i in range(400)] + [(400, "Open", "javascript:openEvent(1)")], "id int, event_name string, event_js string")
+        lists = pages.event_teams(spark.createDataFrame([("javascript:openEvent(1)", "<a target='_blank' href='/t?teamId=4'>T</a>")], "event_js string, html string"))
+        rows = pages.expand_teams(pages.schedule_teams(events), lists).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+    assert len(rows) == 801 and [r.team_id for r in rows if r.id == 400] == [4]
+    assert len({r.task for r in rows if r.id < 400}) == 4
