@@ -97,19 +97,23 @@ def date_range(text: Column) -> tuple[Column, Column]:
     Other text gives nulls.
     """
     t = F.trim(text)
-    full = r"^(\d{1,2})/(\d{1,2})/(\d{2,4})$"
-    both = r"^(\d{1,2})/(\d{1,2})/(\d{2,4})\s*-\s*(\d{1,2})/(\d{1,2})/(\d{2,4})$"
-    borrowed = r"^(\d{1,2})/(\d{1,2})\s*-\s*(\d{1,2})/(\d{1,2})/(\d{2,4})$"
-    days = r"^(\d{1,2})/(\d{1,2})\s*-\s*(\d{1,2})/(\d{2,4})$"
-
-    def at(pattern: str, month: int, day: int, year: int) -> Column:
-        part = lambda i: F.regexp_extract(t, pattern, i)
-        y = F.when(F.length(part(year)) == 2, F.concat(F.lit("20"), part(year))).otherwise(part(year))
-        return F.try_to_date(F.concat_ws("/", part(month), part(day), y), "M/d/yyyy")
-
-    start = F.when(t.rlike(full), at(full, 1, 2, 3)).when(t.rlike(both), at(both, 1, 2, 3)).when(t.rlike(borrowed), at(borrowed, 1, 2, 5)).when(t.rlike(days), at(days, 1, 2, 4))
-    end = F.when(t.rlike(full), at(full, 1, 2, 3)).when(t.rlike(both), at(both, 4, 5, 6)).when(t.rlike(borrowed), at(borrowed, 3, 4, 5)).when(t.rlike(days), at(days, 1, 3, 4))
-    return start, end
+    day, year = r"\d{1,2}/\d{1,2}", r"\d{2,4}"
+    known = rf"^(?:{day}/{year}|{day}/{year}\s*-\s*{day}/{year}|{day}\s*-\s*{day}/{year}|{day}\s*-\s*\d{{1,2}}/{year})$"
+    numbers = F.when(t.rlike(known), F.regexp_extract_all(t, F.lit(r"\d+"), F.lit(0)))
+
+    def ends(found: Column) -> Column:
+        def at(month: int, day: int, year: int) -> Column:
+            part = lambda i: F.get(found, F.lit(i))
+            return F.try_to_date(F.concat_ws("/", part(month), part(day), F.when(F.length(part(year)) == 2, F.concat(F.lit("20"), part(year))).otherwise(part(year))), "M/d/yyyy")
+
+        n = F.size(found)  # it tells the forms apart
+        start = F.when(n.isin(3, 6), at(0, 1, 2)).when(n == 5, at(0, 1, 4)).when(n == 4, at(0, 1, 3))
+        end = F.when(n == 3, at(0, 1, 2)).when(n == 6, at(3, 4, 5)).when(n == 5, at(2, 3, 4)).when(n == 4, at(0, 2, 3))
+        return F.struct(start.alias("start"), end.alias("end"))
+
+    # Numbers are an element of an array, so that they are found once and not for each part of a date.
+    both = F.get(F.transform(F.array(numbers), ends), F.lit(0))
+    return both["start"], both["end"]
 
 
 def soundex_full(name: Column | str) -> Column:

@@ -152,7 +152,8 @@ def page_links(html: str | None) -> Iterator[tuple]:
 @row_source("indexes array<int>, texts array<string>, links array<string>")
 def team_links(html: str | None) -> Iterator[tuple]:
     """Places, texts and targets of the links of a list of teams, those that open a window and carry a teamId, in one row a page."""
-    found = [(i, text, href) for i, href, text, new in page_links(html) if new and "teamId=" in href]
+    opening = ((i, text, a.get("href") or "") for i, (a, text) in enumerate(_links(html), 1) if a.get("target") == "_blank")
+    found = [(i, " ".join(text.split()), href) for i, text, href in opening if "teamId=" in href]
     if found:
         yield tuple(map(list, zip(*found, strict=True)))
 

@@ -99,3 +99,10 @@ def test_running_sums_are_consistent(spark):
         assert sum(now[:3]) <= now[3] and all(a <= b for a, b in zip(last.get(r.wrestler_id, (0,) * 4), now, strict=True))
         last[r.wrestler_id] = now
     assert df.count() == 40
+
+
+def test_a_range_of_dates_is_taken_apart_once(spark):
+    df = spark.createDataFrame([("12/05-07/2025\n",), ("12/30 - 1/2/26",), ("1/2/202",)], "t string")
+    found = df.select(*(c.cast("string") for c in compat.date_range(F.col("t"))))
+    assert "regexp_extract(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert list(map(tuple, found.collect())) == [("2025-12-05", "2025-12-07"), ("2026-12-30", "2026-01-02"), (None, None)]
