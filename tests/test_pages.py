@@ -1,6 +1,7 @@
 """Markup on the plain path and through HTMLParser, and rows of pages in bounded batches."""
 
 import random
+import tracemalloc
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -93,3 +94,15 @@ def test_events_that_open_no_list_are_spread_over_tasks(spark):
             spark.conf.unset(key)
     assert len(rows) == 801 and [r.team_id for r in rows if r.id == 400] == [4]
     assert len({r.task for r in rows if r.id < 400}) == 4
+
+
+def test_rows_of_a_long_page_are_not_held_together():
+    html = "<table>" + "<tr><td> a <tr></td><td><a href='/p?i=1'>b</a></tr><td>c</td>" * 20000 + "</table>"
+    whole = readers._Rows()
+    markup.feed(whole, html)
+    tracemalloc.start()
+    n = sum(1 for _ in readers.html_rows(html))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert n == len([r for r in whole.rows if r[0] or r[1]]) == 20000 and peak < 1_000_000
+    assert list(readers.html_rows(html)) == [r for r in whole.rows if r[0] or r[1]]
